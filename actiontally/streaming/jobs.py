@@ -76,11 +76,14 @@ def closed_window_stream(events: DataFrame, out_path: str, checkpoint: str, dura
 def lake_stream(events: DataFrame, lake_path: str, checkpoint: str, trigger: dict | None = None,
                 time_col: str = "event_time", user_col: str = "user_id", bucket_dirs: bool = False,
                 name: str | None = None) -> StreamingQuery:
-    """Every event into the lake.  Within a micro-batch rows are clustered by leaf and
-    sorted by user, so each task writes few files with tight statistics."""
+    """Every event into the lake through the exactly-once file sink.
+
+    Within a micro-batch rows are clustered by leaf, so each task writes into few
+    directories.  Streams cannot sort; once a slot is closed, rewrite it sorted with
+    ``write_lake(lake_scan(...), mode="overwrite")`` (dynamic partition overwrite).
+    """
     out = with_partition_columns(events, time_col, user_col)
-    leaf = ["event_date", "event_hour", "bucket"]
-    out = out.repartition(*[F.col(c) for c in leaf]).sortWithinPartitions(*leaf, user_col, time_col)
+    out = out.repartition(*[F.col(c) for c in ["event_date", "event_hour", "bucket"]])
     parts = ["event_date", "event_hour"] + (["bucket"] if bucket_dirs else [])
     return _writer(out, checkpoint, trigger, name).outputMode("append").format("parquet") \
         .option("path", lake_path).partitionBy(*parts).start()

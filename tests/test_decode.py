@@ -1,0 +1,84 @@
+"""Envelope decoding: malformed records, timestamp forms, payload families, encode round trip."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from actiontally.functions.decode import (
+    decode_events, device_info_flat, encode_json, family_payload, metadata_struct, split_corrupt,
+)
+from actiontally.schemas import CORRUPT_COL, FAMILIES, METADATA
+
+
+def _raw(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def test_malformed_records_keep_text_and_null_fields(spark):
+    bad = '{"event_id":"e3","user_id":"bad","action_type":"login","timestamp":"not-a-time"}'
+    rows = decode_events(_raw(spark, bad, "garbage")).collect()
+    r = rows[0]
+    assert r.event_id == "e3" and r.action_type == "login"
+    assert r.user_id is None and r.event_time is None
+    assert r[CORRUPT_COL] == bad
+    g = rows[1]
+    assert g.event_id is None and g.user_id is None and g.event_time is None and g[CORRUPT_COL] == "garbage"
+
+
+def test_split_corrupt_excludes_rejects_from_counts(spark):
+    good = ('{"event_id":"a","user_id":1,"action_type":"login","timestamp":"2026-01-01T10:00:00",'
+            '"metadata":{},"device_info":{"device_id":"d","device_type":"ios","os_version":"15.0",'
+            '"app_version":"1.0.0"}}')
+    ok, rejected = split_corrupt(decode_events(_raw(spark, good, "garbage", '{"event_id":"x"}')))
+    assert ok.count() == 1 and rejected.count() == 2
+    assert CORRUPT_COL not in ok.columns
+
+
+def test_timestamp_with_and_without_fraction(spark):
+    texts = ['{"event_id":"a","user_id":1,"action_type":"x","timestamp":"2026-01-01T10:00:00"}',
+             '{"event_id":"b","user_id":1,"action_type":"x","timestamp":"2026-01-01T10:00:00.123456"}']
+    got = {r.event_id: r.event_time for r in decode_events(_raw(spark, *texts)).collect()}
+    assert got == {"a": dt.datetime(2026, 1, 1, 10), "b": dt.datetime(2026, 1, 1, 10, 0, 0, 123456)}
+
+
+def test_metadata_stays_raw_json_and_types_by_family(spark):
+    text = ('{"event_id":"a","user_id":7,"action_type":"search","timestamp":"2026-01-01T10:00:00",'
+            '"metadata":{"query":"laptop","results_count":12}}')
+    d = decode_events(_raw(spark, text))
+    assert d.first().metadata.replace(" ", "") == '{"query":"laptop","results_count":12}'
+    row = family_payload(d, "search").first()
+    assert (row.query, row.results_count) == ("laptop", 12)
+    assert family_payload(d, "product").count() == 0
+
+
+def test_metadata_superset_has_every_family_field():
+    names = [f.name for f in METADATA.fields]
+    assert len(names) == 17 and len(set(names)) == 17
+    assert sum(len(fields) for _, fields in FAMILIES.values()) == 17
+
+
+def test_unknown_metadata_keys_are_ignored(spark):
+    text = ('{"event_id":"a","user_id":7,"action_type":"login","timestamp":"2026-01-01T10:00:00",'
+            '"metadata":{"surprise":1}}')
+    m = decode_events(_raw(spark, text)).select(metadata_struct().alias("m")).first().m
+    assert all(v is None for v in m)
+
+
+def test_device_info_flatten(spark):
+    text = ('{"event_id":"a","user_id":7,"action_type":"login","timestamp":"2026-01-01T10:00:00",'
+            '"device_info":{"device_id":"d1","device_type":"android","os_version":"13.0","app_version":"2.3.4"}}')
+    r = device_info_flat(decode_events(_raw(spark, text))).first()
+    assert tuple(r) == ("a", "d1", "android", "13.0", "2.3.4")
+
+
+def test_encode_then_decode_round_trip(spark):
+    src = spark.createDataFrame(
+        [("e1", 5, "login", dt.datetime(2024, 1, 1, 1, 2, 3, 450000))],
+        "event_id string, user_id long, action_type string, ts timestamp_ntz")
+    enc = encode_json(src, {"event_id": "event_id", "user_id": "user_id", "action_type": "action_type",
+                            "timestamp": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")})
+    r = decode_events(enc).first()
+    assert (r.event_id, r.user_id, r.action_type, r.event_time) == ("e1", 5, "login",
+                                                                     dt.datetime(2024, 1, 1, 1, 2, 3, 450000))
