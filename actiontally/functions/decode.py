@@ -16,19 +16,16 @@ def decode_events(raw: DataFrame, value_col: str = "value", keep: list[str] | No
     ``timestamp`` is read as TIMESTAMP_NTZ, which accepts the zone-less ISO form with or
     without a fraction.  Records that fail to parse, wholly or in one field, keep their
     text in ``_corrupt``; bad fields become NULL.  ``metadata`` stays raw JSON.
+
+    The parsed struct is expanded with ``inline``: a generator's output is opaque to
+    predicate push-down, so later filters (``split_corrupt``, the watermark) read the
+    parsed columns instead of having the optimizer copy the parse into each predicate.
     """
-    env = F.from_json(F.col(value_col).cast("string"), ENVELOPE, _PERMISSIVE).alias("e")
     cols = [F.col(c) for c in (keep or [])]
-    return raw.select(*cols, env).select(
-        *cols,
-        F.col("e.event_id").alias("event_id"),
-        F.col("e.user_id").alias("user_id"),
-        F.col("e.action_type").alias("action_type"),
-        F.col("e.timestamp").alias("event_time"),
-        F.col("e.metadata").alias("metadata"),
-        F.col("e.device_info").alias("device_info"),
-        F.col(f"e.{CORRUPT_COL}").alias(CORRUPT_COL),
-    )
+    env = F.from_json(F.col(value_col).cast("string"), ENVELOPE, _PERMISSIVE)
+    parsed = raw.select(*cols, F.inline(F.array(env)))
+    return parsed.select(*cols, "event_id", "user_id", "action_type", F.col("timestamp").alias("event_time"),
+                         "metadata", "device_info", CORRUPT_COL)
 
 
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -16,13 +16,16 @@ from actiontally.schemas import AGG_KEY
 def latest_versions(changes: DataFrame, key: list[str] | None = None, order_col: str = "version") -> DataFrame:
     """Keep the row with the greatest ``order_col`` per key.
 
-    An aggregate (``max_by`` over a struct), not a ranking window: the partial aggregate
-    runs before the shuffle, and no key's history is ever gathered into one task.
+    An aggregate, not a ranking window: a partial aggregate runs before the shuffle and
+    no key's history is ever gathered into one task.  One ``max_by`` per column (the
+    order column is unique per key, so all pick the same row) keeps every buffer
+    fixed-width for the value columns of the aggregate tables, which lets Spark use a
+    hash aggregate instead of sorting on both sides of the shuffle.
     """
     key = key or AGG_KEY
     rest = [c for c in changes.columns if c not in key]
-    newest = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_row")
-    return changes.groupBy(*key).agg(newest).select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    picks = [(F.max(order_col) if c == order_col else F.max_by(F.col(c), F.col(order_col))).alias(c) for c in rest]
+    return changes.groupBy(*key).agg(*picks)
 
 
 def current_rows(changes: DataFrame, key: list[str] | None = None) -> DataFrame:
@@ -85,19 +88,20 @@ def compact(changes: DataFrame, out_path: str, ttl_as_of: str | dt.datetime | No
             ttl: str = "7 days", max_records_per_file: int = 5_000_000) -> None:
     """Collapse a change log and rewrite it by month, sorted by the table key.
 
-    Range partitioning on (yyyymm, user_id, aggregation_type, window_start) gives each
-    output file a narrow key range, so lookups skip files and row groups by statistics;
-    the sample splits a hot user across tasks.  Writes a new directory: readers switch
-    to it, files under a live sink are never rewritten.  With ``ttl_as_of`` expired
-    rows are purged on the way.
+    One shuffle: range partitioning on (yyyymm, user_id, aggregation_type, window_start)
+    also clusters every key, so the newest-version collapse runs without another
+    exchange (``yyyymm`` is a function of ``window_start`` and joins the group key for
+    free).  Each output file covers a narrow key range, so lookups skip files and row
+    groups by statistics, and the sample behind the bounds splits a hot user over
+    several tasks.  Writes a new directory: readers switch to it; files under a live
+    sink are never rewritten.  With ``ttl_as_of`` expired rows are purged on the way.
     """
-    cur = latest_versions(changes)
     if ttl_as_of is not None:
-        cur = expire_before(cur, ttl_as_of, ttl)
-    order = ["yyyymm", "user_id", "aggregation_type", "window_start", "window_end"]
-    (cur.withColumn("yyyymm", yyyymm("window_start"))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        changes = expire_before(changes, ttl_as_of, ttl)
+    order = ["yyyymm", "user_id", "aggregation_type", "window_start"]
+    ranged = changes.withColumn("yyyymm", yyyymm("window_start")).repartitionByRange(*order)
+    cur = latest_versions(ranged, key=["yyyymm", *AGG_KEY])
+    (cur.sortWithinPartitions(*order, "window_end")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("yyyymm")
