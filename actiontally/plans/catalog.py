@@ -27,8 +27,8 @@ from actiontally.plans.fixtures import (
 from actiontally.session import pin_utc, scratch_path
 from actiontally.sources.changelog import read_changes, read_current, write_changes
 from actiontally.sources.lake import lake_scan, read_lake, write_lake
-from actiontally.streaming.jobs import aggregate_stream, closed_window_stream, run_to_completion
-from actiontally.streaming.staging import file_stream, stage_ordered_files
+from actiontally.streaming.jobs import aggregate_stream, closed_window_stream
+from actiontally.streaming.staging import file_stream, replay_slices
 
 AGG_COLS = ["user_id", "window_start", "window_end", "total_actions", "aggregation_type"]
 COUNT_COLS = ["user_id", "window_start", "window_end", "total_actions"]
@@ -191,38 +191,33 @@ def realtime_ttl_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams ----------------------------------------------------------------------------
 
-def _staged_stream(spark: SparkSession, sf_dir: str, replay_first: bool = False):
+def _replayed(spark: SparkSession, sf_dir: str, start, replay_first: bool = False) -> None:
+    """Feed ``events`` to the stream ``start(source_dir, schema)`` in six event-time slices."""
     pin_utc(spark)
     src = plain_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
     staged = scratch_path(spark, "stream_input")
-    stage_ordered_files(src, staged, "ts", n_files=6, replay_first=replay_first)
-    return file_stream(spark, staged, src.schema, max_files_per_trigger=1)
+    replay_slices(src, staged, "ts", lambda: start(file_stream(spark, staged, src.schema)), n_slices=6,
+                  replay_first=replay_first)
 
 
 def stream_user_aggregations_2h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = _staged_stream(spark, sf_dir)
-    table_path = scratch_path(spark, "user_aggregations")
-    q = aggregate_stream(stream, table_path, scratch_path(spark, "ckpt"), "2 hours", True,
-                         trigger={"availableNow": True}, **EV)
-    run_to_completion(q)
+    table_path, ckpt = scratch_path(spark, "user_aggregations"), scratch_path(spark, "ckpt")
+    _replayed(spark, sf_dir, lambda s: aggregate_stream(s, table_path, ckpt, "2 hours", True,
+                                                        trigger={"availableNow": True}, **EV))
     return read_current(spark, table_path).select(*AGG_COLS)
 
 
 def stream_user_actions_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = _staged_stream(spark, sf_dir)
-    table_path = scratch_path(spark, "user_aggregations_realtime")
-    q = aggregate_stream(stream, table_path, scratch_path(spark, "ckpt"), "5 minutes", False,
-                         trigger={"availableNow": True}, **EV)
-    run_to_completion(q)
+    table_path, ckpt = scratch_path(spark, "user_aggregations_realtime"), scratch_path(spark, "ckpt")
+    _replayed(spark, sf_dir, lambda s: aggregate_stream(s, table_path, ckpt, "5 minutes", False,
+                                                        trigger={"availableNow": True}, **EV))
     return read_current(spark, table_path).select(*COUNT_COLS)
 
 
 def _closed_windows(spark: SparkSession, sf_dir: str, replay_first: bool) -> DataFrame:
-    stream = _staged_stream(spark, sf_dir, replay_first=replay_first)
-    out = scratch_path(spark, "closed_windows")
-    q = closed_window_stream(stream, out, scratch_path(spark, "ckpt"), "2 hours",
-                             trigger={"availableNow": True}, time_col="ts")
-    run_to_completion(q)
+    out, ckpt = scratch_path(spark, "closed_windows"), scratch_path(spark, "ckpt")
+    _replayed(spark, sf_dir, lambda s: closed_window_stream(s, out, ckpt, "2 hours", trigger={"availableNow": True},
+                                                            time_col="ts"), replay_first=replay_first)
     return spark.read.parquet(out).select(*COUNT_COLS)
 
 

@@ -3,9 +3,9 @@
 from actiontally.streaming.jobs import (
     StreamResult, aggregate_stream, closed_window_stream, lake_stream, run_to_completion, start_all,
 )
-from actiontally.streaming.staging import file_stream, stage_ordered_files
+from actiontally.streaming.staging import file_stream, replay_slices, time_slices
 
 __all__ = [
     "StreamResult", "aggregate_stream", "closed_window_stream", "lake_stream", "run_to_completion",
-    "start_all", "file_stream", "stage_ordered_files",
+    "start_all", "file_stream", "replay_slices", "time_slices",
 ]

@@ -1,42 +1,65 @@
-"""Replaying a table as an ordered file stream.
+"""Replaying a table as a stream, slice by slice.
 
-The file source takes files in modification-time order.  Each time slice is written
-by its own job after the previous one committed, so modification times ascend with
-event time and a ``maxFilesPerTrigger=1`` stream sees the slices in order.
+The table is cut into slices of equal event-time width.  Each slice is appended to
+the source directory by a parallel write, and then the streaming query is run with
+``availableNow`` on its checkpoint until it has consumed the slice.  So every slice
+is one micro-batch (or several), slices arrive in event-time order, no slice is ever
+funnelled through one task, and every run after the first is a restart from the
+checkpoint.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from actiontally.functions.literals import ntz
 
 
-def stage_ordered_files(df: DataFrame, path: str, time_col: str, n_files: int = 6,
-                        replay_first: bool = False) -> int:
-    """Write ``df`` as ``n_files`` slices of equal event-time width, oldest first.
-    ``time_col`` must be TIMESTAMP_NTZ.
-
-    With ``replay_first`` the rows of the first slice are written once more at the
-    end, as a late re-delivery.  Returns the number of files written.
-    """
+def time_slices(df: DataFrame, time_col: str, n_slices: int) -> list:
+    """Predicates of ``n_slices`` equal-width event-time ranges (``time_col`` is
+    TIMESTAMP_NTZ).  Only the two bounds reach the driver."""
     lo, hi = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
-    width = (hi - lo) / n_files
+    width = (hi - lo) / n_slices
     t = F.col(time_col)
-    slices = []
-    for i in range(n_files):
+    out = []
+    for i in range(n_slices):
         a, b = lo + width * i, lo + width * (i + 1)
-        cond = (t >= ntz(a)) & ((t < ntz(b)) if i < n_files - 1 else (t <= ntz(hi)))
-        slices.append(cond)
+        out.append((t >= ntz(a)) & ((t < ntz(b)) if i < n_slices - 1 else (t <= ntz(hi))))
+    return out
+
+
+def file_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None
+                ) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
+
+
+def replay_slices(df: DataFrame, source_path: str, time_col: str, start: Callable[[], StreamingQuery],
+                  n_slices: int = 6, replay_first: bool = False, timeout_s: int = 600):
+    """Feed ``df`` to a file-source stream slice by slice; ``start()`` must start the
+    query with an ``availableNow`` trigger on a fixed checkpoint.
+
+    With ``replay_first`` the oldest slice is delivered once more after the newest,
+    as a late re-delivery.  Returns the summed progress of all runs.
+    """
+    from actiontally.streaming.jobs import StreamResult, run_to_completion
+
+    slices = time_slices(df, time_col, n_slices)
     if replay_first:
         slices.append(slices[0])
+    total = StreamResult()
     for cond in slices:
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
-    return len(slices)
-
-
-def file_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(path))
+        df.filter(cond).write.mode("append").parquet(source_path)
+        res = run_to_completion(start(), timeout_s)
+        total.batches += res.batches
+        total.input_rows += res.input_rows
+        total.dropped_late += res.dropped_late
+        total.progress.extend(res.progress)
+    return total
