@@ -64,13 +64,14 @@ def _to_dt(v) -> dt.datetime:
 
 def lake_scan(spark: SparkSession, path: str, user_id: int | None = None, start=None, end=None,
               time_col: str = "event_time", user_col: str = "user_id", n_buckets: int = N_BUCKETS,
-              max_listed_days: int = 1000) -> DataFrame:
+              max_listed_days: int = 1000, list_range_only: bool = True) -> DataFrame:
     """Events of one user and/or a ``[start, end)`` time range, reading only what can match.
 
     Spark does not derive partition predicates from predicates on the event time or the
     user, so this adds them: ``event_date`` always, ``event_hour`` when the range lies in
     one day, ``bucket`` for a user.  With both bounds the listing itself is limited to
-    the matching date directories.
+    the matching date directories; pass ``list_range_only=False`` for a lake written by
+    the streaming file sink, whose commit log lives at the root.
     """
     cond = F.lit(True)
     src = path
@@ -80,7 +81,7 @@ def lake_scan(spark: SparkSession, path: str, user_id: int | None = None, start=
         days = [(s.date() + dt.timedelta(days=i)) for i in range((last.date() - s.date()).days + 1)]
         if not days:
             return read_lake(spark, path).limit(0)
-        if len(days) <= max_listed_days:
+        if list_range_only and len(days) <= max_listed_days:
             src = f"{path}/event_date={{{','.join(d.isoformat() for d in days)}}}"
         cond = cond & F.col("event_date").between(day(days[0]), day(days[-1]))
         if len(days) == 1:

@@ -1,11 +1,12 @@
 """Structured Streaming jobs: windowed counts into change logs, lake landing, fan-out."""
 
 from actiontally.streaming.jobs import (
-    StreamResult, aggregate_stream, closed_window_stream, lake_stream, run_to_completion, start_all,
+    StreamResult, aggregate_stream, closed_window_stream, curate_slots, lake_stream, run_to_completion,
+    start_all,
 )
 from actiontally.streaming.staging import file_stream, replay_slices, time_slices
 
 __all__ = [
-    "StreamResult", "aggregate_stream", "closed_window_stream", "lake_stream", "run_to_completion",
+    "StreamResult", "aggregate_stream", "closed_window_stream", "curate_slots", "lake_stream", "run_to_completion",
     "start_all", "file_stream", "replay_slices", "time_slices",
 ]

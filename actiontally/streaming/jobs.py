@@ -24,12 +24,14 @@ from pyspark.sql.streaming import StreamingQuery
 from actiontally.functions.layout import with_partition_columns
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
 from actiontally.sources.changelog import write_changes
+from actiontally.sources.lake import lake_scan, write_lake
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _with_event_time(events: DataFrame, time_col: str, watermark: str) -> DataFrame:
-    return events.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, watermark)
+def _with_event_time(events: DataFrame, time_col: str, watermark: str, dedup: bool = False) -> DataFrame:
+    ev = events.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, watermark)
+    return ev.dropDuplicatesWithinWatermark(["event_id"]) if dedup else ev
 
 
 def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | None):
@@ -55,10 +57,12 @@ def use_state_store(spark, state_store: str | None) -> None:
 def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, duration: str = "2 hours",
                      with_types: bool = True, watermark: str = "10 minutes", trigger: dict | None = None,
                      time_col: str = "event_time", user_col: str = "user_id", type_col: str = "action_type",
-                     export=None, name: str | None = None, state_store: str | None = "rocksdb") -> StreamingQuery:
-    """Totals (and per-type counts) per user and window into a versioned change log."""
+                     export=None, name: str | None = None, state_store: str | None = "rocksdb",
+                     dedup: bool = False) -> StreamingQuery:
+    """Totals (and per-type counts) per user and window into a versioned change log.
+    With ``dedup`` a repeated ``event_id`` within the watermark delay counts once."""
     use_state_store(events.sparkSession, state_store)
-    ev = _with_event_time(events, time_col, watermark)
+    ev = _with_event_time(events, time_col, watermark, dedup)
     if with_types:
         agg = user_aggregations(ev, duration, time_col, user_col, type_col)
     else:
@@ -85,20 +89,38 @@ def closed_window_stream(events: DataFrame, out_path: str, checkpoint: str, dura
 
 def lake_stream(events: DataFrame, lake_path: str, checkpoint: str, trigger: dict | None = None,
                 time_col: str = "event_time", user_col: str = "user_id", bucket_dirs: bool = False,
-                name: str | None = None) -> StreamingQuery:
-    """Every event into the lake through the exactly-once file sink.
-
-    Within a micro-batch rows are clustered by leaf, so each task writes into few
-    directories.  Streams cannot sort; once a slot is closed, rewrite it sorted with
-    ``write_lake(lake_scan(...), mode="overwrite")`` (dynamic partition overwrite).
+                salts: int = 4, dedup_watermark: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Every event into the landing lake through the exactly-once file sink.
+
+    Without bucket directories there is no shuffle: each source partition (balanced by
+    the topic, which has no message key) writes its rows into the slot directories it
+    touches.  With bucket directories rows are clustered by leaf plus a small salt, so
+    a hot user's bucket spreads over ``salts`` tasks while a leaf still gets at most
+    ``salts`` files per micro-batch.  Streams cannot sort: ``curate_slots`` rewrites
+    closed slots sorted into the batch lake.  ``dedup_watermark`` drops repeated
+    ``event_id`` values within that delay.
     """
     out = with_partition_columns(events, time_col, user_col)
-    out = out.repartition(*[F.col(c) for c in ["event_date", "event_hour", "bucket"]])
+    if dedup_watermark:
+        out = _with_event_time(out, time_col, dedup_watermark).dropDuplicatesWithinWatermark(["event_id"]) \
+            .withColumn(time_col, F.col(time_col).cast("timestamp_ntz"))
+    if bucket_dirs:
+        salt = F.pmod(F.xxhash64(F.col("event_id")), F.lit(salts))
+        out = out.repartition(F.col("event_date"), F.col("event_hour"), F.col("bucket"), salt)
     parts = ["event_date", "event_hour"] + (["bucket"] if bucket_dirs else [])
     return _writer(out, checkpoint, trigger, name).outputMode("append").format("parquet") \
         .option("path", lake_path).partitionBy(*parts).start()
 
 
+def curate_slots(spark, landing_path: str, lake_path: str, start, end, time_col: str = "event_time",
+                 user_col: str = "user_id", bucket_dirs: bool | str = "auto") -> bool:
+    """Rewrite the closed slots ``[start, end)`` of the landing lake into the sorted batch
+    lake (dynamic partition overwrite, so a rerun replaces the same slots)."""
+    rows = lake_scan(spark, landing_path, start=start, end=end, time_col=time_col, list_range_only=False)
+    rows = rows.drop("event_date", "event_hour", "bucket")
+    return write_lake(rows, lake_path, time_col, user_col, bucket_dirs=bucket_dirs, mode="overwrite")
+
+
 @dataclass
 class StreamResult:
     batches: int = 0
@@ -126,17 +148,20 @@ def run_to_completion(query: StreamingQuery, timeout_s: int = 600) -> StreamResu
 
 
 def start_all(events: DataFrame, root: str, trigger: dict | None = None, watermark: str = "10 minutes",
-              realtime_window: str = "5 minutes", export_2h=None, export_5m=None) -> dict[str, StreamingQuery]:
+              realtime_window: str = "5 minutes", export_2h=None, export_5m=None,
+              dedup: bool = False) -> dict[str, StreamingQuery]:
     """One decoded source fanned out to the lake and both aggregate tables.
 
     State is per query, so each sink has its own checkpoint under ``root``.
     """
     return {
-        "lake": lake_stream(events, f"{root}/lake", f"{root}/_checkpoints/lake", trigger, name="lake"),
+        "lake": lake_stream(events, f"{root}/lake", f"{root}/_checkpoints/lake", trigger,
+                            dedup_watermark=watermark if dedup else None, name="lake"),
         "user_aggregations": aggregate_stream(
             events, f"{root}/user_aggregations", f"{root}/_checkpoints/user_aggregations", "2 hours", True,
-            watermark, trigger, export=export_2h, name="user_aggregations"),
+            watermark, trigger, export=export_2h, name="user_aggregations", dedup=dedup),
         "user_aggregations_realtime": aggregate_stream(
             events, f"{root}/user_aggregations_realtime", f"{root}/_checkpoints/user_aggregations_realtime",
-            realtime_window, False, watermark, trigger, export=export_5m, name="user_aggregations_realtime"),
+            realtime_window, False, watermark, trigger, export=export_5m, name="user_aggregations_realtime",
+            dedup=dedup),
     }

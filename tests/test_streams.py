@@ -12,7 +12,7 @@ from actiontally.plans.fixtures import json_envelope, plain_events
 from actiontally.sources.changelog import read_changes, read_current
 from actiontally.sources.lake import read_lake
 from actiontally.streaming.jobs import (
-    aggregate_stream, closed_window_stream, run_to_completion, start_all,
+    aggregate_stream, closed_window_stream, curate_slots, lake_stream, run_to_completion, start_all,
 )
 from actiontally.streaming.staging import file_stream, replay_slices
 
@@ -108,3 +108,43 @@ def test_fan_out_from_json_text_stream(spark, scratch):
     want5 = user_action_counts(base, "5 minutes", time_col="ts")
     got5 = read_current(spark, f"{scratch}/out/user_aggregations_realtime").select(*want5.columns)
     assert got5.count() == want5.count() and got5.exceptAll(want5).count() == 0
+
+
+def _json_stream(spark, scratch, sf, copies=1):
+    text_dir = f"{scratch}/topic"
+    for _ in range(copies):
+        json_envelope(spark, sf).write.mode("append").text(text_dir)
+    raw = spark.readStream.schema("value string").text(text_dir)
+    events, _ = split_corrupt(decode_events(raw))
+    return events
+
+
+def test_lake_stream_with_bucket_directories_then_curate(spark, scratch):
+    sf = "/root/testdata/sf0.001"
+    events = _json_stream(spark, scratch, sf)
+    landing, lake = f"{scratch}/landing", f"{scratch}/lake"
+    run_to_completion(lake_stream(events, landing, f"{scratch}/ckpt", NOW, bucket_dirs=True))
+    landed = read_lake(spark, landing)
+    assert landed.count() == plain_events(spark, sf).count()
+    assert landed.filter(F.col("bucket") != F.pmod("user_id", F.lit(128))).count() == 0
+    curate_slots(spark, landing, lake, "2024-01-01", "2024-02-01", bucket_dirs=False)
+    cur = read_lake(spark, lake)
+    assert cur.count() == landed.count()
+    assert cur.select("event_id").exceptAll(landed.select("event_id")).count() == 0
+
+
+def test_dedup_within_watermark_counts_repeats_once(spark, scratch):
+    sf = "/root/testdata/sf0.001"
+    events = _json_stream(spark, scratch, sf, copies=2)
+    table = f"{scratch}/table"
+    run_to_completion(aggregate_stream(events, table, f"{scratch}/ckpt", trigger=NOW, dedup=True))
+    want = user_aggregations(plain_events(spark, sf), time_col="ts", type_col="event_type")
+    got = read_current(spark, table).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_stateful_queries_use_rocksdb(spark, scratch):
+    events = _json_stream(spark, scratch, "/root/testdata/sf0.001")
+    res = run_to_completion(aggregate_stream(events, f"{scratch}/t", f"{scratch}/ckpt", trigger=NOW))
+    metrics = res.progress[0].stateOperators[0].customMetrics
+    assert any(k.startswith("rocksdb") for k in metrics)
