@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from actiontally.operators.versions import current_rows
 
 
 def write_changes(df: DataFrame, table_path: str, version: int, export=None) -> None:
@@ -34,4 +33,6 @@ def read_changes(spark: SparkSession, table_path: str, schema: StructType | None
 
 
 def read_current(spark: SparkSession, table_path: str, schema: StructType | None = None) -> DataFrame:
+    from actiontally.operators.versions import current_rows  # operators import this module
+
     return current_rows(read_changes(spark, table_path, schema))

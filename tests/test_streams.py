@@ -94,7 +94,7 @@ def test_fan_out_from_json_text_stream(spark, scratch):
     sf = "/root/testdata/sf0.001"
     text_dir = f"{scratch}/topic"
     env = json_envelope(spark, sf)
-    env.coalesce(1).write.mode("append").text(text_dir)
+    env.write.mode("append").text(text_dir)
     raw = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(text_dir)
     events, _ = split_corrupt(decode_events(raw))
     qs = start_all(events, f"{scratch}/out", trigger=NOW)
