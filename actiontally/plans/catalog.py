@@ -191,6 +191,14 @@ def realtime_ttl_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams ----------------------------------------------------------------------------
 
+def _cores(spark: SparkSession) -> int:
+    """State partitions for the replayed streams: one per core of the cluster."""
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext on a remote session
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _replayed(spark: SparkSession, sf_dir: str, start, replay_first: bool = False) -> None:
     """Feed ``events`` to the stream ``start(source_dir, schema)`` in six event-time slices."""
     pin_utc(spark)
@@ -203,21 +211,24 @@ def _replayed(spark: SparkSession, sf_dir: str, start, replay_first: bool = Fals
 def stream_user_aggregations_2h(spark: SparkSession, sf_dir: str) -> DataFrame:
     table_path, ckpt = scratch_path(spark, "user_aggregations"), scratch_path(spark, "ckpt")
     _replayed(spark, sf_dir, lambda s: aggregate_stream(s, table_path, ckpt, "2 hours", True,
-                                                        trigger={"availableNow": True}, **EV))
+                                                        trigger={"availableNow": True},
+                                                        state_partitions=_cores(spark), **EV))
     return read_current(spark, table_path).select(*AGG_COLS)
 
 
 def stream_user_actions_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     table_path, ckpt = scratch_path(spark, "user_aggregations_realtime"), scratch_path(spark, "ckpt")
     _replayed(spark, sf_dir, lambda s: aggregate_stream(s, table_path, ckpt, "5 minutes", False,
-                                                        trigger={"availableNow": True}, **EV))
+                                                        trigger={"availableNow": True},
+                                                        state_partitions=_cores(spark), **EV))
     return read_current(spark, table_path).select(*COUNT_COLS)
 
 
 def _closed_windows(spark: SparkSession, sf_dir: str, replay_first: bool) -> DataFrame:
     out, ckpt = scratch_path(spark, "closed_windows"), scratch_path(spark, "ckpt")
     _replayed(spark, sf_dir, lambda s: closed_window_stream(s, out, ckpt, "2 hours", trigger={"availableNow": True},
-                                                            time_col="ts"), replay_first=replay_first)
+                                                            time_col="ts", state_partitions=_cores(spark)),
+              replay_first=replay_first)
     return spark.read.parquet(out).select(*COUNT_COLS)
 
 

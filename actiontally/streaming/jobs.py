@@ -15,6 +15,7 @@ life of a checkpoint, so size it before the first start.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -41,27 +42,42 @@ def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | No
     return w.trigger(**(trigger or {"processingTime": "5 minutes"}))
 
 
-def use_state_store(spark, state_store: str | None) -> None:
-    """Select the state store for queries started next.
+@contextmanager
+def _start_settings(spark, state_store: str | None, state_partitions: int | None):
+    """Session settings a stateful query captures when it starts.
 
     At full scale the per-type counts keep ~125M open keys (30M users, ~4 types per
     user and window), so state belongs off-heap in RocksDB, checkpointed as change
-    logs.  Spark records the provider in the checkpoint, so a restart keeps the one
-    the query began with.  ``None`` leaves the session setting alone.
+    logs.  The state partition count is fixed for the life of a checkpoint; size it
+    for the peak.  Spark copies the session settings when a query starts and keeps them
+    in the checkpoint, so they are set only around ``start()`` and restored after.
     """
+    wanted = {}
     if state_store == "rocksdb":
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        wanted["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+        wanted["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+    if state_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(int(state_partitions))
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, duration: str = "2 hours",
                      with_types: bool = True, watermark: str = "10 minutes", trigger: dict | None = None,
                      time_col: str = "event_time", user_col: str = "user_id", type_col: str = "action_type",
                      export=None, name: str | None = None, state_store: str | None = "rocksdb",
-                     dedup: bool = False) -> StreamingQuery:
+                     dedup: bool = False, state_partitions: int | None = None) -> StreamingQuery:
     """Totals (and per-type counts) per user and window into a versioned change log.
     With ``dedup`` a repeated ``event_id`` within the watermark delay counts once."""
-    use_state_store(events.sparkSession, state_store)
     ev = _with_event_time(events, time_col, watermark, dedup)
     if with_types:
         agg = user_aggregations(ev, duration, time_col, user_col, type_col)
@@ -72,19 +88,21 @@ def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, durati
     def sink(batch: DataFrame, batch_id: int) -> None:
         write_changes(batch, table_path, batch_id, export)
 
-    return _writer(agg, checkpoint, trigger, name).outputMode("update").foreachBatch(sink).start()
+    with _start_settings(events.sparkSession, state_store, state_partitions):
+        return _writer(agg, checkpoint, trigger, name).outputMode("update").foreachBatch(sink).start()
 
 
 def closed_window_stream(events: DataFrame, out_path: str, checkpoint: str, duration: str = "2 hours",
                          watermark: str = "10 minutes", trigger: dict | None = None,
                          time_col: str = "event_time", user_col: str = "user_id",
-                         name: str | None = None, state_store: str | None = "rocksdb") -> StreamingQuery:
+                         name: str | None = None, state_store: str | None = "rocksdb",
+                         state_partitions: int | None = None) -> StreamingQuery:
     """Final counts of closed windows only, each written exactly once (file sink)."""
-    use_state_store(events.sparkSession, state_store)
     ev = _with_event_time(events, time_col, watermark)
     agg = user_action_counts(ev, duration, False, time_col, user_col)
-    return _writer(agg, checkpoint, trigger, name).outputMode("append").format("parquet") \
-        .option("path", out_path).start()
+    with _start_settings(events.sparkSession, state_store, state_partitions):
+        return _writer(agg, checkpoint, trigger, name).outputMode("append").format("parquet") \
+            .option("path", out_path).start()
 
 
 def lake_stream(events: DataFrame, lake_path: str, checkpoint: str, trigger: dict | None = None,
