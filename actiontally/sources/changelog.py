@@ -32,7 +32,18 @@ def read_changes(spark: SparkSession, table_path: str, schema: StructType | None
     return df.withColumn("version", F.col("version").cast("long"))
 
 
-def read_current(spark: SparkSession, table_path: str, schema: StructType | None = None) -> DataFrame:
+def read_current(spark: SparkSession, table_path: str, schema: StructType | None = None,
+                 compacted: str | None = None) -> DataFrame:
+    """Current rows.  With ``compacted`` (a ``compact`` output of this table) only the
+    versions newer than the compaction are collapsed with it, not the whole history;
+    the version bound is a partition filter on the change log."""
     from actiontally.operators.versions import current_rows  # operators import this module
 
-    return current_rows(read_changes(spark, table_path, schema))
+    changes = read_changes(spark, table_path, schema)
+    if compacted is not None:
+        done = spark.read.parquet(compacted)
+        upto = done.agg(F.max("version")).first()[0]
+        if upto is not None:
+            changes = changes.filter(F.col("version") > F.lit(upto)).unionByName(
+                done.drop("yyyymm").withColumn("version", F.col("version").cast("long")))
+    return current_rows(changes)

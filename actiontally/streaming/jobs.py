@@ -42,6 +42,30 @@ def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | No
     return w.trigger(**(trigger or {"processingTime": "5 minutes"}))
 
 
+def version_base(spark, table_path: str, checkpoint: str) -> int:
+    """First table version of the query behind ``checkpoint``.
+
+    Batch ids restart at 0 with a new checkpoint, so versions are ``base + batch id``
+    with ``base`` one above the newest version in the table when the checkpoint is
+    first used.  The base is recorded beside the checkpoint (``_version_base=<n>``), so
+    a restart or a replayed batch maps to the same version again.
+    """
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    ck_fs = path(checkpoint).getFileSystem(conf)
+    marks = ck_fs.globStatus(path(f"{checkpoint}/_version_base=*"))
+    if marks:
+        return int(marks[0].getPath().getName().split("=", 1)[1])
+    base = 0
+    t_fs = path(table_path).getFileSystem(conf)
+    for st in t_fs.globStatus(path(f"{table_path}/version=*")) or []:
+        base = max(base, int(st.getPath().getName().split("=", 1)[1]) + 1)
+    ck_fs.mkdirs(path(checkpoint))
+    ck_fs.create(path(f"{checkpoint}/_version_base={base}"), False).close()
+    return base
+
+
 @contextmanager
 def _start_settings(spark, state_store: str | None, state_partitions: int | None, evict_without_data: bool = True):
     """Session settings a stateful query captures when it starts.
@@ -84,6 +108,7 @@ def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, durati
                      dedup: bool = False, state_partitions: int | None = None) -> StreamingQuery:
     """Totals (and per-type counts) per user and window into a versioned change log.
     With ``dedup`` a repeated ``event_id`` within the watermark delay counts once."""
+    base = version_base(events.sparkSession, table_path, checkpoint)
     ev = _with_event_time(events, time_col, watermark, dedup)
     if with_types:
         agg = user_aggregations(ev, duration, time_col, user_col, type_col)
@@ -92,7 +117,7 @@ def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, durati
             .withColumn("aggregation_type", F.lit("total"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_changes(batch, table_path, batch_id, export)
+        write_changes(batch, table_path, base + batch_id, export)
 
     with _start_settings(events.sparkSession, state_store, state_partitions, evict_without_data=False):
         return _writer(agg, checkpoint, trigger, name).outputMode("update").foreachBatch(sink).start()

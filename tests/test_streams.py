@@ -148,3 +148,20 @@ def test_stateful_queries_use_rocksdb(spark, scratch):
     res = run_to_completion(aggregate_stream(events, f"{scratch}/t", f"{scratch}/ckpt", trigger=NOW))
     metrics = res.progress[0].stateOperators[0].customMetrics
     assert any(k.startswith("rocksdb") for k in metrics)
+
+
+def test_new_checkpoint_on_existing_table_continues_versions(spark, scratch):
+    src = plain_events(spark, "/root/testdata/sf0.01").select("event_id", "ts", "user_id", "event_type")
+    staged_a, staged_b, table = f"{scratch}/a", f"{scratch}/b", f"{scratch}/table"
+    src.filter("ts < '2024-01-15'").write.parquet(staged_a)
+    run_to_completion(aggregate_stream(file_stream(spark, staged_a, src.schema), table, f"{scratch}/ck1",
+                                       trigger=NOW, time_col="ts", type_col="event_type"))
+    first = {r.version for r in read_changes(spark, table).select("version").distinct().collect()}
+    src.write.parquet(staged_b)
+    run_to_completion(aggregate_stream(file_stream(spark, staged_b, src.schema), table, f"{scratch}/ck2",
+                                       trigger=NOW, time_col="ts", type_col="event_type"))
+    versions = {r.version for r in read_changes(spark, table).select("version").distinct().collect()}
+    assert min(versions - first) > max(first)
+    want = user_aggregations(src, time_col="ts", type_col="event_type")
+    got = read_current(spark, table).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0

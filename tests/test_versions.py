@@ -90,3 +90,15 @@ def test_current_rows_drops_bookkeeping(spark):
                                "window_end timestamp_ntz, total_actions long, updated_at timestamp_ntz, "
                                "version long")
     assert "version" not in current_rows(ch).columns and "updated_at" not in current_rows(ch).columns
+
+
+def test_reader_combines_compacted_table_with_newer_versions(spark, scratch):
+    ch, out = f"{scratch}/changes", f"{scratch}/compacted"
+    write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 3, "total"),
+                                (2, T(2024, 1, 1), T(2024, 1, 1, 2), 1, "total")]), ch, 0)
+    compact(read_changes(spark, ch), out)
+    write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 7, "total")]), ch, 1)
+    cur = read_current(spark, ch, compacted=out)
+    plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "version" in plan.split("PartitionFilters: [")[1].split("], ")[0]
+    assert {(r.user_id, r.total_actions) for r in cur.collect()} == {(1, 7), (2, 1)}
