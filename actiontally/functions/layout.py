@@ -21,7 +21,8 @@ def event_date(time_col: str | Column) -> Column:
 
 def event_hour(time_col: str | Column) -> Column:
     """Start hour of the two-hour slot: 0, 2, ..., 22."""
-    return ((F.hour(_c(time_col)) / F.lit(SLOT_HOURS)).cast("int") * F.lit(SLOT_HOURS)).cast("int")
+    h = F.hour(_c(time_col))
+    return (h - h % F.lit(SLOT_HOURS)).cast("int")
 
 
 def user_bucket(user_col: str | Column, n: int = N_BUCKETS) -> Column:

@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actiontally.functions.literals import as_datetime, day, ntz
-from actiontally.functions.layout import N_BUCKETS, PARTITION_COLUMNS, SLOT_HOURS, with_partition_columns
+from actiontally.functions.layout import (
+    N_BUCKETS, PARTITION_COLUMNS, SLOT_HOURS, event_hour, with_partition_columns,
+)
 
 ROWS_PER_BUCKET_DIR = 100_000
 
@@ -27,8 +29,7 @@ ROWS_PER_BUCKET_DIR = 100_000
 def _bucket_dirs_needed(df: DataFrame, time_col: str, n_buckets: int, threshold: int) -> bool:
     """Largest slot size divided by the bucket count, from one pruned aggregate pass.
     The collected result is one number."""
-    slot = df.select(F.to_date(time_col).alias("d"), F.hour(time_col).alias("h"))
-    slot = slot.select("d", (F.col("h") / SLOT_HOURS).cast("int").alias("s"))
+    slot = df.select(F.to_date(time_col).alias("d"), event_hour(time_col).alias("s"))
     biggest = slot.groupBy("d", "s").count().agg(F.max("count").alias("m")).first()["m"]
     return bool(biggest) and biggest / n_buckets >= threshold
 
