@@ -1,9 +1,9 @@
 """Command line for ``spark-submit``: run the streams, backfill, curate, compact.
 
-    spark-submit -m actiontally stream --root s3a://bucket/actions --bootstrap host:9092
-    spark-submit -m actiontally backfill --lake .../lake --table .../user_aggregations \\
+    spark-submit --py-files actiontally.zip actiontally/__main__.py stream --root <dir> --bootstrap host:9092
+    spark-submit ... actiontally/__main__.py backfill --lake .../lake --table .../user_aggregations \\
         --start 2024-01-01 --end 2024-01-02
-    spark-submit -m actiontally compact --table .../user_aggregations_realtime \\
+    spark-submit ... actiontally/__main__.py compact --table .../user_aggregations_realtime \\
         --out .../compacted/2024-01-31 --ttl-as-of 2024-01-31
 
 ``--root`` holds the lake, both aggregate tables and the stream checkpoints.
