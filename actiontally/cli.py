@@ -12,7 +12,6 @@
 from __future__ import annotations
 
 import argparse
-import time
 
 from pyspark.sql import SparkSession
 
@@ -20,7 +19,7 @@ from actiontally.functions.decode import decode_events, split_corrupt
 from actiontally.operators.backfill import backfill_to_table
 from actiontally.operators.versions import compact
 from actiontally.session import build_session, pin_utc
-from actiontally.sources.changelog import read_changes
+from actiontally.sources.changelog import next_version, read_changes
 from actiontally.sources.connectors import TOPIC, read_topic
 from actiontally.streaming.jobs import curate_slots, start_all
 
@@ -43,7 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--table", required=True)
     b.add_argument("--start", required=True)
     b.add_argument("--end", required=True)
-    b.add_argument("--version", type=int, help="default: milliseconds since the epoch")
+    b.add_argument("--version", type=int, help="default: one above the newest version of the table")
     c = sub.add_parser("curate", help="rewrite closed slots of the landing lake sorted")
     c.add_argument("--landing", required=True)
     c.add_argument("--lake", required=True)
@@ -76,7 +75,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             spark.streams.awaitAnyTermination()
         return {"queries": sorted(queries)}
     if args.cmd == "backfill":
-        version = args.version if args.version is not None else int(time.time() * 1000)
+        version = args.version if args.version is not None else next_version(spark, args.table)
         backfill_to_table(spark, args.lake, args.table, version, args.start, args.end)
         return {"version": version}
     if args.cmd == "curate":

@@ -2,6 +2,10 @@
 
 Rewriting a version directory replaces it, so a replayed stream batch (the same batch
 id) is idempotent.  Readers collapse versions with ``latest_versions`` (newest wins).
+Every writer takes versions above the newest one present when it starts: a stream at
+its first start (``base + batch id`` afterwards), a backfill per run.  Backfill closed
+slots only; a running stream no longer updates them, since late rows for closed
+windows are dropped.
 """
 
 from __future__ import annotations
@@ -24,6 +28,16 @@ def write_changes(df: DataFrame, table_path: str, version: int, export=None) ->
         export(out.withColumn("version", F.lit(int(version)).cast("long")))
 
 
+def next_version(spark: SparkSession, table_path: str) -> int:
+    """One above the newest version directory of the table (0 for a new table).
+    Lists directory names only; the count of versions is what it reads."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(table_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(path(f"{table_path}/version=*")) or []
+    return max((int(st.getPath().getName().split("=", 1)[1]) + 1 for st in found), default=0)
+
+
 def read_changes(spark: SparkSession, table_path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read
     if schema is not None:

@@ -1,16 +1,17 @@
 """Streaming queries for the three sinks of the action stream.
 
 * ``aggregate_stream``: windowed counts in ``update`` mode; each micro-batch lands in
-  the change log as ``version=<batch id>`` (idempotent on replay) and readers take the
-  newest version of each key, which repairs the repeated emission of open windows.
+  the change log as ``version=<base + batch id>`` (idempotent on replay) and readers
+  take the newest version of each key, which repairs the repeated emission of open
+  windows.
 * ``closed_window_stream``: ``append`` mode, a window is written once, after the
   watermark passes its end.
 * ``lake_stream``: every event into the lake through the exactly-once file sink.
 
 Event time must be TIMESTAMP for a watermark; decoded events carry TIMESTAMP_NTZ, so
 the column is cast (under the UTC session zone) and window edges are cast back.
-Each query owns its checkpoint; ``spark.sql.shuffle.partitions`` is fixed for the
-life of a checkpoint, so size it before the first start.
+Each query owns its checkpoint; the state partition count is fixed for the life of a
+checkpoint, so size it before the first start.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from actiontally.functions.layout import with_partition_columns
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
-from actiontally.sources.changelog import write_changes
+from actiontally.sources.changelog import next_version, write_changes
 from actiontally.sources.lake import lake_scan, write_lake
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -57,10 +58,7 @@ def version_base(spark, table_path: str, checkpoint: str) -> int:
     marks = ck_fs.globStatus(path(f"{checkpoint}/_version_base=*"))
     if marks:
         return int(marks[0].getPath().getName().split("=", 1)[1])
-    base = 0
-    t_fs = path(table_path).getFileSystem(conf)
-    for st in t_fs.globStatus(path(f"{table_path}/version=*")) or []:
-        base = max(base, int(st.getPath().getName().split("=", 1)[1]) + 1)
+    base = next_version(spark, table_path)
     ck_fs.mkdirs(path(checkpoint))
     ck_fs.create(path(f"{checkpoint}/_version_base={base}"), False).close()
     return base
