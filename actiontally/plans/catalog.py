@@ -135,8 +135,8 @@ def lake_backfill_2h(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- versioned aggregate tables ---------------------------------------------------------
 
 def agg_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three versions of the 2-hour totals, each over a longer prefix of time; the
-    newest version of every key wins."""
+    """Three versions of the 2-hour totals as the table grew (events before 01-10, before
+    01-20, then all of them); the newest version of every key wins."""
     pin_utc(spark)
     e = plain_events(spark, sf_dir)
     table_path = scratch_path(spark, "user_aggregations")

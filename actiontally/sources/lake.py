@@ -81,7 +81,7 @@ def lake_scan(spark: SparkSession, path: str, user_id: int | None = None, start=
         last = e - dt.timedelta(microseconds=1)
         days = [(s.date() + dt.timedelta(days=i)) for i in range((last.date() - s.date()).days + 1)]
         if not days:
-            return read_lake(spark, path).limit(0)
+            return read_lake(spark, path).filter(F.lit(False))
         if list_range_only and len(days) <= max_listed_days:
             src = f"{path}/event_date={{{','.join(d.isoformat() for d in days)}}}"
         cond = cond & F.col("event_date").between(day(days[0]), day(days[-1]))
@@ -103,5 +103,5 @@ def lake_scan(spark: SparkSession, path: str, user_id: int | None = None, start=
         df = spark.read.option("basePath", path).parquet(src) if src != path else read_lake(spark, path)
     except AnalysisException:
         # No directory for any day in range: an empty result with the lake's columns.
-        return read_lake(spark, path).limit(0)
+        return read_lake(spark, path).filter(F.lit(False))
     return df.filter(cond)
