@@ -82,3 +82,10 @@ def test_encode_then_decode_round_trip(spark):
     r = decode_events(enc).first()
     assert (r.event_id, r.user_id, r.action_type, r.event_time) == ("e1", 5, "login",
                                                                      dt.datetime(2024, 1, 1, 1, 2, 3, 450000))
+
+
+def test_topic_shaped_binary_value_decodes(spark):
+    text = '{"event_id":"a","user_id":3,"action_type":"login","timestamp":"2026-01-01T10:00:00"}'
+    raw = spark.createDataFrame([(bytearray(text.encode()),)], "value binary")
+    r = decode_events(raw).first()
+    assert (r.event_id, r.user_id, r.event_time) == ("a", 3, dt.datetime(2026, 1, 1, 10))

@@ -165,3 +165,16 @@ def test_new_checkpoint_on_existing_table_continues_versions(spark, scratch):
     want = user_aggregations(src, time_col="ts", type_col="event_type")
     got = read_current(spark, table).select(*want.columns)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_export_hook_receives_each_version(spark, scratch):
+    events = _json_stream(spark, scratch, "/root/testdata/sf0.001")
+    table, exported = f"{scratch}/t", f"{scratch}/exported"
+
+    def export(df):
+        df.write.mode("append").parquet(exported)
+
+    run_to_completion(aggregate_stream(events, table, f"{scratch}/ckpt", trigger=NOW, export=export))
+    ex = spark.read.parquet(exported)
+    assert {"updated_at", "version"} <= set(ex.columns)
+    assert ex.count() == read_changes(spark, table).count()
