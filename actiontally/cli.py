@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--lake", required=True)
     c.add_argument("--start", required=True)
     c.add_argument("--end", required=True)
+    c.add_argument("--bucket-dirs", action="store_true", help="the lake has bucket directories")
     k = sub.add_parser("compact", help="collapse a table's versions into month partitions")
     k.add_argument("--table", required=True)
     k.add_argument("--out", required=True)
@@ -79,6 +80,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         backfill_to_table(spark, args.lake, args.table, version, args.start, args.end)
         return {"version": version}
     if args.cmd == "curate":
-        return {"bucket_dirs": curate_slots(spark, args.landing, args.lake, args.start, args.end)}
+        curate_slots(spark, args.landing, args.lake, args.start, args.end, bucket_dirs=args.bucket_dirs)
+        return {"lake": args.lake}
     compact(read_changes(spark, args.table), args.out, ttl_as_of=args.ttl_as_of, ttl=args.ttl)
     return {"out": args.out}

@@ -5,9 +5,11 @@ within partitions.  Every task writes a narrow key range, so files per leaf stay
 files carry tight min/max statistics, and the sample behind the range bounds splits a
 hot user over several tasks instead of piling it onto one.
 
-``bucket`` becomes a third directory level only when a leaf would hold enough rows
+``bucket`` is a third directory level only for lakes whose leaves hold enough rows
 (full scale: about a million per leaf); below that it stays a sorted column, pruned
-by Parquet statistics rather than by directory.
+by Parquet statistics rather than by directory.  The layout is a property of the lake:
+choose it once (``advise_bucket_dirs``) and pass the same value to every write, since
+Spark cannot read a lake whose directories mix both layouts.
 """
 
 from __future__ import annotations
@@ -26,22 +28,21 @@ from actiontally.functions.layout import (
 ROWS_PER_BUCKET_DIR = 100_000
 
 
-def _bucket_dirs_needed(df: DataFrame, time_col: str, n_buckets: int, threshold: int) -> bool:
-    """Largest slot size divided by the bucket count, from one pruned aggregate pass.
-    The collected result is one number."""
+def advise_bucket_dirs(df: DataFrame, time_col: str = "event_time", n_buckets: int = N_BUCKETS,
+                       threshold: int = ROWS_PER_BUCKET_DIR) -> bool:
+    """Whether a lake fed by data like ``df`` should have bucket directories: the
+    largest slot divided by the bucket count reaches ``threshold`` rows.  One pass over
+    the time column; the collected result is one number."""
     slot = df.select(F.to_date(time_col).alias("d"), event_hour(time_col).alias("s"))
     biggest = slot.groupBy("d", "s").count().agg(F.max("count").alias("m")).first()["m"]
     return bool(biggest) and biggest / n_buckets >= threshold
 
 
 def write_lake(df: DataFrame, path: str, time_col: str = "event_time", user_col: str = "user_id",
-               n_buckets: int = N_BUCKETS, bucket_dirs: bool | str = "auto", mode: str = "append",
-               max_records_per_file: int = 2_000_000, rows_per_bucket_dir: int = ROWS_PER_BUCKET_DIR) -> bool:
+               n_buckets: int = N_BUCKETS, bucket_dirs: bool = False, mode: str = "append",
+               max_records_per_file: int = 2_000_000) -> None:
     """Land events in the lake.  ``mode="overwrite"`` replaces only the slots present in
-    ``df`` (dynamic partition overwrite), which makes a backfill of one day rerunnable.
-    Returns whether ``bucket`` was written as a directory level."""
-    if bucket_dirs == "auto":
-        bucket_dirs = _bucket_dirs_needed(df, time_col, n_buckets, rows_per_bucket_dir)
+    ``df`` (dynamic partition overwrite), which makes a backfill of one day rerunnable."""
     out = with_partition_columns(df, time_col, user_col, n_buckets)
     order = ["event_date", "event_hour", "bucket", user_col, time_col]
     parts = PARTITION_COLUMNS + (["bucket"] if bucket_dirs else [])
@@ -52,7 +53,6 @@ def write_lake(df: DataFrame, path: str, time_col: str = "event_time", user_col:
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*parts)
         .parquet(path))
-    return bool(bucket_dirs)
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:

@@ -160,12 +160,12 @@ def lake_stream(events: DataFrame, lake_path: str, checkpoint: str, trigger: dic
 
 
 def curate_slots(spark, landing_path: str, lake_path: str, start, end, time_col: str = "event_time",
-                 user_col: str = "user_id", bucket_dirs: bool | str = "auto") -> bool:
+                 user_col: str = "user_id", bucket_dirs: bool = False) -> None:
     """Rewrite the closed slots ``[start, end)`` of the landing lake into the sorted batch
     lake (dynamic partition overwrite, so a rerun replaces the same slots)."""
     rows = lake_scan(spark, landing_path, start=start, end=end, time_col=time_col, list_range_only=False)
     rows = rows.drop("event_date", "event_hour", "bucket")
-    return write_lake(rows, lake_path, time_col, user_col, bucket_dirs=bucket_dirs, mode="overwrite")
+    write_lake(rows, lake_path, time_col, user_col, bucket_dirs=bucket_dirs, mode="overwrite")
 
 
 @dataclass

@@ -8,7 +8,7 @@ from actiontally.operators.backfill import backfill_aggregations, backfill_to_ta
 from actiontally.operators.aggregates import user_aggregations
 from actiontally.plans.fixtures import plain_events
 from actiontally.sources.changelog import read_current
-from actiontally.sources.lake import lake_scan, read_lake, write_lake
+from actiontally.sources.lake import advise_bucket_dirs, lake_scan, read_lake, write_lake
 from tests.conftest import SF01
 
 
@@ -28,7 +28,7 @@ def test_row_count_and_one_window_per_slot(spark, scratch):
 
 def test_bucket_directories_when_forced(spark, scratch):
     e = plain_events(spark, "/root/testdata/sf0.001")
-    assert write_lake(e, scratch, time_col="ts", bucket_dirs=True)
+    write_lake(e, scratch, time_col="ts", bucket_dirs=True)
     lake = read_lake(spark, scratch)
     assert lake.count() == e.count()
     assert lake.filter(F.col("bucket") != F.pmod("user_id", F.lit(128))).count() == 0
@@ -36,8 +36,10 @@ def test_bucket_directories_when_forced(spark, scratch):
     assert "bucket" in _plan(hit).split("PartitionFilters")[1].split("]")[0]
 
 
-def test_auto_layout_keeps_bucket_as_a_column_for_small_slots(spark, scratch):
-    assert not write_lake(plain_events(spark, SF01), scratch, time_col="ts")
+def test_layout_advice(spark):
+    e = plain_events(spark, SF01)
+    assert not advise_bucket_dirs(e, "ts")
+    assert advise_bucket_dirs(e, "ts", threshold=0.1)  # largest slot holds ~40 rows: 0.3 per bucket
 
 
 def test_point_lookup_prunes_partitions_and_pushes_filters(spark, scratch):
