@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--watermark", default="10 minutes")
     s.add_argument("--max-offsets", type=int)
+    s.add_argument("--min-partitions", type=int)
     s.add_argument("--dedup", action="store_true")
     b = sub.add_parser("backfill", help="recompute [start, end) of the 2-hour table from the lake")
     b.add_argument("--lake", required=True)
@@ -65,7 +66,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         if args.json_dir:
             raw = spark.readStream.schema("value string").text(args.json_dir)
         else:
-            raw = read_topic(spark, args.bootstrap, args.topic, max_offsets_per_trigger=args.max_offsets)
+            raw = read_topic(spark, args.bootstrap, args.topic, max_offsets_per_trigger=args.max_offsets,
+                             min_partitions=args.min_partitions)
         events, _ = split_corrupt(decode_events(raw))
         trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
         queries = start_all(events, args.root, trigger, args.watermark, dedup=args.dedup)

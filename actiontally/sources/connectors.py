@@ -15,7 +15,10 @@ TOPIC = "user_actions_topic"
 
 
 def read_topic(spark: SparkSession, bootstrap: str, topic: str = TOPIC, starting_offsets: str = "latest",
-               max_offsets_per_trigger: int | None = None) -> DataFrame:
+               max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
+    """The topic as a stream of ``value`` texts.  ``max_offsets_per_trigger`` bounds a
+    micro-batch; ``min_partitions`` splits each topic partition's offset range over
+    several tasks, so parallelism is not capped at the topic's partition count."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap)
               .option("subscribe", topic)
@@ -23,6 +26,8 @@ def read_topic(spark: SparkSession, bootstrap: str, topic: str = TOPIC, starting
               .option("failOnDataLoss", "false"))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load().select(F.col("value").cast("string").alias("value"),
                                 F.col("timestamp").alias("kafka_timestamp"))
 
