@@ -89,3 +89,12 @@ def test_topic_shaped_binary_value_decodes(spark):
     raw = spark.createDataFrame([(bytearray(text.encode()),)], "value binary")
     r = decode_events(raw).first()
     assert (r.event_id, r.user_id, r.event_time) == ("a", 3, dt.datetime(2026, 1, 1, 10))
+
+
+def test_topic_reader_needs_the_connector_jar(spark):
+    import pytest
+
+    from actiontally.sources.connectors import read_topic
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_topic(spark, "localhost:9", min_partitions=12)
