@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from actiontally.operators.versions import (
     compact, current_rows, expire_before, latest_versions, lookup_aggregates,
