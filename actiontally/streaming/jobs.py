@@ -9,7 +9,9 @@
 * ``lake_stream``: every event into the lake through the exactly-once file sink.
 
 Event time must be TIMESTAMP for a watermark; decoded events carry TIMESTAMP_NTZ, so
-the column is cast (under the UTC session zone) and window edges are cast back.
+the column is cast and window edges are cast back.  Both casts use the session zone,
+which is pinned to UTC before the plan is built; under another zone every window
+would shift.
 Each query owns its checkpoint; the state partition count is fixed for the life of a
 checkpoint, so size it before the first start.
 """
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from actiontally.functions.layout import with_partition_columns
+from actiontally.session import pin_utc
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
 from actiontally.sources.changelog import next_version, write_changes
 from actiontally.sources.lake import lake_scan, write_lake
@@ -32,6 +35,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def _with_event_time(events: DataFrame, time_col: str, watermark: str, dedup: bool = False) -> DataFrame:
+    # The cast's zone is fixed when the plan is built: pin UTC first (see module doc).
+    pin_utc(events.sparkSession)
     ev = events.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, watermark)
     return ev.dropDuplicatesWithinWatermark(["event_id"]) if dedup else ev
 
@@ -103,9 +108,15 @@ def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, durati
                      with_types: bool = True, watermark: str = "10 minutes", trigger: dict | None = None,
                      time_col: str = "event_time", user_col: str = "user_id", type_col: str = "action_type",
                      export=None, name: str | None = None, state_store: str | None = "rocksdb",
-                     dedup: bool = False, state_partitions: int | None = None) -> StreamingQuery:
+                     dedup: bool = False, state_partitions: int | None = None,
+                     output_files: int | None = None) -> StreamingQuery:
     """Totals (and per-type counts) per user and window into a versioned change log.
-    With ``dedup`` a repeated ``event_id`` within the watermark delay counts once."""
+
+    With ``dedup`` a repeated ``event_id`` within the watermark delay counts once.
+    Each micro-batch writes one file per state partition; with thousands of state
+    partitions set ``output_files`` to shuffle just the batch's updated rows into that
+    many files (compaction merges versions later either way).
+    """
     base = version_base(events.sparkSession, table_path, checkpoint)
     ev = _with_event_time(events, time_col, watermark, dedup)
     if with_types:
@@ -115,7 +126,8 @@ def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, durati
             .withColumn("aggregation_type", F.lit("total"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_changes(batch, table_path, base + batch_id, export)
+        rows = batch.repartition(output_files) if output_files else batch
+        write_changes(rows, table_path, base + batch_id, export)
 
     with _start_settings(events.sparkSession, state_store, state_partitions, evict_without_data=False):
         return _writer(agg, checkpoint, trigger, name).outputMode("update").foreachBatch(sink).start()

@@ -178,3 +178,19 @@ def test_export_hook_receives_each_version(spark, scratch):
     ex = spark.read.parquet(exported)
     assert {"updated_at", "version"} <= set(ex.columns)
     assert ex.count() == read_changes(spark, table).count()
+
+
+def test_stream_windows_do_not_depend_on_the_callers_zone(spark, scratch):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        src = plain_events(spark, "/root/testdata/sf0.001").select("event_id", "ts", "user_id", "event_type")
+        src.write.parquet(f"{scratch}/in")
+        run_to_completion(aggregate_stream(file_stream(spark, f"{scratch}/in", src.schema), f"{scratch}/t",
+                                           f"{scratch}/ck", trigger=NOW, time_col="ts", type_col="event_type",
+                                           output_files=2))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    want = user_aggregations(src, time_col="ts", type_col="event_type")
+    got = read_current(spark, f"{scratch}/t").select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert len(spark.read.parquet(f"{scratch}/t").inputFiles()) <= 2
