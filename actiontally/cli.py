@@ -38,6 +38,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--max-offsets", type=int)
     s.add_argument("--min-partitions", type=int)
     s.add_argument("--dedup", action="store_true")
+    s.add_argument("--state-partitions", type=int, help="fixed at the first start of a checkpoint")
+    s.add_argument("--output-files", type=int, help="files per change-log version")
+    s.add_argument("--bucket-dirs", action="store_true", help="lake with bucket directories")
     b = sub.add_parser("backfill", help="recompute [start, end) of the 2-hour table from the lake")
     b.add_argument("--lake", required=True)
     b.add_argument("--table", required=True)
@@ -70,7 +73,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                              min_partitions=args.min_partitions)
         events, _ = split_corrupt(decode_events(raw))
         trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
-        queries = start_all(events, args.root, trigger, args.watermark, dedup=args.dedup)
+        queries = start_all(events, args.root, trigger, args.watermark, dedup=args.dedup,
+                            state_partitions=args.state_partitions, output_files=args.output_files,
+                            bucket_dirs=args.bucket_dirs)
         if args.available_now:
             for q in queries.values():
                 q.awaitTermination()

@@ -208,19 +208,21 @@ def run_to_completion(query: StreamingQuery, timeout_s: int = 600) -> StreamResu
 
 def start_all(events: DataFrame, root: str, trigger: dict | None = None, watermark: str = "10 minutes",
               realtime_window: str = "5 minutes", export_2h=None, export_5m=None,
-              dedup: bool = False) -> dict[str, StreamingQuery]:
+              dedup: bool = False, state_partitions: int | None = None, output_files: int | None = None,
+              bucket_dirs: bool = False) -> dict[str, StreamingQuery]:
     """One decoded source fanned out to the lake and both aggregate tables.
 
     State is per query, so each sink has its own checkpoint under ``root``.
     """
+    agg = dict(trigger=trigger, watermark=watermark, dedup=dedup, state_partitions=state_partitions,
+               output_files=output_files)
     return {
         "lake": lake_stream(events, f"{root}/lake", f"{root}/_checkpoints/lake", trigger,
-                            dedup_watermark=watermark if dedup else None, name="lake"),
+                            bucket_dirs=bucket_dirs, dedup_watermark=watermark if dedup else None, name="lake"),
         "user_aggregations": aggregate_stream(
             events, f"{root}/user_aggregations", f"{root}/_checkpoints/user_aggregations", "2 hours", True,
-            watermark, trigger, export=export_2h, name="user_aggregations", dedup=dedup),
+            export=export_2h, name="user_aggregations", **agg),
         "user_aggregations_realtime": aggregate_stream(
             events, f"{root}/user_aggregations_realtime", f"{root}/_checkpoints/user_aggregations_realtime",
-            realtime_window, False, watermark, trigger, export=export_5m, name="user_aggregations_realtime",
-            dedup=dedup),
+            realtime_window, False, export=export_5m, name="user_aggregations_realtime", **agg),
     }
