@@ -17,15 +17,22 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 
 def write_changes(df: DataFrame, table_path: str, version: int, export=None) -> None:
-    """Append one version of aggregate rows; ``updated_at`` stamps the write time.
+    """Write one version of aggregate rows; ``updated_at`` stamps the write time.
 
     ``export`` (optional) receives the same stamped rows, e.g. a JDBC writer for an
-    external OLAP store.
+    external OLAP store.  The rows are persisted across the two writes, so a stream's
+    micro-batch plan runs once and both copies carry the same ``updated_at``.
     """
     out = df.withColumn("updated_at", F.localtimestamp())
-    out.write.mode("overwrite").parquet(f"{table_path}/version={int(version)}")
     if export is not None:
-        export(out.withColumn("version", F.lit(int(version)).cast("long")))
+        out = out.persist()
+    try:
+        out.write.mode("overwrite").parquet(f"{table_path}/version={int(version)}")
+        if export is not None:
+            export(out.withColumn("version", F.lit(int(version)).cast("long")))
+    finally:
+        if export is not None:
+            out.unpersist()
 
 
 def next_version(spark: SparkSession, table_path: str) -> int:

@@ -178,6 +178,8 @@ def test_export_hook_receives_each_version(spark, scratch):
     ex = spark.read.parquet(exported)
     assert {"updated_at", "version"} <= set(ex.columns)
     assert ex.count() == read_changes(spark, table).count()
+    key = ["user_id", "aggregation_type", "window_start", "window_end", "total_actions", "updated_at", "version"]
+    assert ex.select(*key).exceptAll(read_changes(spark, table).select(*key)).count() == 0
 
 
 def test_stream_windows_do_not_depend_on_the_callers_zone(spark, scratch):
