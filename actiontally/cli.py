@@ -89,5 +89,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.cmd == "curate":
         curate_slots(spark, args.landing, args.lake, args.start, args.end, bucket_dirs=args.bucket_dirs)
         return {"lake": args.lake}
-    compact(read_changes(spark, args.table), args.out, ttl_as_of=args.ttl_as_of, ttl=args.ttl)
+    upto = next_version(spark, args.table) - 1
+    compact(read_changes(spark, args.table), args.out, ttl_as_of=args.ttl_as_of, ttl=args.ttl, upto=upto)
     return {"out": args.out}

@@ -85,7 +85,7 @@ def month_summary(table: DataFrame) -> DataFrame:
 
 
 def compact(changes: DataFrame, out_path: str, ttl_as_of: str | dt.datetime | None = None,
-            ttl: str = "7 days", max_records_per_file: int = 5_000_000) -> None:
+            ttl: str = "7 days", max_records_per_file: int = 5_000_000, upto: int | None = None) -> None:
     """Collapse a change log and rewrite it by month, sorted by the table key.
 
     One shuffle: range partitioning on (yyyymm, user_id, aggregation_type, window_start)
@@ -95,7 +95,14 @@ def compact(changes: DataFrame, out_path: str, ttl_as_of: str | dt.datetime | No
     groups by statistics, and the sample behind the bounds splits a hot user over
     several tasks.  Writes a new directory: readers switch to it; files under a live
     sink are never rewritten.  With ``ttl_as_of`` expired rows are purged on the way.
+
+    ``upto`` (the newest version to include, e.g. ``next_version(table) - 1`` taken from
+    the directory listing) leaves out versions that land while compaction runs and is
+    recorded as the marker ``_upto-<v>``, so readers combine the compacted table with
+    the newer versions without scanning it.
     """
+    if upto is not None:
+        changes = changes.filter(F.col("version") <= F.lit(int(upto)))
     if ttl_as_of is not None:
         changes = expire_before(changes, ttl_as_of, ttl)
     order = ["yyyymm", "user_id", "aggregation_type", "window_start"]
@@ -106,3 +113,7 @@ def compact(changes: DataFrame, out_path: str, ttl_as_of: str | dt.datetime | No
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("yyyymm")
         .parquet(out_path))
+    if upto is not None:
+        from actiontally.sources.changelog import write_marker  # sources import this module
+
+        write_marker(changes.sparkSession, out_path, "upto", upto)

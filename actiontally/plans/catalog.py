@@ -25,7 +25,7 @@ from actiontally.plans.fixtures import (
     family_envelope, json_envelope, order_events, plain_events,
 )
 from actiontally.session import pin_utc, scratch_path
-from actiontally.sources.changelog import read_changes, read_current, write_changes
+from actiontally.sources.changelog import next_version, read_changes, read_current, write_changes
 from actiontally.sources.lake import lake_scan, read_lake, write_lake
 from actiontally.streaming.jobs import aggregate_stream, closed_window_stream
 from actiontally.streaming.staging import file_stream, replay_slices
@@ -156,7 +156,7 @@ def _compacted_table(spark: SparkSession, events: DataFrame, type_col: str, time
     write_changes(user_aggregations(early, "2 hours", time_col=time_col, type_col=type_col), table_path, 0)
     write_changes(user_aggregations(events, "2 hours", time_col=time_col, type_col=type_col), table_path, 1)
     out = scratch_path(spark, "user_aggregations_compacted")
-    compact(read_changes(spark, table_path), out)
+    compact(read_changes(spark, table_path), out, upto=next_version(spark, table_path) - 1)
     return out
 
 

@@ -35,12 +35,29 @@ def write_changes(df: DataFrame, table_path: str, version: int, export=None) ->
             out.unpersist()
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path
+
+
+def read_marker(spark: SparkSession, directory: str, name: str) -> int | None:
+    """Value of an empty marker file ``<directory>/_<name>-<value>`` (None if absent).
+    File listing of readers skips names that start with ``_`` and hold no ``=``."""
+    fs, path = _fs(spark, directory)
+    found = fs.globStatus(path(f"{directory}/_{name}-*"))
+    return int(found[0].getPath().getName().rsplit("-", 1)[1]) if found else None
+
+
+def write_marker(spark: SparkSession, directory: str, name: str, value: int) -> None:
+    fs, path = _fs(spark, directory)
+    fs.mkdirs(path(directory))
+    fs.create(path(f"{directory}/_{name}-{int(value)}"), True).close()
+
+
 def next_version(spark: SparkSession, table_path: str) -> int:
     """One above the newest version directory of the table (0 for a new table).
     Lists directory names only; the count of versions is what it reads."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(table_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, path = _fs(spark, table_path)
     found = fs.globStatus(path(f"{table_path}/version=*")) or []
     return max((int(st.getPath().getName().split("=", 1)[1]) + 1 for st in found), default=0)
 
@@ -57,13 +74,16 @@ def read_current(spark: SparkSession, table_path: str, schema: StructType | None
                  compacted: str | None = None) -> DataFrame:
     """Current rows.  With ``compacted`` (a ``compact`` output of this table) only the
     versions newer than the compaction are collapsed with it, not the whole history;
-    the version bound is a partition filter on the change log."""
+    the version bound, read from the compaction's marker, is a partition filter on the
+    change log."""
     from actiontally.operators.versions import current_rows  # operators import this module
 
     changes = read_changes(spark, table_path, schema)
     if compacted is not None:
         done = spark.read.parquet(compacted)
-        upto = done.agg(F.max("version")).first()[0]
+        upto = read_marker(spark, compacted, "upto")
+        if upto is None:  # compacted without a recorded bound: one pass over its version column
+            upto = done.agg(F.max("version")).first()[0]
         if upto is not None:
             changes = changes.filter(F.col("version") > F.lit(upto)).unionByName(
                 done.drop("yyyymm").withColumn("version", F.col("version").cast("long")))

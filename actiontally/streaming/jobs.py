@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from actiontally.functions.layout import with_partition_columns
 from actiontally.session import pin_utc
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
-from actiontally.sources.changelog import next_version, write_changes
+from actiontally.sources.changelog import next_version, read_marker, write_changes, write_marker
 from actiontally.sources.lake import lake_scan, write_lake
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -53,19 +53,13 @@ def version_base(spark, table_path: str, checkpoint: str) -> int:
 
     Batch ids restart at 0 with a new checkpoint, so versions are ``base + batch id``
     with ``base`` one above the newest version in the table when the checkpoint is
-    first used.  The base is recorded beside the checkpoint (``_version_base=<n>``), so
+    first used.  The base is recorded beside the checkpoint (``_version_base-<n>``), so
     a restart or a replayed batch maps to the same version again.
     """
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    ck_fs = path(checkpoint).getFileSystem(conf)
-    marks = ck_fs.globStatus(path(f"{checkpoint}/_version_base=*"))
-    if marks:
-        return int(marks[0].getPath().getName().split("=", 1)[1])
-    base = next_version(spark, table_path)
-    ck_fs.mkdirs(path(checkpoint))
-    ck_fs.create(path(f"{checkpoint}/_version_base={base}"), False).close()
+    base = read_marker(spark, checkpoint, "version_base")
+    if base is None:
+        base = next_version(spark, table_path)
+        write_marker(spark, checkpoint, "version_base", base)
     return base
 
 

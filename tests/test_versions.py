@@ -8,7 +8,7 @@ import datetime as dt
 from actiontally.operators.versions import (
     compact, current_rows, expire_before, latest_versions, lookup_aggregates,
 )
-from actiontally.sources.changelog import read_changes, read_current, write_changes
+from actiontally.sources.changelog import read_changes, read_current, read_marker, write_changes
 
 T = dt.datetime
 
@@ -95,7 +95,8 @@ def test_reader_combines_compacted_table_with_newer_versions(spark, scratch):
     ch, out = f"{scratch}/changes", f"{scratch}/compacted"
     write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 3, "total"),
                                 (2, T(2024, 1, 1), T(2024, 1, 1, 2), 1, "total")]), ch, 0)
-    compact(read_changes(spark, ch), out)
+    compact(read_changes(spark, ch), out, upto=0)
+    assert read_marker(spark, out, "upto") == 0
     write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 7, "total")]), ch, 1)
     cur = read_current(spark, ch, compacted=out)
     plan = cur._jdf.queryExecution().executedPlan().toString()
