@@ -62,29 +62,42 @@ def next_version(spark: SparkSession, table_path: str) -> int:
     return max((int(st.getPath().getName().split("=", 1)[1]) + 1 for st in found), default=0)
 
 
-def read_changes(spark: SparkSession, table_path: str, schema: StructType | None = None) -> DataFrame:
+def version_dirs(spark: SparkSession, table_path: str, above: int = -1) -> list[str]:
+    """Directories of the versions newer than ``above`` (names from one listing)."""
+    fs, path = _fs(spark, table_path)
+    out = []
+    for st in fs.globStatus(path(f"{table_path}/version=*")) or []:
+        if int(st.getPath().getName().split("=", 1)[1]) > above:
+            out.append(st.getPath().toString())
+    return out
+
+
+def read_changes(spark: SparkSession, table_path: str, schema: StructType | None = None,
+                 paths: list[str] | None = None) -> DataFrame:
+    """The change log; ``paths`` limits the read (and the file listing) to some versions."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(StructType([*schema.fields, StructField("version", LongType())]))
-    df = reader.parquet(table_path)
+    df = reader.option("basePath", table_path).parquet(*paths) if paths else reader.parquet(table_path)
     return df.withColumn("version", F.col("version").cast("long"))
 
 
 def read_current(spark: SparkSession, table_path: str, schema: StructType | None = None,
                  compacted: str | None = None) -> DataFrame:
     """Current rows.  With ``compacted`` (a ``compact`` output of this table) only the
-    versions newer than the compaction are collapsed with it, not the whole history;
-    the version bound, read from the compaction's marker, is a partition filter on the
-    change log."""
+    versions newer than the compaction are collapsed with it, not the whole history:
+    the bound comes from the compaction's marker, and only the newer version
+    directories are listed and read."""
     from actiontally.operators.versions import current_rows  # operators import this module
 
-    changes = read_changes(spark, table_path, schema)
-    if compacted is not None:
-        done = spark.read.parquet(compacted)
-        upto = read_marker(spark, compacted, "upto")
-        if upto is None:  # compacted without a recorded bound: one pass over its version column
-            upto = done.agg(F.max("version")).first()[0]
-        if upto is not None:
-            changes = changes.filter(F.col("version") > F.lit(upto)).unionByName(
-                done.drop("yyyymm").withColumn("version", F.col("version").cast("long")))
-    return current_rows(changes)
+    if compacted is None:
+        return current_rows(read_changes(spark, table_path, schema))
+    done = spark.read.parquet(compacted)
+    upto = read_marker(spark, compacted, "upto")
+    if upto is None:  # compacted without a recorded bound: one pass over its version column
+        upto = done.agg(F.max("version")).first()[0]
+    base = done.drop("yyyymm").withColumn("version", F.col("version").cast("long"))
+    newer = version_dirs(spark, table_path, -1 if upto is None else upto)
+    if newer:
+        base = read_changes(spark, table_path, schema, newer).unionByName(base)
+    return current_rows(base)
