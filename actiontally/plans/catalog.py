@@ -27,8 +27,8 @@ from actiontally.plans.fixtures import (
 from actiontally.session import pin_utc, scratch_path
 from actiontally.sources.changelog import next_version, read_changes, read_current, write_changes
 from actiontally.sources.lake import lake_scan, read_lake, write_lake
-from actiontally.streaming.jobs import aggregate_stream, closed_window_stream
-from actiontally.streaming.staging import file_stream, replay_slices
+from actiontally.streaming.jobs import aggregate_stream, closed_window_stream, run_to_completion
+from actiontally.streaming.staging import file_stream, stage_slices
 
 AGG_COLS = ["user_id", "window_start", "window_end", "total_actions", "aggregation_type"]
 COUNT_COLS = ["user_id", "window_start", "window_end", "total_actions"]
@@ -200,12 +200,13 @@ def _cores(spark: SparkSession) -> int:
 
 
 def _replayed(spark: SparkSession, sf_dir: str, start, replay_first: bool = False) -> None:
-    """Feed ``events`` to the stream ``start(source_dir, schema)`` in six event-time slices."""
+    """Feed ``events`` to the stream ``start(source)`` in six event-time slices, one
+    ``availableNow`` run taking about one slice per micro-batch."""
     pin_utc(spark)
     src = plain_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
     staged = scratch_path(spark, "stream_input")
-    replay_slices(src, staged, "ts", lambda: start(file_stream(spark, staged, src.schema)), n_slices=6,
-                  replay_first=replay_first)
+    per_batch = stage_slices(src, staged, "ts", n_slices=6, replay_first=replay_first)
+    run_to_completion(start(file_stream(spark, staged, src.schema, max_files_per_trigger=per_batch)))
 
 
 def stream_user_aggregations_2h(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,9 @@ from actiontally.streaming.jobs import (
     StreamResult, aggregate_stream, closed_window_stream, curate_slots, lake_stream, run_to_completion,
     start_all,
 )
-from actiontally.streaming.staging import file_stream, replay_slices, time_slices
+from actiontally.streaming.staging import file_stream, replay_slices, stage_slices, time_slices
 
 __all__ = [
     "StreamResult", "aggregate_stream", "closed_window_stream", "curate_slots", "lake_stream", "run_to_completion",
-    "start_all", "file_stream", "replay_slices", "time_slices",
+    "start_all", "file_stream", "replay_slices", "stage_slices", "time_slices",
 ]

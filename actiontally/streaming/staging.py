@@ -1,11 +1,15 @@
 """Replaying a table as a stream, slice by slice.
 
-The table is cut into slices of equal event-time width.  Each slice is appended to
-the source directory by a parallel write, and then the streaming query is run with
-``availableNow`` on its checkpoint until it has consumed the slice.  So every slice
-is one micro-batch (or several), slices arrive in event-time order, no slice is ever
-funnelled through one task, and every run after the first is a restart from the
-checkpoint.
+The table is cut into slices of equal event-time width, and each slice is appended to
+the source directory by its own parallel write, oldest first, so file modification
+times ascend with event time and the file source (which takes files oldest first)
+sees the slices in order.  No slice is funnelled through one task.
+
+* ``stage_slices`` writes all slices; one ``availableNow`` run with
+  ``maxFilesPerTrigger`` set to the largest slice's file count then takes about one
+  slice per micro-batch.
+* ``replay_slices`` runs the query once per slice, restarting it from its checkpoint
+  each time.
 """
 
 from __future__ import annotations
@@ -33,6 +37,30 @@ def time_slices(df: DataFrame, time_col: str, n_slices: int) -> list:
     return out
 
 
+def _count_files(spark: SparkSession, path: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return len(fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*.parquet")) or [])
+
+
+def stage_slices(df: DataFrame, source_path: str, time_col: str, n_slices: int = 6,
+                 replay_first: bool = False) -> int:
+    """Write ``df`` slice by slice (oldest first); with ``replay_first`` the oldest slice
+    again at the end, as a late re-delivery.  Returns the largest file count of a slice,
+    a ``maxFilesPerTrigger`` that gives about one slice per micro-batch.  Only file
+    names are listed to count files."""
+    spark = df.sparkSession
+    slices = time_slices(df, time_col, n_slices)
+    if replay_first:
+        slices.append(slices[0])
+    before, widest = _count_files(spark, source_path), 1
+    for cond in slices:
+        df.filter(cond).write.mode("append").parquet(source_path)
+        after = _count_files(spark, source_path)
+        widest, before = max(widest, after - before), after
+    return widest
+
+
 def file_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None
                 ) -> DataFrame:
     reader = spark.readStream.schema(schema)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from actiontally.functions.decode import decode_events, split_corrupt
@@ -14,7 +16,7 @@ from actiontally.sources.lake import read_lake
 from actiontally.streaming.jobs import (
     aggregate_stream, closed_window_stream, curate_slots, lake_stream, run_to_completion, start_all,
 )
-from actiontally.streaming.staging import file_stream, replay_slices
+from actiontally.streaming.staging import file_stream, replay_slices, stage_slices
 
 T = dt.datetime
 NOW = {"availableNow": True}
@@ -54,11 +56,17 @@ def test_late_row_of_an_open_window_counts(spark, scratch):
     assert (1, T(2024, 1, 1, 2), T(2024, 1, 1, 4), 2) in got
 
 
-def test_redelivered_oldest_slice_is_dropped(spark, scratch):
+@pytest.mark.parametrize("mode", ["restart_per_slice", "one_run"])
+def test_redelivered_oldest_slice_is_dropped(spark, scratch, mode):
     src = plain_events(spark, "/root/testdata/sf0.01").select("event_id", "ts", "user_id", "event_type")
     staged, out, ckpt = f"{scratch}/in", f"{scratch}/out", f"{scratch}/ckpt"
-    res = replay_slices(src, staged, "ts", lambda: closed_window_stream(
-        file_stream(spark, staged, src.schema), out, ckpt, trigger=NOW, time_col="ts"), 6, replay_first=True)
+    if mode == "one_run":
+        per_batch = stage_slices(src, staged, "ts", 6, replay_first=True)
+        res = run_to_completion(closed_window_stream(
+            file_stream(spark, staged, src.schema, per_batch), out, ckpt, trigger=NOW, time_col="ts"))
+    else:
+        res = replay_slices(src, staged, "ts", lambda: closed_window_stream(
+            file_stream(spark, staged, src.schema), out, ckpt, trigger=NOW, time_col="ts"), 6, replay_first=True)
     lo, hi = src.agg(F.min("ts"), F.max("ts")).first()
     first_slice = src.filter(F.col("ts") < F.lit((lo + (hi - lo) / 6).isoformat(sep=" ")).cast("timestamp_ntz"))
     # Late rows are filtered at the stateful operator, after the map-side partial
