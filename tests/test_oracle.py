@@ -11,6 +11,11 @@ from tools.compare import TABLES, digest
 from __spark_entry__ import oracle_sql, queries
 
 
+# Spark type → DuckDB result type, for the types the queries produce.
+DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+        "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -31,6 +36,8 @@ def test_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    otypes = {d[0]: str(d[1]) for d in res.description}
+    assert {f.name: DUCK.get(f.dataType.simpleString()) for f in df.schema.fields} == otypes
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
