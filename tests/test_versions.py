@@ -104,3 +104,17 @@ def test_reader_combines_compacted_table_with_newer_versions(spark, scratch):
     assert {(r.user_id, r.total_actions) for r in cur.collect()} == {(1, 7), (2, 1)}
     assert {(r.user_id, r.total_actions) for r in read_current(spark, f"{scratch}/none", compacted=out)
             .collect()} == {(1, 3), (2, 1)}
+
+
+def test_lookup_across_a_month_boundary(spark, scratch):
+    ch, out = f"{scratch}/changes", f"{scratch}/compacted"
+    write_changes(_rows(spark, [(8, T(2024, 1, 31, 22), T(2024, 2, 1), 1, "total"),
+                                (8, T(2024, 2, 1, 0), T(2024, 2, 1, 2), 2, "total"),
+                                (8, T(2024, 3, 1, 0), T(2024, 3, 1, 2), 3, "total")]), ch, 0)
+    compact(read_changes(spark, ch), out)
+    table = spark.read.parquet(out)
+    both = lookup_aggregates(table, 8, "total", "2024-01-31", "2024-02-02")
+    assert sorted(r.total_actions for r in both.collect()) == [1, 2]
+    january = lookup_aggregates(table, 8, "total", "2024-01-31", "2024-02-01")
+    part = january._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
+    assert "202401" in part.split("], ")[0] and [r.total_actions for r in january.collect()] == [1]
