@@ -118,3 +118,9 @@ def test_lookup_across_a_month_boundary(spark, scratch):
     january = lookup_aggregates(table, 8, "total", "2024-01-31", "2024-02-01")
     part = january._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
     assert "202401" in part.split("], ")[0] and [r.total_actions for r in january.collect()] == [1]
+
+
+def test_ttl_predicate_reaches_the_parquet_reader(spark, scratch):
+    write_changes(_rows(spark, [(1, T(2024, 1, 20), T(2024, 1, 20, 0, 5), 1, "total")]), scratch, 0)
+    plan = expire_before(read_changes(spark, scratch), "2024-01-31")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(window_start" in plan.split("PushedFilters: [")[1].split("], ")[0]
