@@ -12,13 +12,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this package relies on.
+# Settings every job in this package relies on.  (Dynamic partition overwrite is set per
+# write by the lake writer, not for the whole session.)
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
