@@ -19,7 +19,7 @@ from actiontally.functions.decode import decode_events, split_corrupt
 from actiontally.operators.backfill import backfill_to_table
 from actiontally.operators.versions import compact
 from actiontally.session import build_session, pin_utc
-from actiontally.sources.changelog import next_version, read_changes
+from actiontally.sources.changelog import changes_since, next_version, read_changes
 from actiontally.sources.connectors import TOPIC, read_topic
 from actiontally.streaming.jobs import curate_slots, start_all
 
@@ -58,6 +58,7 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--out", required=True)
     k.add_argument("--ttl-as-of")
     k.add_argument("--ttl", default="7 days")
+    k.add_argument("--previous", help="last compaction of this table: start from it, not from the history")
     return p
 
 
@@ -90,5 +91,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         curate_slots(spark, args.landing, args.lake, args.start, args.end, bucket_dirs=args.bucket_dirs)
         return {"lake": args.lake}
     upto = next_version(spark, args.table) - 1
-    compact(read_changes(spark, args.table), args.out, ttl_as_of=args.ttl_as_of, ttl=args.ttl, upto=upto)
+    changes = changes_since(spark, args.table, args.previous) if args.previous else read_changes(spark, args.table)
+    compact(changes, args.out, ttl_as_of=args.ttl_as_of, ttl=args.ttl, upto=upto)
     return {"out": args.out}

@@ -82,16 +82,11 @@ def read_changes(spark: SparkSession, table_path: str, schema: StructType | None
     return df.withColumn("version", F.col("version").cast("long"))
 
 
-def read_current(spark: SparkSession, table_path: str, schema: StructType | None = None,
-                 compacted: str | None = None) -> DataFrame:
-    """Current rows.  With ``compacted`` (a ``compact`` output of this table) only the
-    versions newer than the compaction are collapsed with it, not the whole history:
-    the bound comes from the compaction's marker, and only the newer version
-    directories are listed and read."""
-    from actiontally.operators.versions import current_rows  # operators import this module
-
-    if compacted is None:
-        return current_rows(read_changes(spark, table_path, schema))
+def changes_since(spark: SparkSession, table_path: str, compacted: str, schema: StructType | None = None
+                  ) -> DataFrame:
+    """The rows of a compaction of this table plus the versions written after it: all a
+    reader or the next compaction needs, instead of the whole history.  The bound comes
+    from the compaction's marker; only the newer version directories are listed and read."""
     done = spark.read.parquet(compacted)
     upto = read_marker(spark, compacted, "upto")
     if upto is None:  # compacted without a recorded bound: one pass over its version column
@@ -100,4 +95,15 @@ def read_current(spark: SparkSession, table_path: str, schema: StructType | None
     newer = version_dirs(spark, table_path, -1 if upto is None else upto)
     if newer:
         base = read_changes(spark, table_path, schema, newer).unionByName(base)
-    return current_rows(base)
+    return base
+
+
+def read_current(spark: SparkSession, table_path: str, schema: StructType | None = None,
+                 compacted: str | None = None) -> DataFrame:
+    """Current rows; with ``compacted`` (a ``compact`` output of this table) from
+    ``changes_since`` rather than the whole history."""
+    from actiontally.operators.versions import current_rows  # operators import this module
+
+    if compacted is None:
+        return current_rows(read_changes(spark, table_path, schema))
+    return current_rows(changes_since(spark, table_path, compacted, schema))

@@ -124,3 +124,20 @@ def test_ttl_predicate_reaches_the_parquet_reader(spark, scratch):
     write_changes(_rows(spark, [(1, T(2024, 1, 20), T(2024, 1, 20, 0, 5), 1, "total")]), scratch, 0)
     plan = expire_before(read_changes(spark, scratch), "2024-01-31")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(window_start" in plan.split("PushedFilters: [")[1].split("], ")[0]
+
+
+def test_incremental_compaction_starts_from_the_previous_one(spark, scratch):
+    from actiontally.sources.changelog import changes_since
+
+    ch, c1, c2 = f"{scratch}/changes", f"{scratch}/c1", f"{scratch}/c2"
+    write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 3, "total"),
+                                (2, T(2024, 1, 1), T(2024, 1, 1, 2), 1, "total")]), ch, 0)
+    compact(read_changes(spark, ch), c1, upto=0)
+    write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 7, "total"),
+                                (3, T(2024, 2, 1), T(2024, 2, 1, 2), 2, "total")]), ch, 1)
+    since = changes_since(spark, ch, c1)
+    assert all("version=0" not in f for f in since.inputFiles())
+    compact(since, c2, upto=1)
+    got = {(r.user_id, r.total_actions, r.version) for r in spark.read.parquet(c2).collect()}
+    assert got == {(1, 7, 1), (2, 1, 0), (3, 2, 1)}
+    assert read_marker(spark, c2, "upto") == 1
