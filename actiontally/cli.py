@@ -41,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--state-partitions", type=int, help="fixed at the first start of a checkpoint")
     s.add_argument("--output-files", type=int, help="files per change-log version")
     s.add_argument("--bucket-dirs", action="store_true", help="lake with bucket directories")
+    s.add_argument("--aggregates-from", choices=["source", "lake"], default="source",
+                   help="feed the aggregates from the landing lake: one JSON parse per record")
     b = sub.add_parser("backfill", help="recompute [start, end) of the 2-hour table from the lake")
     b.add_argument("--lake", required=True)
     b.add_argument("--table", required=True)
@@ -76,7 +78,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
         queries = start_all(events, args.root, trigger, args.watermark, dedup=args.dedup,
                             state_partitions=args.state_partitions, output_files=args.output_files,
-                            bucket_dirs=args.bucket_dirs)
+                            bucket_dirs=args.bucket_dirs, aggregates_from=args.aggregates_from)
         if args.available_now:
             for q in queries.values():
                 q.awaitTermination()

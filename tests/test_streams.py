@@ -226,3 +226,18 @@ def test_stop_mid_stream_then_restart_equals_batch(spark, scratch):
     want = user_aggregations(src, time_col="ts", type_col="event_type")
     got = read_current(spark, table).select(*want.columns)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_aggregates_fed_from_the_landing_lake(spark, scratch):
+    sf = "/root/testdata/sf0.001"
+    events = _json_stream(spark, scratch, sf)
+    # Two runs on the same checkpoints: the aggregate queries of the first run may start
+    # before the lake query commits anything; the second run reads the committed files.
+    for _ in range(2):
+        for q in start_all(events, f"{scratch}/out", trigger=NOW, aggregates_from="lake",
+                           state_partitions=4).values():
+            run_to_completion(q)
+    base = plain_events(spark, sf)
+    want = user_aggregations(base, time_col="ts", type_col="event_type")
+    got = read_current(spark, f"{scratch}/out/user_aggregations").select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
