@@ -30,7 +30,8 @@ def decode_events(raw: DataFrame, value_col: str = "value", keep: list[str] | No
 
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(countable events, rejected records).  An event is countable when it parsed
-    cleanly and has the two fields every aggregate keys on."""
+    cleanly and has the two fields every aggregate keys on.  Each output re-runs the
+    decode; a batch job that writes both should persist ``decoded`` first."""
     ok = F.col(CORRUPT_COL).isNull() & F.col("user_id").isNotNull() & F.col("event_time").isNotNull()
     return decoded.filter(ok).drop(CORRUPT_COL), decoded.filter(~ok)
 
