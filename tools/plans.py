@@ -13,6 +13,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 KEEP = re.compile(r"(Exchange|HashAggregate|SortAggregate|Sort \[|Expand|Generate|Scan|StateStore|"
+                  r"SessionWindow|StreamingDeduplicate|WriteToDataSourceV2|ForeachBatch|"
                   r"EventTimeWatermark|Window|BroadcastExchange|Join|WriteFiles|Filter|Project|"
                   r"AdaptiveSparkPlan|Dedup)")
 
@@ -60,6 +61,18 @@ def main() -> None:
         return saved_parquet(self, path, *a, **k)
 
     rw.DataFrameWriter.parquet = spy
+
+    import actiontally.plans.catalog as catalog
+
+    streams: list[str] = []
+    saved_run = catalog.run_to_completion
+
+    def run_and_record(query, *a, **k):
+        res = saved_run(query, *a, **k)
+        streams.append(query._jsq.explainInternal(False))  # plan of the last micro-batch
+        return res
+
+    catalog.run_to_completion = run_and_record
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `python tools/plans.py {sf_dir}` (local[8], 8 shuffle partitions, AQE on; AQE may")
     print("re-plan at run time). Plan lines kept: scans, filters, projections, aggregates, exchanges, sorts,")
@@ -73,15 +86,21 @@ def main() -> None:
     print("- version collapse: `HashAggregate` with `partial_max_by` (no `SortAggregate`, no `Window`);")
     print("  compaction: a single `rangepartitioning` exchange feeding the collapse, sort and write;")
     print("- TTL: `GreaterThan(window_start, …)` pushed to the reader; key lookup: `yyyymm` partition filter;")
+    print("- streams (last micro-batch): `EventTimeWatermark` on the cast event time → `Expand` → partial")
+    print("  `HashAggregate` → one `Exchange` → `StateStoreRestore`/`StateStoreSave` → final aggregate;")
     print("- no Python UDF, broadcast or cartesian product anywhere (asserted in tests/test_scale.py).\n")
     for name, fn in queries().items():
         writes.clear()
+        streams.clear()
         df = fn(spark, sf_dir)
         print(f"## {name}\n")
+        for plan in streams:
+            print(f"stream (last micro-batch):\n```\n{summarize(plan)}\n```")
         for i, w in enumerate(writes[:4]):
             print(f"write {i + 1} of {len(writes)}:\n```\n{summarize(w)}\n```")
         print(f"result:\n```\n{summarize(df._jdf.queryExecution().executedPlan().toString())}\n```\n")
     rw.DataFrameWriter.parquet = saved_parquet
+    catalog.run_to_completion = saved_run
     del original
     spark.stop()
 
