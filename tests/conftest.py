@@ -27,3 +27,15 @@ def scratch(spark, request):
     from actiontally.session import scratch_path
 
     return scratch_path(spark, f"test-{request.node.name[:40]}")
+
+
+@pytest.fixture(scope="session")
+def landed_lake(spark):
+    """The sf0.001 events landed once in a lake (bucket directories on, to prune the most)."""
+    from actiontally.plans.fixtures import plain_events
+    from actiontally.session import scratch_path
+    from actiontally.sources.lake import write_lake
+
+    path = scratch_path(spark, "test-landed-lake")
+    write_lake(plain_events(spark, SF001), path, time_col="ts", bucket_dirs=True)
+    return path

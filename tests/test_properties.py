@@ -62,3 +62,25 @@ def test_newest_version_wins(spark, changes):
         if u not in want or v > want[u][0]:
             want[u] = (v, n)
     assert got == want
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(user=st.one_of(st.none(), st.integers(0, 14)),
+       start_min=st.integers(0, 31 * 24 * 60), length_min=st.integers(1, 6 * 24 * 60))
+def test_lake_scan_prunes_without_losing_rows(spark, landed_lake, user, start_min, length_min):
+    from pyspark.sql import functions as F
+
+    from actiontally.plans.fixtures import plain_events
+    from actiontally.sources.lake import lake_scan
+    from tests.conftest import SF001
+
+    start = EPOCH + dt.timedelta(minutes=start_min)
+    end = start + dt.timedelta(minutes=length_min)
+    got = lake_scan(spark, landed_lake, user_id=user, start=start, end=end, time_col="ts")
+    want = plain_events(spark, SF001).filter(
+        (F.col("ts") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
+        & (F.col("ts") < F.lit(end.isoformat(sep=" ")).cast("timestamp_ntz")))
+    if user is not None:
+        want = want.filter(F.col("user_id") == user)
+    assert sorted(r.event_id for r in got.select("event_id").collect()) == \
+        sorted(r.event_id for r in want.select("event_id").collect())
