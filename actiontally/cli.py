@@ -17,9 +17,9 @@ from pyspark.sql import SparkSession
 
 from actiontally.functions.decode import decode_events, split_corrupt
 from actiontally.operators.backfill import backfill_to_table
-from actiontally.operators.versions import compact
+from actiontally.operators.versions import compact, lookup_aggregates
 from actiontally.session import build_session, pin_utc
-from actiontally.sources.changelog import changes_since, next_version, read_changes
+from actiontally.sources.changelog import changes_since, next_version, read_changes, read_current
 from actiontally.sources.connectors import TOPIC, read_topic
 from actiontally.streaming.jobs import curate_slots, start_all
 
@@ -61,6 +61,13 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--ttl-as-of")
     k.add_argument("--ttl", default="7 days")
     k.add_argument("--previous", help="last compaction of this table: start from it, not from the history")
+    lk = sub.add_parser("lookup", help="rows of one user from a table, by aggregation type and window range")
+    lk.add_argument("--table", required=True, help="a compacted table or a change log")
+    lk.add_argument("--user", type=int, required=True)
+    lk.add_argument("--type", default=None, help="aggregation_type, e.g. total or action:search")
+    lk.add_argument("--start", required=True)
+    lk.add_argument("--end", required=True)
+    lk.add_argument("--compacted", help="with a change log: its last compaction")
     return p
 
 
@@ -89,6 +96,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         version = args.version if args.version is not None else next_version(spark, args.table)
         backfill_to_table(spark, args.lake, args.table, version, args.start, args.end)
         return {"version": version}
+    if args.cmd == "lookup":
+        if args.compacted:
+            table = read_current(spark, args.table, compacted=args.compacted)
+        else:
+            table = spark.read.parquet(args.table)
+            if "yyyymm" not in table.columns:  # a change log, not a compaction: collapse it
+                table = read_current(spark, args.table)
+        hits = lookup_aggregates(table, args.user, args.type, args.start, args.end)
+        rows = [r.asDict() for r in hits.orderBy("window_start", "aggregation_type").collect()]
+        for r in rows:
+            print({k: str(v) for k, v in r.items()})
+        return {"rows": rows}
     if args.cmd == "curate":
         curate_slots(spark, args.landing, args.lake, args.start, args.end, bucket_dirs=args.bucket_dirs)
         return {"lake": args.lake}

@@ -65,3 +65,18 @@ def test_readme_example_runs(spark, scratch):
     assert current.count() == spark.read.parquet(f"{scratch}/c").count()
     hits = lookup_aggregates(spark.read.parquet(f"{scratch}/c"), 8, "total", "2024-01-24", "2024-02-01")
     assert hits.count() >= 0
+
+
+def test_lookup_command(spark, scratch):
+    base = plain_events(spark, SF)
+    table, out = f"{scratch}/t", f"{scratch}/c"
+    from actiontally.sources.changelog import write_changes
+
+    write_changes(user_aggregations(base, time_col="ts", type_col="event_type"), table, 0)
+    main(["compact", "--table", table, "--out", out], spark)
+    want = user_aggregations(base, time_col="ts", type_col="event_type").filter(
+        "user_id = 8 and aggregation_type = 'total' and window_start >= '2024-01-05' and window_start < '2024-01-12'")
+    for t in [out, table]:
+        rows = main(["lookup", "--table", t, "--user", "8", "--type", "total",
+                     "--start", "2024-01-05", "--end", "2024-01-12"], spark)["rows"]
+        assert sorted(r["total_actions"] for r in rows) == sorted(r.total_actions for r in want.collect())
