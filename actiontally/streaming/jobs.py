@@ -188,7 +188,8 @@ class StreamResult:
 
 
 def run_to_completion(query: StreamingQuery, timeout_s: int = 600) -> StreamResult:
-    """Wait for an ``availableNow`` query and summarise its progress reports."""
+    """Wait for an ``availableNow`` query and summarise its progress reports (Spark keeps
+    the last ``spark.sql.streaming.numRecentProgressUpdates`` of them, 100 by default)."""
     finished = query.awaitTermination(timeout_s)
     if not finished:
         query.stop()
