@@ -132,14 +132,17 @@ def closed_window_stream(events: DataFrame, out_path: str, checkpoint: str, dura
                          time_col: str = "event_time", user_col: str = "user_id",
                          name: str | None = None, state_store: str | None = "rocksdb",
                          state_partitions: int | None = None, with_types: bool = False,
-                         type_col: str = "action_type") -> StreamingQuery:
+                         type_col: str = "action_type", output_files: int | None = None) -> StreamingQuery:
     """Final counts of closed windows only, each written exactly once (file sink); with
-    ``with_types`` the long table of totals and per-type counts."""
+    ``with_types`` the long table of totals and per-type counts.  ``output_files``
+    shuffles each micro-batch's closed windows into that many files."""
     ev = _with_event_time(events, time_col, watermark)
     if with_types:
         agg = user_aggregations(ev, duration, time_col, user_col, type_col)
     else:
         agg = user_action_counts(ev, duration, False, time_col, user_col)
+    if output_files:
+        agg = agg.repartition(output_files)
     with _start_settings(events.sparkSession, state_store, state_partitions):
         return _writer(agg, checkpoint, trigger, name).outputMode("append").format("parquet") \
             .option("path", out_path).start()

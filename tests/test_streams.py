@@ -248,9 +248,10 @@ def test_closed_windows_with_types(spark, scratch):
     src.write.parquet(f"{scratch}/in")
     run_to_completion(closed_window_stream(file_stream(spark, f"{scratch}/in", src.schema), f"{scratch}/out",
                                            f"{scratch}/ck", trigger=NOW, time_col="ts", with_types=True,
-                                           type_col="event_type"))
+                                           type_col="event_type", output_files=2))
     hi = src.agg(F.max("ts")).first()[0]
     want = user_aggregations(src, time_col="ts", type_col="event_type").filter(
         F.col("window_end") <= F.lit((hi - dt.timedelta(minutes=10)).isoformat(sep=" ")).cast("timestamp_ntz"))
     got = spark.read.parquet(f"{scratch}/out").select(*want.columns)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert len(spark.read.parquet(f"{scratch}/out").inputFiles()) <= 2 * 2  # ≤ 2 per micro-batch
