@@ -98,3 +98,10 @@ def test_topic_reader_needs_the_connector_jar(spark):
 
     with pytest.raises(Exception, match="(?i)kafka"):
         read_topic(spark, "localhost:9", min_partitions=12)
+
+
+def test_decoded_events_follow_the_event_contract(spark):
+    from actiontally.schemas import EVENT
+
+    ok, _ = split_corrupt(decode_events(_raw(spark, "{}")))
+    assert [(f.name, f.dataType) for f in ok.schema.fields] == [(f.name, f.dataType) for f in EVENT.fields]

@@ -141,3 +141,11 @@ def test_incremental_compaction_starts_from_the_previous_one(spark, scratch):
     got = {(r.user_id, r.total_actions, r.version) for r in spark.read.parquet(c2).collect()}
     assert got == {(1, 7, 1), (2, 1, 0), (3, 2, 1)}
     assert read_marker(spark, c2, "upto") == 1
+
+
+def test_change_log_records_follow_the_aggregate_contract(spark, scratch):
+    from actiontally.schemas import AGGREGATE
+
+    write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 3, "total")]), scratch, 0)
+    got = {f.name: f.dataType for f in read_changes(spark, scratch).schema.fields}
+    assert got == {f.name: f.dataType for f in AGGREGATE.fields}
