@@ -42,7 +42,12 @@ def write_lake(df: DataFrame, path: str, time_col: str = "event_time", user_col:
                n_buckets: int = N_BUCKETS, bucket_dirs: bool = False, mode: str = "append",
                max_records_per_file: int = 2_000_000) -> None:
     """Land events in the lake.  ``mode="overwrite"`` replaces only the slots present in
-    ``df`` (dynamic partition overwrite), which makes a backfill of one day rerunnable."""
+    ``df`` (dynamic partition overwrite), which makes a backfill of one day rerunnable.
+
+    The first write records the layout (``_bucket_dirs-<0|1>``); a later write with the
+    other layout is refused, since Spark cannot read a lake that mixes both.
+    """
+    check_layout(df.sparkSession, path, bucket_dirs)
     out = with_partition_columns(df, time_col, user_col, n_buckets)
     order = ["event_date", "event_hour", "bucket", user_col, time_col]
     parts = PARTITION_COLUMNS + (["bucket"] if bucket_dirs else [])
@@ -55,6 +60,18 @@ def write_lake(df: DataFrame, path: str, time_col: str = "event_time", user_col:
         .parquet(path))
 
 
+def check_layout(spark: SparkSession, path: str, bucket_dirs: bool) -> None:
+    """Record a new lake's layout, or refuse a write whose layout differs from it."""
+    from actiontally.sources.changelog import read_marker, write_marker
+
+    recorded = read_marker(spark, path, "bucket_dirs")
+    if recorded is None:
+        write_marker(spark, path, "bucket_dirs", int(bool(bucket_dirs)))
+    elif recorded != int(bool(bucket_dirs)):
+        raise ValueError(f"lake {path} was written with bucket_dirs={bool(recorded)}; "
+                         f"this write asks for bucket_dirs={bool(bucket_dirs)}")
+
+
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -29,7 +29,7 @@ from actiontally.functions.layout import with_partition_columns
 from actiontally.session import pin_utc
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
 from actiontally.sources.changelog import next_version, read_marker, write_changes, write_marker
-from actiontally.sources.lake import lake_scan, write_lake
+from actiontally.sources.lake import check_layout, lake_scan, write_lake
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -161,6 +161,7 @@ def lake_stream(events: DataFrame, lake_path: str, checkpoint: str, trigger: dic
     closed slots sorted into the batch lake.  ``dedup_watermark`` drops repeated
     ``event_id`` values within that delay.
     """
+    check_layout(events.sparkSession, lake_path, bucket_dirs)
     out = with_partition_columns(events, time_col, user_col)
     if dedup_watermark:
         out = _with_event_time(out, time_col, dedup_watermark).dropDuplicatesWithinWatermark(["event_id"]) \

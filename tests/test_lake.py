@@ -92,3 +92,14 @@ def test_backfill_range_into_table(spark, scratch):
     direct = user_aggregations(e, time_col="ts", type_col="event_type")
     cur = read_current(spark, table).select(*direct.columns)
     assert cur.exceptAll(direct).count() == 0 and cur.count() == direct.count()
+
+
+def test_layout_is_fixed_per_lake(spark, scratch):
+    import pytest
+
+    e = plain_events(spark, "/root/testdata/sf0.001")
+    write_lake(e.filter("ts < '2024-01-10'"), scratch, time_col="ts")
+    with pytest.raises(ValueError, match="bucket_dirs"):
+        write_lake(e.filter("ts >= '2024-01-10'"), scratch, time_col="ts", bucket_dirs=True)
+    write_lake(e.filter("ts >= '2024-01-10'"), scratch, time_col="ts")
+    assert read_lake(spark, scratch).count() == e.count()
