@@ -80,3 +80,16 @@ def test_lookup_command(spark, scratch):
         rows = main(["lookup", "--table", t, "--user", "8", "--type", "total",
                      "--start", "2024-01-05", "--end", "2024-01-12"], spark)["rows"]
         assert sorted(r["total_actions"] for r in rows) == sorted(r.total_actions for r in want.collect())
+
+
+def test_stream_command_feeding_aggregates_from_the_lake(spark, scratch):
+    json_envelope(spark, SF).write.text(f"{scratch}/topic")
+    root = f"{scratch}/root"
+    args = ["stream", "--root", root, "--json-dir", f"{scratch}/topic", "--available-now",
+            "--aggregates-from", "lake", "--state-partitions", "4", "--output-files", "1"]
+    main(args, spark)
+    main(args, spark)  # the second run reads what the first run's lake query committed
+    base = plain_events(spark, SF)
+    want = user_action_counts(base, "5 minutes", time_col="ts")
+    got = read_current(spark, f"{root}/user_aggregations_realtime").select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
