@@ -8,7 +8,8 @@ import pytest
 from tests.conftest import SF01
 from tools.compare import TABLES, digest
 
-from __spark_entry__ import oracle_sql, queries
+from actiontally.plans.catalog import QUERIES
+from actiontally.plans.oracle import ORACLE_SQL
 
 
 # Spark type → DuckDB result type, for the types the queries produce.
@@ -25,14 +26,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF01)
+    df = QUERIES[name](spark, SF01)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(oracle_sql()[name])
+    res = con.execute(ORACLE_SQL[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)

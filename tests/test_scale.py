@@ -6,9 +6,9 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
 from actiontally.operators.versions import latest_versions
+from actiontally.plans.catalog import QUERIES
 from actiontally.plans.fixtures import plain_events
 from actiontally.sources.lake import read_lake, write_lake
 from tests.conftest import SF001, SF01
@@ -21,9 +21,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_registered_plans_stay_on_the_jvm_fast_path(spark, name):
-    plan = _plan(queries()[name](spark, SF001))
+    plan = _plan(QUERIES[name](spark, SF001))
     assert not [f for f in FORBIDDEN if f in plan], plan
 
 
