@@ -8,6 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from actiontally.llm.common import table
+from actiontally.llm.decontaminate import CONTAMINATION_SQL
+from actiontally.llm.secret_scan import base_scan_sql
+from actiontally.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +19,22 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a version of its path, scanned through a new ledger."""
+    from actiontally.llm.secret_scan import Ledger, scan_report, scan_versions
+
+    ledger = Ledger(spark, scratch_path(spark, "secret-ledger"))
+    return scan_report(scan_versions(table(spark, sf_dir, "documents"), ledger, "doc_id", "text"), ledger)
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    from actiontally.llm.decontaminate import contamination, contamination_digest
+
+    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination_digest(contamination(docs, bench, keep=["doc_id"]))
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids written to shard files and read back through their index."""
     from actiontally.llm import token_output as t
@@ -39,9 +58,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_decontamination": op2_decontamination,
     "op3_token_output": op3_token_output,
     "op6_token_lengths": op6_token_lengths,
     "op7_packing": op7_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scan": base_scan_sql(),
+    "op2_decontamination": CONTAMINATION_SQL,
+}
