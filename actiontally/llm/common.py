@@ -6,7 +6,7 @@ character classes need no decoding.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -103,3 +103,37 @@ WORD_BYTES = bytes(
 def arrow_schema(df: DataFrame, extra: str = "") -> T.StructType:
     """The DataFrame's schema followed by the fields of a DDL string."""
     return T.StructType(df.schema.fields + (T._parse_datatype_string(extra).fields if extra else []))
+
+
+def score_texts(docs: DataFrame, text_col: str, ddl: str, make: Callable[[], Callable[[list[bytes | None]], list[pa.Array]]],
+                keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all, if None) and what ``make()``, called once per task, computes from
+    each slice of texts: one array per field of ``ddl``. Results whose names the kept columns have
+    are put together in a struct named ``found`` instead."""
+    cols = docs.columns if keep is None else keep
+    rows = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(cols)), F.col(text_col).cast("string").alias("text"))
+    result = T._parse_datatype_string(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = make()
+        for batch, texts in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *f(texts)], names=[*batch.schema.names[:-1], *result.fieldNames()])
+
+    out = rows.mapInArrow(run, T.StructType(rows.schema.fields[:-1] + result.fields))
+    named = [F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]
+    if {c.lower() for c in cols} & {c.lower() for c in result.fieldNames()}:
+        return out.select(*named, F.struct(*result.fieldNames()).alias("found"))
+    return out.select(*named, *result.fieldNames())
+
+
+def joined_bytes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts' bytes in one array, and where each begins and ends."""
+    sizes = np.fromiter((len(t) if t else 0 for t in texts), dtype=np.int64, count=len(texts))
+    ends = np.cumsum(sizes)
+    return np.frombuffer(b"".join(t or b"" for t in texts), dtype=np.uint8), ends - sizes, ends
+
+
+def segment_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` (integers) over [start, end) of each segment."""
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return total[ends] - total[starts]

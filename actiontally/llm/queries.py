@@ -43,6 +43,18 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read_shards(manifest)
 
 
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the log-likelihood-ratio verdict on every document."""
+    from actiontally.llm.quality_rules import fit, rate
+
+    docs = table(spark, sf_dir, "documents")
+    return rate(docs, fit(docs, trusted_ids(spark, sf_dir)), keep=["doc_id"])
+
+
 def op6_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact histogram of encoded lengths with its suffix sums."""
     from actiontally.llm.token_lengths import length_histogram, suffix_sums
@@ -61,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
     "op3_token_output": op3_token_output,
+    "op5_quality_rules": op5_quality_rules,
     "op6_token_lengths": op6_token_lengths,
     "op7_packing": op7_packing,
 }
