@@ -6,6 +6,7 @@ character classes need no decoding.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -68,6 +69,18 @@ def class_sample(rows: DataFrame, id_col: str, class_col: str, quota: int) -> Da
     return rows.filter(keep)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it holds, Python gets at most so many rows at once: for jobs whose rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def text_bytes(col: pa.Array) -> list[bytes | None]:
     """The column's texts as UTF-8 bytes."""
     if isinstance(col, pa.ChunkedArray):

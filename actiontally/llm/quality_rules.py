@@ -109,10 +109,10 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(good[at])], names=["bucket", "raw", "good"])
 
     sums = rows.mapInArrow(count, "bucket bigint, raw bigint, good bigint").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas()  # at most a row per bucket
+        F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()  # at most a row per bucket
     raw, good = np.zeros(size), np.zeros(size)
-    at = sums["bucket"].to_numpy(dtype=np.int64)
-    raw[at], good[at] = sums["raw"], sums["good"]
+    at = sums["bucket"].to_numpy()
+    raw[at], good[at] = sums["raw"].to_numpy(), sums["good"].to_numpy()
     if not good.sum():
         return np.zeros(size, dtype=np.int64)
     p = lambda c: np.log((c + smoothing) / (c.sum() + smoothing * size))

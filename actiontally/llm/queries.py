@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from actiontally.llm.common import table
 from actiontally.llm.decontaminate import CONTAMINATION_SQL
+from actiontally.llm.jaccard import NEAR_DUPLICATES_SQL
 from actiontally.llm.secret_scan import base_scan_sql
 from actiontally.session import scratch_path
 
@@ -69,6 +70,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(pack(table(spark, sf_dir, "documents"), word_vocabulary()))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    from actiontally.llm.jaccard import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -76,9 +84,11 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_token_lengths": op6_token_lengths,
     "op7_packing": op7_packing,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": base_scan_sql(),
     "op2_decontamination": CONTAMINATION_SQL,
+    "op9_ngram_jaccard": NEAR_DUPLICATES_SQL,
 }
