@@ -57,15 +57,15 @@ def small_side(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
 
 
-def class_sample(rows: DataFrame, id_col: str, class_col: str, quota: int) -> DataFrame:
-    """At most about ``quota`` rows of each class, chosen by a hash of the id: the same rows at
+def class_sample(rows: DataFrame, id_col: str, class_col: str, quota: int | dict) -> DataFrame:
+    """At most about ``quota`` rows of each class (or its own quota, by class), chosen by a hash of the id: the same rows at
     every run and partitioning. The share of a class is quota / its row count, so the sample
     stays bounded however large the table grows."""
     counts = {r[0]: r[1] for r in rows.groupBy(class_col).count().collect()}
     keep = F.lit(False)
     unit = F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     for k, n in counts.items():
-        keep = keep | ((F.col(class_col) == F.lit(k)) & (unit < F.lit(quota / n)))
+        keep = keep | ((F.col(class_col) == F.lit(k)) & (unit < F.lit((quota if isinstance(quota, int) else quota.get(k, 0)) / n)))
     return rows.filter(keep)
 
 

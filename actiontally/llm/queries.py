@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from actiontally.llm.common import table
+from actiontally.llm.common import id_mod, table
 from actiontally.llm.decontaminate import CONTAMINATION_SQL
 from actiontally.llm.jaccard import NEAR_DUPLICATES_SQL
 from actiontally.llm.secret_scan import base_scan_sql
@@ -44,6 +45,15 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read_shards(manifest)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that aren't held out."""
+    from actiontally.llm.language_id import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    held = id_mod("doc_id", 3) == 1
+    return identify(docs, fit(docs, ~held), keep=["doc_id"]).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
 
@@ -70,6 +80,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(pack(table(spark, sf_dir, "documents"), word_vocabulary()))
 
 
+def op8_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by positive-unlabelled learning."""
+    from actiontally.llm.quality_pu import SCORE_CUT, fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"]).select(
+        "doc_id", (id_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= SCORE_CUT).cast("int").alias("predicted"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents."""
     from actiontally.llm.jaccard import near_duplicates
@@ -77,14 +96,26 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the pattern grammar."""
+    from actiontally.llm.toxicity import SCORE_CUT, fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"]).select(
+        "doc_id", (id_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= SCORE_CUT).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
     "op3_token_output": op3_token_output,
+    "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_lengths": op6_token_lengths,
     "op7_packing": op7_packing,
+    "op8_quality_pu": op8_quality_pu,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
