@@ -1,8 +1,8 @@
 """Token ids of whole texts, by the tokenizers library.
 
 White space ends a pre-token of the word-BPE vocabulary and is dropped, so a text's ids are its
-words' ids one after the other. The encoder keeps the ids of words it has met (a bounded memo in
-each Python worker) and hands only new ones to the library. Other vocabularies are encoded text
+words' ids one after the other. The encoder keeps the ids of pre-tokens it has met (a bounded memo
+in each Python worker) and hands only new ones to the library. Other vocabularies are encoded text
 by text.
 """
 
@@ -11,21 +11,25 @@ from __future__ import annotations
 import functools
 import json
 import re
+from collections.abc import Iterator
 
 import numpy as np
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 #: Id appended to every document.
 END_ID = 2
-#: Words and sub-words remembered per Python worker (about 200 bytes each).
-WORDS_KEPT, PARTS_KEPT = 400_000, 600_000
+#: Pre-tokens, and words with rarer characters, remembered per Python worker (about 200 bytes each).
+PARTS_KEPT, WORDS_KEPT = 900_000, 200_000
 #: A longer text is encoded in pieces cut at white space.
 PIECE = 1 << 20
-# Characters on which case, composition and letter class are the same by any Unicode version.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# The vocabulary's own pre-token pattern, and the same one over plain characters: ASCII and the
+# letters of Latin-1, whose case, composition and class are the same by any Unicode version.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PARTS = re.compile("[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\0\t-\r a-zß-öø-ÿ0-9]+|\0")
+_PLAIN = bytes([*range(9, 14), *range(32, 127), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
 _BLANK = re.compile(rb"[ \t-\r]")
+#: Stands between texts; no id has these bytes.
+_GAP = b"\xff\xff\xff\xff"
 
 
 class Encoder:
@@ -34,7 +38,7 @@ class Encoder:
     def __init__(self, path: str):
         self.full = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"\0": _GAP}
         form = json.loads(self.full.to_str())
         self.by_word = self._is_word_bpe(form)
         if self.by_word:
@@ -73,57 +77,67 @@ class Encoder:
             else:
                 self.parts.update(zip(some, self._library(some)))
 
-    def _learn(self, new: set[bytes]) -> None:
-        odd: list[bytes] = []
-        cut: list[tuple[bytes, list[str]]] = []
-        for w in new:
-            t = w.decode("utf-8", "replace")
-            if _PLAIN.fullmatch(t) and not any(s in t for s in self.special):
-                cut.append((w, _PARTS.findall(t.lower())))
-            else:
-                odd.append(w)
-        missing = {p for _, ps in cut for p in ps}.difference(self.parts)
-        if missing:
-            self._learn_parts(sorted(missing))
-        get = self.parts.__getitem__
-        self.words.update((w, b"".join(map(get, ps))) for w, ps in cut)
-        if odd:
-            self.words.update(zip(odd, self._library([w.decode("utf-8", "replace") for w in odd])))
+    def _plain(self, text: bytes) -> str | None:
+        """The text in lower case, or None if it has other characters or a special token."""
+        t = text.decode("utf-8", "replace")
+        try:
+            if t.encode("latin-1").translate(None, _PLAIN):
+                return None
+        except UnicodeEncodeError:
+            return None
+        return None if any(s in t for s in self.special) else t.lower()
+
+    def _by_parts(self, texts: list[str]) -> list[bytes]:
+        """Plain lower-case texts: one pass over the pre-tokens of all."""
+        found = _PARTS.findall("\0".join(texts))
+        new = set(found).difference(self.parts)
+        if new:
+            self._learn_parts(sorted(new))
+        return b"".join(map(self.parts.__getitem__, found)).split(_GAP)
+
+    def _by_words(self, text: bytes) -> bytes:
+        """Any other text: word by word, those not met before by the library as they are."""
+        split = text.split()
+        new = sorted(set(split).difference(self.words))
+        if new:
+            self.words.update(zip(new, self._library([w.decode("utf-8", "replace") for w in new])))
+        return b"".join(map(self.words.__getitem__, split))
 
     def payloads(self, texts: list[bytes | None]) -> list[bytes]:
         """Null counts as empty; empty text has no ids."""
         if not self.by_word:
             return self._library([(t or b"").decode("utf-8", "replace") for t in texts])
+        self._forget()
+        out, plain = [b""] * len(texts), {}
+        for i, t in enumerate(texts):
+            if t and len(t) > PIECE:
+                out[i] = b"".join(self._long(t))
+            elif t:
+                p = self._plain(t)
+                if p is None:
+                    out[i] = self._by_words(t)
+                else:
+                    plain[i] = p
+        if plain:
+            for i, p in zip(plain, self._by_parts(list(plain.values()))):
+                out[i] = p
+        return out
+
+    def _forget(self) -> None:
         if len(self.words) > WORDS_KEPT:
             self.words.clear()
         if len(self.parts) > PARTS_KEPT:
-            self.parts.clear()
-        if any(t and len(t) > PIECE for t in texts):
-            return [self._long(t) if t and len(t) > PIECE else self.payloads([t])[0] for t in texts]
-        split = [(t or b"").split() for t in texts]
-        new = set().union(*split).difference(self.words)
-        if new:
-            self._learn(new)
-        get = self.words.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+            self.parts = {"\0": _GAP}
 
-    def _long(self, text: bytes) -> bytes:
-        out, a = [], 0
+    def _long(self, text: bytes) -> Iterator[bytes]:
+        a = 0
         while a < len(text):
             m = _BLANK.search(text, min(len(text), a + PIECE))
             b = m.start() if m else len(text)
-            piece = text[a:b]
-            split = piece.split()
-            new = set(split).difference(self.words)
-            if new:
-                self._learn(new)
-            out.append(b"".join(map(self.words.__getitem__, split)))
-            if len(self.words) > WORDS_KEPT:
-                self.words.clear()
-            if len(self.parts) > PARTS_KEPT:
-                self.parts.clear()
+            p = self._plain(text[a:b])
+            yield self._by_words(text[a:b]) if p is None else self._by_parts([p])[0]
+            self._forget()
             a = b
-        return b"".join(out)
 
 
 @functools.lru_cache(maxsize=2)
