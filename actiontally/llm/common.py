@@ -122,7 +122,7 @@ def score_texts(docs: DataFrame, text_col: str, ddl: str, make: Callable[[], Cal
                 keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all, if None) and what ``make()``, called once per task, computes from
     each slice of texts: one array per field of ``ddl``. Results whose names the kept columns have
-    are put together in a struct named ``found`` instead."""
+    are put together in a struct named ``found`` (or ``found_`` ...) instead."""
     cols = docs.columns if keep is None else keep
     rows = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(cols)), F.col(text_col).cast("string").alias("text"))
     result = T._parse_datatype_string(ddl)
@@ -135,7 +135,7 @@ def score_texts(docs: DataFrame, text_col: str, ddl: str, make: Callable[[], Cal
     out = rows.mapInArrow(run, T.StructType(rows.schema.fields[:-1] + result.fields))
     named = [F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]
     if {c.lower() for c in cols} & {c.lower() for c in result.fieldNames()}:
-        return out.select(*named, F.struct(*result.fieldNames()).alias("found"))
+        return out.select(*named, F.struct(*result.fieldNames()).alias(fresh(docs.select(*cols), "found")[0]))
     return out.select(*named, *result.fieldNames())
 
 

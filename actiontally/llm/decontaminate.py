@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from actiontally.llm.common import WORD_BYTES, slices
+from actiontally.llm.common import WORD_BYTES, fresh, slices
 
 WINDOW = 10
 #: A shard's texts, in bytes (a longer text is a shard of its own).
@@ -275,8 +275,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Null text: no words, no spans, stays null. Items without words match nothing; several items with
     equal windows are all reported; an item without id marks words but isn't reported. Repeated
-    documents are each judged. Kept columns named like the results are not allowed to clash: they
-    win, and the results are found under ``found``, a struct."""
+    documents are each judged. Kept columns may be named like the results: they
+    win, and the results are in a struct, ``found`` (``found_`` if taken)."""
     spark, cols = docs.sparkSession, docs.columns if keep is None else keep
     some = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(cols)), F.col(text_col).cast("string").alias("text"))
     out, found = some, list(blocks(benchmark, item_col, item_text, window))
@@ -287,7 +287,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             [f for f in some.schema.fields if f.name != "text" or not last] + T._parse_datatype_string(RESULT).fields))
     names = T._parse_datatype_string(RESULT).fieldNames()
     if {c.lower() for c in cols} & set(names):
-        return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(cols)), F.struct(*names).alias("found"))
+        return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(cols)), F.struct(*names).alias(fresh(docs.select(*cols), "found")[0]))
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(cols)), *names)
 
 

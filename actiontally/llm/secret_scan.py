@@ -103,6 +103,7 @@ def scan_text(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             F.lit(i).alias("r"), k.alias("k"), x["gap"].alias("gap"), x["hit"].alias("hit")))).otherwise(F.array())
 
     found = rows.select("blob", F.explode(F.concat(*(hits(i, r) for i, r in enumerate(rules)))).alias("x")).select("blob", "x.*")
+    found = found.dropDuplicates(["blob", "r", "k"])  # of a version that was given more than once
     upto = Window.partitionBy("blob", "r").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     at = found.withColumn("end", F.sum(F.col("gap") + F.coalesce(F.length("hit"), F.lit(0))).over(upto)).filter("hit is not null")
     long_enough = reduce(lambda a, ir: F.when(F.col("r") == ir[0], F.length(
