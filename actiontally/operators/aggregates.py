@@ -34,12 +34,15 @@ def user_aggregations(events: DataFrame, duration: str = "2 hours", time_col: st
                       user_col: str = "user_id", type_col: str = "action_type") -> DataFrame:
     """Totals and per-type counts in one long table, tagged by ``aggregation_type``.
 
-    One pass with grouping sets: the rows feed a single partial aggregate and a single
-    shuffle (one stateful operator on a stream).  ``grouping()`` tells the two sets
-    apart, so a NULL action type is never mistaken for the total.
+    Batch: per-type counts, and totals summed from them; the events are shuffled once.
+    Stream: grouping sets, so there is one stateful operator; ``grouping()`` tells the two
+    sets apart.  A NULL action type is never mistaken for the total.
     """
     keyed = events.select(F.col(user_col).alias("user_id"), F.col(type_col).alias("action_type"),
                           tumbling_window(time_col, duration).alias("window"))
+    if not events.isStreaming:
+        agg = totals_and_types(keyed, ["user_id", "window"])
+        return agg.select("user_id", *window_bounds("window"), "total_actions", "aggregation_type")
     agg = keyed.groupingSets([["user_id", "window"], ["user_id", "window", "action_type"]],
                              "user_id", "window", "action_type").agg(
         F.count(F.lit(1)).alias("total_actions"),
@@ -48,3 +51,15 @@ def user_aggregations(events: DataFrame, duration: str = "2 hours", time_col: st
     tag = F.when(F.col("_is_total") == 1, F.lit(TOTAL_TAG)).otherwise(
         F.concat(F.lit(ACTION_TAG_PREFIX), F.col("action_type")))
     return agg.select("user_id", *window_bounds("window"), "total_actions", tag.alias("aggregation_type"))
+
+
+def totals_and_types(keyed: DataFrame, key: list[str]) -> DataFrame:
+    """``key``, ``total_actions`` and ``aggregation_type`` of rows with ``action_type``.
+
+    Totals are sums of the per-type counts, so the events are shuffled once, already
+    counted, and both halves read that one exchange.
+    """
+    types = keyed.groupBy(*key, "action_type").agg(F.count(F.lit(1)).alias("total_actions"))
+    totals = types.groupBy(*key).agg(F.sum("total_actions").alias("total_actions"))
+    return totals.select(*key, "total_actions", F.lit(TOTAL_TAG).alias("aggregation_type")).union(
+        types.select(*key, "total_actions", F.concat(F.lit(ACTION_TAG_PREFIX), F.col("action_type"))))

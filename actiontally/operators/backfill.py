@@ -7,38 +7,45 @@ backfill of a date range reads only that range's directories.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actiontally.functions.layout import SLOT_HOURS
-from actiontally.schemas import ACTION_TAG_PREFIX, TOTAL_TAG
+from actiontally.operators.aggregates import totals_and_types
+from actiontally.schemas import TOTAL_TAG
 from actiontally.sources.changelog import write_changes
-from actiontally.sources.lake import lake_scan
+from actiontally.sources.lake import check_slots, lake_scan
 
 
 def backfill_aggregations(lake: DataFrame, with_types: bool = True, user_col: str = "user_id",
                           type_col: str = "action_type") -> DataFrame:
     """Two-hour totals (and per-type counts) per user from lake rows, in the aggregate
     record form: user_id, window_start, window_end, total_actions, aggregation_type."""
+    slot = ["user_id", "event_date", "event_hour"]
     if with_types:
-        keyed = lake.select(F.col(user_col).alias("user_id"), "event_date", "event_hour",
-                            F.col(type_col).alias("action_type"))
-        sets = [["user_id", "event_date", "event_hour"], ["user_id", "event_date", "event_hour", "action_type"]]
-        agg = keyed.groupingSets(sets, "user_id", "event_date", "event_hour", "action_type").agg(
-            F.count(F.lit(1)).alias("total_actions"), F.grouping("action_type").alias("_is_total"))
-        tag = F.when(F.col("_is_total") == 1, F.lit(TOTAL_TAG)).otherwise(
-            F.concat(F.lit(ACTION_TAG_PREFIX), F.col("action_type")))
+        keyed = lake.select(F.col(user_col).alias("user_id"), "event_date", "event_hour", F.col(type_col).alias("action_type"))
+        agg = totals_and_types(keyed, slot)
     else:
-        agg = lake.groupBy(F.col(user_col).alias("user_id"), "event_date", "event_hour").agg(F.count(F.lit(1)).alias("total_actions"))
-        tag = F.lit(TOTAL_TAG)
+        agg = lake.groupBy(F.col(user_col).alias("user_id"), "event_date", "event_hour").agg(
+            F.count(F.lit(1)).alias("total_actions")).withColumn("aggregation_type", F.lit(TOTAL_TAG))
     start = F.col("event_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("event_hour"))
     end = start + F.make_dt_interval(hours=F.lit(SLOT_HOURS))
     return agg.select("user_id", start.alias("window_start"), end.alias("window_end"),
-                      "total_actions", tag.alias("aggregation_type"))
+                      "total_actions", "aggregation_type")
 
 
-def backfill_to_table(spark: SparkSession, lake_path: str, table_path: str, version: int, start, end,
-                      time_col: str = "event_time", type_col: str = "action_type") -> None:
-    """Recompute ``[start, end)`` from the lake and land it as one new version."""
+def backfill_to_table(spark: SparkSession, lake_path: str, table_path: str, start, end, time_col: str = "event_time",
+                      type_col: str = "action_type", dedup: bool = False, with_types: bool = True) -> str:
+    """Recompute the slots of ``[start, end)`` from the lake as a writer of its own; returns
+    its name.  The bounds must be slot bounds.  With ``dedup`` a repeated ``event_id``
+    counts once.  Backfill closed slots: a stream that still holds a slot open writes its
+    own count of it again."""
+    check_slots(start, end)
     rows = lake_scan(spark, lake_path, start=start, end=end, time_col=time_col)
-    write_changes(backfill_aggregations(rows, True, type_col=type_col), table_path, version)
+    if dedup:
+        rows = rows.dropDuplicates(["event_id"])
+    writer = f"backfill_{uuid.uuid4().hex[:12]}"
+    write_changes(backfill_aggregations(rows, with_types, type_col=type_col), table_path, 0, writer=writer)
+    return writer

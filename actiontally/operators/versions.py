@@ -5,45 +5,46 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actiontally.functions.layout import yyyymm
 from actiontally.functions.literals import as_datetime, ntz
 from actiontally.schemas import AGG_KEY
+from actiontally.sources.changelog import covered, read_changes, versions, write_covered
 
 
-def latest_versions(changes: DataFrame, key: list[str] | None = None, order_col: str = "version") -> DataFrame:
-    """Keep the row with the greatest ``order_col`` per key.
+def write_order(changes: DataFrame) -> F.Column:
+    """A number that grows with the write time; rows stamped in the same microsecond by
+    different writers are told apart by a hash, alike for every reader.  Rows without a
+    writer are ordered by ``version``."""
+    if not {"writer", "updated_at"} <= set(changes.columns):
+        return F.col("version").cast("bigint")
+    tie = F.pmod(F.xxhash64("writer", "version"), F.lit(1000))
+    return F.unix_micros(F.col("updated_at").cast("timestamp")) * 1000 + tie
+
+
+def latest_versions(changes: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """Keep the row written last per key.
 
     An aggregate, not a ranking window: a partial aggregate runs before the shuffle and
     no key's history is ever gathered into one task.  One ``max_by`` per column (the
-    order column is unique per key, so all pick the same row) keeps every buffer
+    order is unique per key, so all pick the same row) keeps every buffer
     fixed-width for the value columns of the aggregate tables, which lets Spark use a
     hash aggregate instead of sorting on both sides of the shuffle.
     """
     key = key or AGG_KEY
-    rest = [c for c in changes.columns if c not in key]
-    picks = [(F.max(order_col) if c == order_col else F.max_by(F.col(c), F.col(order_col))).alias(c) for c in rest]
-    return changes.groupBy(*key).agg(*picks)
-
-
-def current_rows(changes: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """Current rows of an aggregate change log, with the bookkeeping columns dropped."""
-    cur = latest_versions(changes, key)
-    return cur.drop("updated_at", "version", "yyyymm")
+    order = write_order(changes)
+    return changes.groupBy(*key).agg(*(F.max_by(F.col(c), order).alias(c) for c in changes.columns if c not in key))
 
 
-def _ts(v) -> F.Column:
-    return ntz(v)
-
-
-def _months(start: dt.datetime, end: dt.datetime) -> list[int]:
-    out, y, m = [], start.year, start.month
-    while (y, m) <= (end.year, end.month):
-        out.append(y * 100 + m)
-        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    return out
+def current_rows(changes: DataFrame, key: list[str] | None = None, keep_month: bool = False) -> DataFrame:
+    """Current rows of an aggregate change log, with the bookkeeping columns dropped.
+    ``yyyymm`` is a function of the window, so it may join the key: a predicate on it
+    then reaches the scan's partitions."""
+    if keep_month and "yyyymm" in changes.columns:
+        key = ["yyyymm", *(key or AGG_KEY)]
+    return latest_versions(changes, key).drop("updated_at", "version", "writer", *([] if keep_month else ["yyyymm"]))
 
 
 def lookup_aggregates(table: DataFrame, user_id: int | None = None, aggregation_type: str | None = None,
@@ -51,7 +52,7 @@ def lookup_aggregates(table: DataFrame, user_id: int | None = None, aggregation_
                       ) -> DataFrame:
     """Rows by key prefix and a ``[start, end)`` range of ``window_start``.
 
-    On a compacted table (``yyyymm`` partition column) the month range is added as a
+    On a compacted table (``yyyymm`` partition column) each bound's month is added as a
     partition predicate, which Spark cannot derive from the ``window_start`` bounds.
     Key predicates reach the Parquet reader, whose row-group statistics skip data in
     files sorted by the key.
@@ -62,13 +63,15 @@ def lookup_aggregates(table: DataFrame, user_id: int | None = None, aggregation_
     if aggregation_type is not None:
         cond = cond & (F.col("aggregation_type") == F.lit(aggregation_type))
     if start is not None:
-        cond = cond & (F.col("window_start") >= _ts(start))
+        cond = cond & (F.col("window_start") >= ntz(start))
     if end is not None:
-        cond = cond & (F.col("window_start") < _ts(end))
-    if "yyyymm" in table.columns and start is not None and end is not None:
-        s, e = as_datetime(start), as_datetime(end)
-        months = _months(s, e - dt.timedelta(microseconds=1))
-        cond = cond & F.col("yyyymm").between(months[0], months[-1])
+        cond = cond & (F.col("window_start") < ntz(end))
+    if "yyyymm" in table.columns:
+        month = lambda t: t.year * 100 + t.month
+        if start is not None:
+            cond = cond & (F.col("yyyymm") >= F.lit(month(as_datetime(start))))
+        if end is not None:
+            cond = cond & (F.col("yyyymm") <= F.lit(month(as_datetime(end) - dt.timedelta(microseconds=1))))
     return table.filter(cond)
 
 
@@ -76,7 +79,7 @@ def expire_before(table: DataFrame, as_of: str | dt.datetime, ttl: str = "7 days
     """Rows still alive at ``as_of`` under ``window_start + ttl > as_of``; ``as_of`` is
     explicit.  Written as ``window_start > as_of - ttl`` so the bound folds to a literal
     and reaches the Parquet reader (row groups of expired windows are skipped)."""
-    return table.filter(F.col("window_start") > (_ts(as_of) - F.expr(f"INTERVAL {ttl}")))
+    return table.filter(F.col("window_start") > (ntz(as_of) - F.expr(f"INTERVAL {ttl}")))
 
 
 def month_summary(table: DataFrame) -> DataFrame:
@@ -87,35 +90,45 @@ def month_summary(table: DataFrame) -> DataFrame:
 
 
 def compact(changes: DataFrame, out_path: str, ttl_as_of: str | dt.datetime | None = None,
-            ttl: str = "7 days", max_records_per_file: int = 5_000_000, upto: int | None = None) -> None:
+            ttl: str = "7 days", max_records_per_file: int = 5_000_000, salts: int = 8,
+            covers: list[str] | None = None) -> None:
     """Collapse a change log and rewrite it by month, sorted by the table key.
 
-    One shuffle: range partitioning on (yyyymm, user_id, aggregation_type, window_start)
-    also clusters every key, so the newest-version collapse runs without another
-    exchange (``yyyymm`` is a function of ``window_start`` and joins the group key for
-    free).  Each output file covers a narrow key range, so lookups skip files and row
-    groups by statistics, and the sample behind the bounds splits a hot user over
-    several tasks.  Writes a new directory: readers switch to it; files under a live
-    sink are never rewritten.  With ``ttl_as_of`` expired rows are purged on the way.
-
-    ``upto`` (the newest version to include, e.g. ``next_version(table) - 1`` taken from
-    the directory listing) leaves out versions that land while compaction runs and is
-    recorded as the marker ``_upto-<v>``, so readers combine the compacted table with
-    the newer versions without scanning it.
+    One shuffle, without a sampling pass over the input: rows are dealt by month, user and a
+    salt of the window (``salts`` tasks at most share one user's month).  All three are
+    functions of the key and join it, so the newest-version collapse runs without another
+    exchange.  Each output file is sorted by key, so lookups skip row groups by statistics.
+    Writes a new directory: readers switch to it; files under a live sink are never
+    rewritten.  With ``ttl_as_of`` expired rows are purged on the way.
+
+    ``covers`` names the versions behind ``changes``; it is recorded beside the result
+    (``compact_table`` does so), so readers can add those that came later.
     """
-    if upto is not None:
-        changes = changes.filter(F.col("version") <= F.lit(int(upto)))
     if ttl_as_of is not None:
         changes = expire_before(changes, ttl_as_of, ttl)
-    order = ["yyyymm", "user_id", "aggregation_type", "window_start"]
-    ranged = changes.withColumn("yyyymm", yyyymm("window_start")).repartitionByRange(*order)
-    cur = latest_versions(ranged, key=["yyyymm", *AGG_KEY])
-    (cur.sortWithinPartitions(*order, "window_end")
+    dealt = changes.withColumn("yyyymm", yyyymm("window_start")).withColumn(
+        "_salt", F.pmod(F.xxhash64("window_start"), F.lit(salts))).repartition("yyyymm", "user_id", "_salt")
+    cur = latest_versions(dealt, key=["yyyymm", "_salt", *AGG_KEY]).drop("_salt")
+    (cur.sortWithinPartitions("yyyymm", "user_id", "aggregation_type", "window_start", "window_end")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("yyyymm")
         .parquet(out_path))
-    if upto is not None:
-        from actiontally.sources.changelog import write_marker  # sources import this module
-
-        write_marker(changes.sparkSession, out_path, "upto", upto)
+    if covers is not None:
+        write_covered(changes.sparkSession, out_path, covers)
+
+
+def compact_table(spark: SparkSession, table_path: str, out_path: str, previous: str | None = None,
+                  ttl_as_of: str | dt.datetime | None = None, ttl: str = "7 days") -> list[str]:
+    """Compact the versions committed now (with ``previous``: that compaction and those it
+    doesn't cover).  Returns the versions covered.  A version that is still being written
+    is left to the next compaction, whatever its number."""
+    now = versions(spark, table_path)
+    old = covered(spark, previous) if previous else []
+    new = sorted(set(now) - set(old))
+    parts = [spark.read.parquet(previous).withColumn("version", F.col("version").cast("long")).drop("yyyymm")] if previous else []
+    if new or not parts:
+        parts.append(read_changes(spark, table_path, only=new))
+    changes = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    compact(changes, out_path, ttl_as_of, ttl, covers=sorted({*old, *new}))
+    return sorted({*old, *new})

@@ -18,17 +18,18 @@ from actiontally.functions.decode import (
 from actiontally.functions.layout import with_partition_columns
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
 from actiontally.operators.backfill import backfill_aggregations
+from actiontally.operators.backfill import backfill_to_table
 from actiontally.operators.versions import (
-    compact, expire_before, latest_versions, lookup_aggregates, month_summary,
+    compact_table, expire_before, latest_versions, lookup_aggregates, month_summary,
 )
 from actiontally.plans.fixtures import (
-    family_envelope, json_envelope, order_events, plain_events,
+    envelope_fields, family_envelope, json_envelope, order_events, plain_events,
 )
 from actiontally.session import pin_utc, scratch_path
-from actiontally.sources.changelog import next_version, read_changes, read_current, write_changes
+from actiontally.sources.changelog import read_changes, read_current, write_changes
 from actiontally.sources.lake import lake_scan, read_lake, write_lake
-from actiontally.streaming.jobs import aggregate_stream, closed_window_stream, run_to_completion
-from actiontally.streaming.staging import file_stream, stage_slices
+from actiontally.streaming.jobs import aggregate_stream, closed_window_stream, start_all
+from actiontally.streaming.staging import file_stream, replay_slices
 
 AGG_COLS = ["user_id", "window_start", "window_end", "total_actions", "aggregation_type"]
 COUNT_COLS = ["user_id", "window_start", "window_end", "total_actions"]
@@ -39,7 +40,9 @@ LOOKUP_USER = 8
 LAKE_LOOKUP = ("2024-01-05 03:00:00", "2024-01-09 05:00:00")
 AGG_LOOKUP = ("2024-01-05 00:00:00", "2024-01-06 00:00:00")
 TTL_AS_OF = "2024-01-31 00:00:00"
-VERSION_CUTOFFS = ["2024-01-10", "2024-01-20", "2024-02-01"]
+VERSION_CUTOFFS = ["2024-01-10", "2024-01-20", None]  # None: all events
+BACKFILL_RANGE = ("2024-01-10 00:00:00", "2024-01-12 00:00:00")
+LAYOUT_BUCKETS = 4
 
 
 # --- aggregates -------------------------------------------------------------------------
@@ -90,9 +93,13 @@ def _family(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = plain_events(spark, sf_dir)
-    return encode_json(e, {"event_id": "event_id", "user_id": "user_id", "action_type": "event_type"},
-                       key="event_id")
+    """The full six-field record, published as text and decoded back."""
+    pin_utc(spark)
+    text = encode_json(plain_events(spark, sf_dir), envelope_fields())
+    good, _ = split_corrupt(decode_events(text))
+    return good.select("event_id", "user_id", "action_type", "event_time",
+                       F.from_json("metadata", "k int").getField("k").alias("k"),
+                       "device_info.device_id", "device_info.device_type", "device_info.os_version", "device_info.app_version")
 
 
 # --- lake -------------------------------------------------------------------------------
@@ -127,9 +134,20 @@ def lake_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                      time_col="ts").select("event_id", "ts", "event_type")
 
 
+def lake_bucket_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per leaf of a lake with all three directory levels, named as the directories are.
+    (Four buckets: the given table has about one event per leaf at 128.)"""
+    pin_utc(spark)
+    path = scratch_path(spark, "bucket_lake")
+    write_lake(plain_events(spark, sf_dir), path, time_col="ts", n_buckets=LAYOUT_BUCKETS, bucket_dirs=True, salts=1)
+    leaf = F.regexp_extract(F.input_file_name(), "event_date=[^/]+/event_hour=[^/]+/bucket=[^/]+", 0)
+    return spark.read.parquet(path).select(leaf.alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 def lake_backfill_2h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and per-type counts recomputed from the lake's slots."""
     lake = read_lake(spark, _landed_lake(spark, sf_dir))
-    return backfill_aggregations(lake, with_types=False).select("user_id", "window_start", "total_actions")
+    return backfill_aggregations(lake, type_col="event_type").select(*AGG_COLS)
 
 
 # --- versioned aggregate tables ---------------------------------------------------------
@@ -141,22 +159,25 @@ def agg_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = plain_events(spark, sf_dir)
     table_path = scratch_path(spark, "user_aggregations")
     for version, cutoff in enumerate(VERSION_CUTOFFS):
-        rows = user_action_counts(e.filter(F.col("ts") < F.lit(cutoff).cast("timestamp_ntz")), "2 hours", **EV)
+        known = e if cutoff is None else e.filter(F.col("ts") < F.lit(cutoff).cast("timestamp_ntz"))
+        rows = user_action_counts(known, "2 hours", **EV)
         write_changes(rows.withColumn("aggregation_type", F.lit("total")), table_path, version)
     cur = latest_versions(read_changes(spark, table_path))
     return cur.select("user_id", "window_start", "window_end", "total_actions", "version")
 
 
-def _compacted_table(spark: SparkSession, events: DataFrame, type_col: str, time_col: str) -> str:
-    """Two versions of the 2-hour table (a partial early one, then the full one),
-    compacted into month partitions sorted by key."""
+def _aggregate_versions(spark: SparkSession, events: DataFrame, type_col: str, time_col: str) -> str:
+    """Two versions of the 2-hour table: one of the mornings only, then the full one."""
     table_path = scratch_path(spark, "user_aggregations")
-    lo, hi = events.agg(F.min(time_col), F.max(time_col)).first()
-    early = events.filter(F.col(time_col) < F.lit((lo + (hi - lo) / 2).isoformat(sep=" ")).cast("timestamp_ntz"))
-    write_changes(user_aggregations(early, "2 hours", time_col=time_col, type_col=type_col), table_path, 0)
-    write_changes(user_aggregations(events, "2 hours", time_col=time_col, type_col=type_col), table_path, 1)
+    for version, rows in enumerate((events.filter(F.hour(time_col) < 12), events)):
+        write_changes(user_aggregations(rows, "2 hours", time_col=time_col, type_col=type_col), table_path, version)
+    return table_path
+
+
+def _compacted_table(spark: SparkSession, events: DataFrame, type_col: str, time_col: str) -> str:
+    """Both versions compacted into month partitions sorted by key."""
     out = scratch_path(spark, "user_aggregations_compacted")
-    compact(read_changes(spark, table_path), out, upto=next_version(spark, table_path) - 1)
+    compact_table(spark, _aggregate_versions(spark, events, type_col, time_col), out)
     return out
 
 
@@ -181,12 +202,49 @@ def agg_month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_summary(spark.read.parquet(out))
 
 
+def agg_current_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One user's totals from a compaction of an early version and the version after it."""
+    pin_utc(spark)
+    e = plain_events(spark, sf_dir)
+    table_path, out = scratch_path(spark, "user_aggregations"), scratch_path(spark, "user_aggregations_compacted")
+    write_changes(user_aggregations(e.filter(F.hour("ts") < 12), "2 hours", **EV), table_path, 0)
+    compact_table(spark, table_path, out)
+    write_changes(user_aggregations(e, "2 hours", **EV), table_path, 1)
+    hit = lookup_aggregates(read_current(spark, table_path, compacted=out, keep_month=True), user_id=LOOKUP_USER,
+                            aggregation_type="total", start=AGG_LOOKUP[0])
+    return hit.select("user_id", "window_start", "total_actions")
+
+
+def agg_backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over the whole table, a backfill of two days whose lake holds every event
+    twice, then the stream once more: the backfilled slots keep the backfill's counts."""
+    pin_utc(spark)
+    e = plain_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
+    table_path, ckpt, src, lake = (scratch_path(spark, n) for n in ("user_aggregations", "ckpt", "stream_input", "lake"))
+
+    def start():
+        return aggregate_stream(file_stream(spark, src, e.schema), table_path, ckpt, "2 hours", True,
+                                trigger={"availableNow": True}, state_partitions=_cores(spark), **EV)
+
+    replay_slices(e, src, "ts", start, n_slices=1)
+    write_lake(e.union(e), lake, time_col="ts")
+    backfill_to_table(spark, lake, table_path, *BACKFILL_RANGE, time_col="ts", type_col="event_type")
+    last = e.agg(F.max("ts").alias("ts"))
+    again = last.select(F.lit(-1).cast("bigint").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"),
+                        F.lit(-1).cast("bigint").alias("user_id"), F.lit("login").alias("event_type"))
+    replay_slices(again, src, "ts", start, n_slices=1)
+    return read_current(spark, table_path).filter("user_id >= 0").select(*AGG_COLS)
+
+
 def realtime_ttl_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5-minute table's live rows, read from a compaction that expired the others."""
     pin_utc(spark)
     table_path = scratch_path(spark, "user_aggregations_realtime")
     rows = user_action_counts(plain_events(spark, sf_dir), "5 minutes", **EV)
     write_changes(rows.withColumn("aggregation_type", F.lit("total")), table_path, 0)
-    return expire_before(read_current(spark, table_path), TTL_AS_OF).select(*COUNT_COLS)
+    out = scratch_path(spark, "user_aggregations_realtime_compacted")
+    compact_table(spark, table_path, out, ttl_as_of=TTL_AS_OF)
+    return expire_before(read_current(spark, table_path, compacted=out), TTL_AS_OF).select(*COUNT_COLS)
 
 
 # --- streams ----------------------------------------------------------------------------
@@ -201,12 +259,11 @@ def _cores(spark: SparkSession) -> int:
 
 def _replayed(spark: SparkSession, sf_dir: str, start, replay_first: bool = False) -> None:
     """Feed ``events`` to the stream ``start(source)`` in six event-time slices, one
-    ``availableNow`` run taking about one slice per micro-batch."""
+    micro-batch each."""
     pin_utc(spark)
     src = plain_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
-    staged = scratch_path(spark, "stream_input")
-    per_batch = stage_slices(src, staged, "ts", n_slices=6, replay_first=replay_first)
-    run_to_completion(start(file_stream(spark, staged, src.schema, max_files_per_trigger=per_batch)))
+    source = scratch_path(spark, "stream_input")
+    replay_slices(src, source, "ts", lambda: start(file_stream(spark, source, src.schema)), 6, replay_first)
 
 
 def stream_user_aggregations_2h(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,6 +300,28 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _closed_windows(spark, sf_dir, replay_first=True)
 
 
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text files to the lake, the rejects and both tables: every sink's rows in one list."""
+    pin_utc(spark)
+    text, root = scratch_path(spark, "json_text"), scratch_path(spark, "fan_out")
+    bad = F.when(F.col("event_id") % 100 == 0, F.array(F.lit("garbage"), F.col("value"))).otherwise(F.array("value"))
+    fields = encode_json(plain_events(spark, sf_dir), envelope_fields(), key="event_id")
+    fields.select(F.explode(bad).alias("value")).write.text(text)  # a broken record before each hundredth
+    events, rejects = split_corrupt(decode_events(spark.readStream.schema("value string").text(text)))
+    for q in start_all(events, root, {"availableNow": True}, rejects=rejects, state_partitions=_cores(spark)).values():
+        q.awaitTermination()
+    none = lambda kind: F.lit(None).cast(kind)
+    lake = spark.read.parquet(f"{root}/lake").groupBy("event_date", "event_hour").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("lake").alias("sink"), none("bigint").alias("user_id"),
+        (F.col("event_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("event_hour"))).alias("window_start"),
+        none("string").alias("aggregation_type"), F.col("n").alias("total_actions"))
+    gone = spark.read.parquet(f"{root}/rejects").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("rejects"), none("bigint"), none("timestamp_ntz"), none("string"), "n")
+    tables = [read_current(spark, f"{root}/{t}").select(F.lit(t), "user_id", "window_start", "aggregation_type", "total_actions")
+              for t in ("user_aggregations", "user_aggregations_realtime")]
+    return lake.union(gone).union(tables[0]).union(tables[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_actions_2h": user_actions_2h,
     "user_action_types_2h": user_action_types_2h,
@@ -256,15 +335,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_columns": partition_columns,
     "lake_roundtrip": lake_roundtrip,
     "lake_layout": lake_layout,
+    "lake_bucket_layout": lake_bucket_layout,
     "lake_point_lookup": lake_point_lookup,
     "lake_backfill_2h": lake_backfill_2h,
     "agg_latest_wins": agg_latest_wins,
     "agg_compacted": agg_compacted,
     "agg_key_lookup": agg_key_lookup,
+    "agg_current_lookup": agg_current_lookup,
+    "agg_backfill_then_stream": agg_backfill_then_stream,
     "agg_month_partitions": agg_month_partitions,
     "realtime_ttl_7d": realtime_ttl_7d,
     "stream_user_aggregations_2h": stream_user_aggregations_2h,
     "stream_user_actions_5m": stream_user_actions_5m,
     "stream_append_closed_windows": stream_append_closed_windows,
     "stream_late_data": stream_late_data,
+    "stream_fan_out": stream_fan_out,
 }

@@ -35,8 +35,8 @@ def iso_time(col: str) -> Column:
     return F.regexp_replace(F.date_format(F.col(col), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "[.]000000$", "")
 
 
-def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = plain_events(spark, sf_dir)
+def envelope_fields() -> dict[str, Column]:
+    """The record's six fields, from a row of ``events``."""
     uid = F.col("user_id")
     device = F.struct(
         F.concat(F.lit("dev-"), uid).alias("device_id"),
@@ -45,12 +45,13 @@ def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat((F.lit(1) + uid % 5).cast("string"), F.lit("."), (uid % 10).cast("string"), F.lit(".0"))
         .alias("app_version"),
     )
-    env = F.struct(
-        F.concat(F.lit("evt-"), F.col("event_id")).alias("event_id"), uid.alias("user_id"),
-        F.col("event_type").alias("action_type"), iso_time("ts").alias("timestamp"),
-        F.from_json(F.col("props"), "k int").alias("metadata"), device.alias("device_info"),
-    )
-    return e.select(F.to_json(env).alias("value"))
+    return {"event_id": F.concat(F.lit("evt-"), F.col("event_id")), "user_id": uid, "action_type": F.col("event_type"),
+            "timestamp": iso_time("ts"), "metadata": F.from_json(F.col("props"), "k int"), "device_info": device}
+
+
+def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = F.struct(*(c.alias(n) for n, c in envelope_fields().items()))
+    return plain_events(spark, sf_dir).select(F.to_json(env).alias("value"))
 
 
 # Action type cycle of the family fixture and the per-family word lists.

@@ -3,6 +3,8 @@ Parquet tables (views ``events``, ``orders``, ...)."""
 
 from __future__ import annotations
 
+from actiontally.plans.fixtures import BUTTON_TEXTS, CATEGORIES, FAMILY_ACTIONS
+
 
 def _bucket(interval: str, ts: str = "ts") -> str:
     return f"time_bucket(interval '{interval}', {ts}, timestamp '1970-01-01')"
@@ -46,9 +48,7 @@ DEVICE = """select 'evt-' || event_id event_id, 'dev-' || user_id device_id,
        (1 + user_id % 5) || '.' || (user_id % 10) || '.0' app_version
 from events"""
 
-_ACTION = """list_extract(['product_view', 'add_to_cart', 'remove_from_cart', 'product_detail_view',
-       'button_click', 'search', 'checkout_start', 'checkout_complete', 'location_search', 'nearby_search',
-       'screen_view', 'screen_exit', 'login'], cast(event_id % 13 + 1 as int))"""
+_ACTION = f"list_extract({FAMILY_ACTIONS!r}, cast(event_id % 13 + 1 as int))"
 
 
 def _family(idx: str, fields: str) -> str:
@@ -58,12 +58,12 @@ from events where event_id % 13 in ({idx})"""
 
 
 FAMILY = {
-    "product": _family("0, 1, 2, 3", """cast(1 + event_id % 10000 as int) product_id,
+    "product": _family("0, 1, 2, 3", f"""cast(1 + event_id % 10000 as int) product_id,
        'Product_' || (1 + event_id % 10000) product_name,
-       list_extract(['Electronics', 'Clothing', 'Food', 'Books', 'Toys'], cast(event_id % 5 + 1 as int)) category,
+       list_extract({CATEGORIES!r}, cast(event_id % 5 + 1 as int)) category,
        value price"""),
-    "button": _family("4", """'btn_' || (1 + event_id % 100) button_id,
-       list_extract(['Buy Now', 'Add to Cart', 'View Details', 'Share'], cast(event_id % 4 + 1 as int)) button_text,
+    "button": _family("4", f"""'btn_' || (1 + event_id % 100) button_id,
+       list_extract({BUTTON_TEXTS!r}, cast(event_id % 4 + 1 as int)) button_text,
        'home' screen"""),
     "search": _family("5", """'book' "query", cast(event_id % 501 as int) results_count"""),
     "checkout": _family("6, 7", """value cart_value, cast(1 + event_id % 10 as int) items_count,
@@ -73,8 +73,7 @@ FAMILY = {
     "screen": _family("10, 11", """'cart' screen_name, cast(1 + event_id % 300 as int) duration_seconds"""),
 }
 
-ENCODE = """select event_id, '{"event_id":' || event_id || ',"user_id":' || user_id
-       || ',"action_type":"' || event_type || '"}' "value" from events"""
+ENCODE = DECODE.replace("event_type action_type, ts event_time,", "event_type action_type, ts event_time, 'dev-' || user_id device_id,")
 
 PARTS = """select event_id, cast(ts as date) event_date,
        cast((extract(hour from ts) // 2) * 2 as int) event_hour, cast(user_id % 128 as int) bucket from events"""
@@ -88,15 +87,16 @@ LAKE_LAYOUT = """select cast(ts as date) event_date, cast((extract(hour from ts)
 LAKE_LOOKUP = """select event_id, ts, event_type from events where user_id = 8
   and ts >= timestamp '2024-01-05 03:00:00' and ts < timestamp '2024-01-09 05:00:00'"""
 
-BACKFILL = f"""select user_id, {B2} window_start, count(*) total_actions from events group by all"""
+BUCKET_LAYOUT = """select 'event_date=' || cast(ts as date) || '/event_hour=' || cast((extract(hour from ts) // 2) * 2 as int)
+       || '/bucket=' || (user_id % 4) leaf, count(*) n_events from events group by all"""
 
 
 def _changes() -> str:
     parts = []
-    for v, cutoff in enumerate(["2024-01-10", "2024-01-20", "2024-02-01"]):
+    for v, cutoff in enumerate(["where ts < timestamp '2024-01-10'", "where ts < timestamp '2024-01-20'", ""]):
         parts.append(f"""select user_id, {B2} window_start, {B2} + interval '2 hours' window_end,
        count(*) total_actions, cast({v} as bigint) version
-from events where ts < timestamp '{cutoff}' group by all""")
+from events {cutoff} group by all""")
     return "\nunion all\n".join(parts)
 
 
@@ -108,6 +108,18 @@ KEY_LOOKUP = f"""select user_id, window_start, total_actions from ({U1})
 where user_id = 8 and aggregation_type = 'total'
   and window_start >= timestamp '2024-01-05' and window_start < timestamp '2024-01-06'"""
 
+CURRENT_LOOKUP = f"""select user_id, window_start, total_actions from ({U1})
+where user_id = 8 and aggregation_type = 'total' and window_start >= timestamp '2024-01-05'"""
+
+BACKFILL_THEN_STREAM = f"""select * replace (case when window_start >= timestamp '2024-01-10' and window_start < timestamp '2024-01-12'
+       then 2 * total_actions else total_actions end as total_actions) from ({U1})"""
+
+FAN_OUT = f"""select 'lake' sink, null::bigint user_id, {B2} window_start, null::varchar aggregation_type, count(*) total_actions
+from events group by all
+union all select 'rejects', null, null, null, count(*) from events where event_id % 100 = 0
+union all select 'user_aggregations', user_id, window_start, aggregation_type, total_actions from ({U1})
+union all select 'user_aggregations_realtime', user_id, window_start, 'total', total_actions from ({COUNTS_5M})"""
+
 ORDERS_U1 = _u1("(select o_custkey, o_orderdate, o_orderpriority from orders)", "o_custkey", "o_orderdate",
                 "o_orderpriority")
 
@@ -132,14 +144,18 @@ ORACLE_SQL: dict[str, str] = {
     "lake_roundtrip": LAKE_ROUNDTRIP,
     "lake_layout": LAKE_LAYOUT,
     "lake_point_lookup": LAKE_LOOKUP,
-    "lake_backfill_2h": BACKFILL,
+    "lake_bucket_layout": BUCKET_LAYOUT,
+    "lake_backfill_2h": U1,
     "agg_latest_wins": LATEST,
     "agg_compacted": U1,
     "agg_key_lookup": KEY_LOOKUP,
+    "agg_current_lookup": CURRENT_LOOKUP,
+    "agg_backfill_then_stream": BACKFILL_THEN_STREAM,
     "agg_month_partitions": MONTHS,
     "realtime_ttl_7d": TTL,
     "stream_user_aggregations_2h": U1,
     "stream_user_actions_5m": COUNTS_5M,
     "stream_append_closed_windows": CLOSED,
     "stream_late_data": CLOSED,
+    "stream_fan_out": FAN_OUT,
 }

@@ -66,6 +66,7 @@ AGGREGATE = StructType([
     StructField("total_actions", LongType()),
     StructField("aggregation_type", StringType()),
     StructField("updated_at", TimestampNTZType()),
+    StructField("writer", StringType()),
     StructField("version", LongType()),
 ])
 

@@ -40,7 +40,9 @@ def build_session(master: str | None = None, app: str = "actiontally",
 
 
 def pin_utc(spark: SparkSession) -> None:
-    """Window edges of TIMESTAMP columns depend on the session zone; event times are UTC."""
+    """Window edges of TIMESTAMP columns depend on the session zone; event times are UTC.
+    This sets the caller's session zone and leaves it so, as results are lazy and are
+    evaluated under it."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 

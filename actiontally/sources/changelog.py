@@ -1,35 +1,43 @@
-"""Aggregate tables as change logs: each write lands in ``version=<n>``.
-
-Rewriting a version directory replaces it, so a replayed stream batch (the same batch
-id) is idempotent.  Readers collapse versions with ``latest_versions`` (newest wins).
-Every writer takes versions above the newest one present when it starts: a stream at
-its first start (``base + batch id`` afterwards), a backfill per run.  Backfill closed
-slots only; a running stream no longer updates them, since late rows for closed
-windows are dropped.
+"""Aggregate tables as change logs: each write lands in ``writer=<id>/version=<n>``.
+
+A writer is one stream checkpoint or one backfill run; nobody else writes its
+directories, so writers can't replace each other's rows.  Rewriting a writer's version
+replaces it, so a replayed stream batch (the same batch id) is idempotent.  A version
+counts once its ``_SUCCESS`` file is there.  Readers collapse versions with
+``latest_versions``: the row written last wins.
+
+A compaction lists the versions it covers (``_covered``); readers add every other
+committed version to it, and ``remove_covered`` deletes the covered ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from actiontally.functions.layout import yyyymm
 
+MAIN = "main"
+#: Fixed value: the columns of the serving tables.
+EXPORT_COLUMNS = ["user_id", "window_start", "window_end", "total_actions", "aggregation_type", "updated_at"]
 
-def write_changes(df: DataFrame, table_path: str, version: int, export=None) -> None:
+
+def write_changes(df: DataFrame, table_path: str, version: int, export=None, writer: str = MAIN) -> None:
     """Write one version of aggregate rows; ``updated_at`` stamps the write time.
 
-    ``export`` (optional) receives the same stamped rows, e.g. a JDBC writer for an
-    external OLAP store.  The rows are persisted across the two writes, so a stream's
-    micro-batch plan runs once and both copies carry the same ``updated_at``.
+    ``export`` (optional) receives the same stamped rows with exactly the serving
+    table's columns, e.g. a JDBC writer for an external OLAP store.  The rows are
+    persisted across the two writes, so a stream's micro-batch plan runs once and both
+    copies carry the same ``updated_at``.
     """
     out = df.withColumn("updated_at", F.localtimestamp())
     if export is not None:
         out = out.persist()
     try:
-        out.write.mode("overwrite").parquet(f"{table_path}/version={int(version)}")
+        out.write.mode("overwrite").parquet(f"{table_path}/writer={writer}/version={int(version)}")
         if export is not None:
-            export(out.withColumn("version", F.lit(int(version)).cast("long")))
+            export(out.select(*EXPORT_COLUMNS))
     finally:
         if export is not None:
             out.unpersist()
@@ -40,70 +48,96 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path
 
 
-def read_marker(spark: SparkSession, directory: str, name: str) -> int | None:
+def read_tag(spark: SparkSession, directory: str, name: str) -> str | None:
     """Value of an empty marker file ``<directory>/_<name>-<value>`` (None if absent).
     File listing of readers skips names that start with ``_`` and hold no ``=``."""
     fs, path = _fs(spark, directory)
     found = fs.globStatus(path(f"{directory}/_{name}-*"))
-    return int(found[0].getPath().getName().rsplit("-", 1)[1]) if found else None
+    return found[0].getPath().getName().rsplit("-", 1)[1] if found else None
 
 
-def write_marker(spark: SparkSession, directory: str, name: str, value: int) -> None:
+def write_tag(spark: SparkSession, directory: str, name: str, value: str) -> None:
     fs, path = _fs(spark, directory)
     fs.mkdirs(path(directory))
-    fs.create(path(f"{directory}/_{name}-{int(value)}"), True).close()
+    fs.create(path(f"{directory}/_{name}-{value}"), True).close()
 
 
-def next_version(spark: SparkSession, table_path: str) -> int:
-    """One above the newest version directory of the table (0 for a new table).
-    Lists directory names only; the count of versions is what it reads."""
+def versions(spark: SparkSession, table_path: str, committed: bool = True) -> list[str]:
+    """``writer=<id>/version=<n>`` of each version (names from one listing)."""
     fs, path = _fs(spark, table_path)
-    found = fs.globStatus(path(f"{table_path}/version=*")) or []
-    return max((int(st.getPath().getName().split("=", 1)[1]) + 1 for st in found), default=0)
+    found = fs.globStatus(path(f"{table_path}/writer=*/version=*" + ("/_SUCCESS" if committed else ""))) or []
+    at = -3 if committed else -2
+    return sorted("/".join(st.getPath().toString().split("/")[at:][:2]) for st in found)
 
 
-def version_dirs(spark: SparkSession, table_path: str, above: int = -1) -> list[str]:
-    """Directories of the versions newer than ``above`` (names from one listing)."""
-    fs, path = _fs(spark, table_path)
-    out = []
-    for st in fs.globStatus(path(f"{table_path}/version=*")) or []:
-        if int(st.getPath().getName().split("=", 1)[1]) > above:
-            out.append(st.getPath().toString())
-    return out
+def next_version(spark: SparkSession, table_path: str, writer: str = MAIN) -> int:
+    """One above the writer's newest version directory, committed or not (0 for a new writer)."""
+    own = [v.rsplit("=", 1)[1] for v in versions(spark, table_path, False) if v.startswith(f"writer={writer}/")]
+    return max((int(v) + 1 for v in own), default=0)
 
 
 def read_changes(spark: SparkSession, table_path: str, schema: StructType | None = None,
-                 paths: list[str] | None = None) -> DataFrame:
-    """The change log; ``paths`` limits the read (and the file listing) to some versions."""
-    reader = spark.read
+                 only: list[str] | None = None) -> DataFrame:
+    """The committed versions of the change log (``only`` some of them) with ``writer`` and
+    ``version``.  A table without any needs ``schema``."""
+    which = versions(spark, table_path) if only is None else only
+    own = [StructField("writer", StringType()), StructField("version", LongType())]
     if schema is not None:
-        reader = reader.schema(StructType([*schema.fields, StructField("version", LongType())]))
-    df = reader.option("basePath", table_path).parquet(*paths) if paths else reader.parquet(table_path)
-    return df.withColumn("version", F.col("version").cast("long"))
-
-
-def changes_since(spark: SparkSession, table_path: str, compacted: str, schema: StructType | None = None
-                  ) -> DataFrame:
-    """The rows of a compaction of this table plus the versions written after it: all a
-    reader or the next compaction needs, instead of the whole history.  The bound comes
-    from the compaction's marker; only the newer version directories are listed and read."""
-    done = spark.read.parquet(compacted)
-    upto = read_marker(spark, compacted, "upto")
-    if upto is None:  # compacted without a recorded bound: one pass over its version column
-        upto = done.agg(F.max("version")).first()[0]
-    base = done.drop("yyyymm").withColumn("version", F.col("version").cast("long"))
-    newer = version_dirs(spark, table_path, -1 if upto is None else upto)
+        schema = StructType([*(f for f in schema.fields if f.name not in ("writer", "version")), *own])
+        if not which:
+            return spark.createDataFrame([], schema)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.option("basePath", table_path).parquet(*(f"{table_path}/{v}" for v in which))
+    return df.withColumn("writer", F.col("writer").cast("string")).withColumn("version", F.col("version").cast("long"))
+
+
+def covered(spark: SparkSession, compacted: str) -> list[str]:
+    """The versions a compaction holds."""
+    fs, path = _fs(spark, compacted)
+    f = fs.open(path(f"{compacted}/_covered"))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(f, "UTF-8").split()
+    finally:
+        f.close()
+
+
+def write_covered(spark: SparkSession, compacted: str, which: list[str]) -> None:
+    fs, path = _fs(spark, compacted)
+    f = fs.create(path(f"{compacted}/_covered"), True)
+    try:
+        f.write(bytearray("\n".join(which), "utf-8"))
+    finally:
+        f.close()
+
+
+def changes_since(spark: SparkSession, table_path: str, compacted: str, schema: StructType | None = None) -> DataFrame:
+    """The rows of a compaction of this table plus the committed versions it doesn't cover:
+    all a reader or the next compaction needs, instead of the whole history.  ``yyyymm``
+    is kept, as the compaction's partition column, and worked out for the newer rows."""
+    base = spark.read.parquet(compacted).withColumn("version", F.col("version").cast("long"))
+    newer = sorted(set(versions(spark, table_path)) - set(covered(spark, compacted)))
     if newer:
-        base = read_changes(spark, table_path, schema, newer).unionByName(base)
+        rows = read_changes(spark, table_path, schema, newer).withColumn("yyyymm", yyyymm("window_start"))
+        base = rows.unionByName(base, allowMissingColumns=True)
     return base
 
 
+def remove_covered(spark: SparkSession, table_path: str, compacted: str) -> list[str]:
+    """Deletes the versions that a compaction covers, rows that it expired included; returns
+    them.  To be called when no reader uses the table without the compaction any more."""
+    fs, path = _fs(spark, table_path)
+    gone = sorted(set(covered(spark, compacted)) & set(versions(spark, table_path)))
+    for v in gone:
+        fs.delete(path(f"{table_path}/{v}"), True)
+    return gone
+
+
 def read_current(spark: SparkSession, table_path: str, schema: StructType | None = None,
-                 compacted: str | None = None) -> DataFrame:
-    """Current rows; with ``compacted`` (a ``compact`` output of this table) from
-    ``changes_since`` rather than the whole history."""
+                 compacted: str | None = None, keep_month: bool = False) -> DataFrame:
+    """Current rows; with ``compacted`` (a compaction of this table) from ``changes_since``
+    rather than the whole history."""
     from actiontally.operators.versions import current_rows  # operators import this module
 
     if compacted is None:
         return current_rows(read_changes(spark, table_path, schema))
-    return current_rows(changes_since(spark, table_path, compacted, schema))
+    return current_rows(changes_since(spark, table_path, compacted, schema), keep_month=keep_month)

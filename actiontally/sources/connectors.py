@@ -14,16 +14,18 @@ from pyspark.sql import functions as F
 TOPIC = "user_actions_topic"
 
 
-def read_topic(spark: SparkSession, bootstrap: str, topic: str = TOPIC, starting_offsets: str = "latest",
-               max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
-    """The topic as a stream of ``value`` texts.  ``max_offsets_per_trigger`` bounds a
+def read_topic(spark: SparkSession, bootstrap: str, topic: str = TOPIC, starting_offsets: str = "earliest",
+               fail_on_data_loss: bool = True, max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
+    """The topic as a stream of ``value`` texts.  A new query starts at the topic's earliest
+    record (``starting_offsets``), and records that expired before they were read stop it
+    (``fail_on_data_loss``) rather than go missing unseen.  ``max_offsets_per_trigger`` bounds a
     micro-batch; ``min_partitions`` splits each topic partition's offset range over
     several tasks, so parallelism is not capped at the topic's partition count."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap)
               .option("subscribe", topic)
               .option("startingOffsets", starting_offsets)
-              .option("failOnDataLoss", "false"))
+              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     if min_partitions:
@@ -39,7 +41,8 @@ def write_topic(encoded: DataFrame, bootstrap: str, topic: str = TOPIC) -> None:
 
 
 def jdbc_exporter(url: str, table: str, properties: dict | None = None, batch_size: int = 10_000):
-    """A callable for ``write_changes(export=...)`` that appends to a JDBC table."""
+    """A callable for ``write_changes(export=...)`` that appends to a JDBC table.  It is given
+    exactly the serving table's columns."""
     def export(df: DataFrame) -> None:
         w = df.write.format("jdbc").option("url", url).option("dbtable", table) \
             .option("batchsize", str(batch_size)).mode("append")

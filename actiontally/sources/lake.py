@@ -1,15 +1,12 @@
 """The event lake: Parquet laid out by date, two-hour slot and user bucket.
 
-Write: range partitioning on (date, slot, bucket, user, time) followed by a sort
-within partitions.  Every task writes a narrow key range, so files per leaf stay few,
-files carry tight min/max statistics, and the sample behind the range bounds splits a
-hot user over several tasks instead of piling it onto one.
-
-``bucket`` is a third directory level only for lakes whose leaves hold enough rows
-(full scale: about a million per leaf); below that it stays a sorted column, pruned
-by Parquet statistics rather than by directory.  The layout is a property of the lake:
-choose it once (``advise_bucket_dirs``) and pass the same value to every write, since
-Spark cannot read a lake whose directories mix both layouts.
+Write: one shuffle by (date, slot, bucket, salt), then a sort within partitions.  The salt
+spreads a hot user's bucket over several tasks; files carry tight min/max statistics.
+
+``bucket`` is a third directory level (``bucket_dirs=True``) or a sorted column, pruned
+by Parquet statistics rather than by directory.  The layout and the number of buckets
+are properties of the lake: the first write records them, later writes with others are
+refused, and reads go by what is recorded.
 """
 
 from __future__ import annotations
@@ -22,37 +19,26 @@ from pyspark.sql import functions as F
 
 from actiontally.functions.literals import as_datetime, day, ntz
 from actiontally.functions.layout import (
-    N_BUCKETS, PARTITION_COLUMNS, SLOT_HOURS, event_hour, with_partition_columns,
+    N_BUCKETS, PARTITION_COLUMNS, SLOT_HOURS, with_partition_columns,
 )
+from actiontally.sources.changelog import read_tag, write_tag
 
-ROWS_PER_BUCKET_DIR = 100_000
-
-
-def advise_bucket_dirs(df: DataFrame, time_col: str = "event_time", n_buckets: int = N_BUCKETS,
-                       threshold: int = ROWS_PER_BUCKET_DIR) -> bool:
-    """Whether a lake fed by data like ``df`` should have bucket directories: the
-    largest slot divided by the bucket count reaches ``threshold`` rows.  One pass over
-    the time column; the collected result is one number."""
-    slot = df.select(F.to_date(time_col).alias("d"), event_hour(time_col).alias("s"))
-    biggest = slot.groupBy("d", "s").count().agg(F.max("count").alias("m")).first()["m"]
-    return bool(biggest) and biggest / n_buckets >= threshold
+#: Tasks that may share one leaf's rows.
+SALTS = 4
 
 
 def write_lake(df: DataFrame, path: str, time_col: str = "event_time", user_col: str = "user_id",
                n_buckets: int = N_BUCKETS, bucket_dirs: bool = False, mode: str = "append",
-               max_records_per_file: int = 2_000_000) -> None:
-    """Land events in the lake.  ``mode="overwrite"`` replaces only the slots present in
-    ``df`` (dynamic partition overwrite), which makes a backfill of one day rerunnable.
-
-    The first write records the layout (``_bucket_dirs-<0|1>``); a later write with the
-    other layout is refused, since Spark cannot read a lake that mixes both.
-    """
-    check_layout(df.sparkSession, path, bucket_dirs)
+               max_records_per_file: int = 2_000_000, salts: int = SALTS) -> None:
+    """Land events in the lake, reading ``df`` once.  ``mode="overwrite"`` replaces only the
+    slots present in ``df`` (dynamic partition overwrite), which makes a backfill of one
+    day rerunnable.  Size ``salts`` to the largest leaf: its rows over one task's share."""
+    check_layout(df.sparkSession, path, bucket_dirs, n_buckets)
     out = with_partition_columns(df, time_col, user_col, n_buckets)
-    order = ["event_date", "event_hour", "bucket", user_col, time_col]
+    salt = F.pmod(F.xxhash64(F.col(time_col), F.col(user_col)), F.lit(salts))
     parts = PARTITION_COLUMNS + (["bucket"] if bucket_dirs else [])
-    (out.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+    (out.repartition(F.col("event_date"), F.col("event_hour"), F.col("bucket"), salt)
+        .sortWithinPartitions("event_date", "event_hour", "bucket", user_col, time_col)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
@@ -60,65 +46,67 @@ def write_lake(df: DataFrame, path: str, time_col: str = "event_time", user_col:
         .parquet(path))
 
 
-def check_layout(spark: SparkSession, path: str, bucket_dirs: bool) -> None:
+def check_layout(spark: SparkSession, path: str, bucket_dirs: bool, n_buckets: int = N_BUCKETS) -> None:
     """Record a new lake's layout, or refuse a write whose layout differs from it."""
-    from actiontally.sources.changelog import read_marker, write_marker
+    for name, asked in (("bucket_dirs", int(bool(bucket_dirs))), ("n_buckets", n_buckets)):
+        recorded = read_tag(spark, path, name)
+        if recorded is None:
+            write_tag(spark, path, name, str(asked))
+        elif int(recorded) != asked:
+            raise ValueError(f"lake {path} was written with {name}={recorded}; this write asks for {asked}")
 
-    recorded = read_marker(spark, path, "bucket_dirs")
-    if recorded is None:
-        write_marker(spark, path, "bucket_dirs", int(bool(bucket_dirs)))
-    elif recorded != int(bool(bucket_dirs)):
-        raise ValueError(f"lake {path} was written with bucket_dirs={bool(recorded)}; "
-                         f"this write asks for bucket_dirs={bool(bucket_dirs)}")
 
+def is_landing(spark: SparkSession, path: str) -> bool:
+    """Whether the streaming file sink writes this lake: only its commit log tells which files count."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+
+def check_slots(start, end) -> None:
+    """Refuse a range that cuts a slot: recomputing part of a slot would replace the whole of it."""
+    for t in (as_datetime(start), as_datetime(end)):
+        if t.hour % SLOT_HOURS or t.minute or t.second or t.microsecond:
+            raise ValueError(f"{t} is not on a {SLOT_HOURS}-hour slot bound")
 
 
-def _to_dt(v) -> dt.datetime:
-    return as_datetime(v)
+def read_lake(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def lake_scan(spark: SparkSession, path: str, user_id: int | None = None, start=None, end=None,
-              time_col: str = "event_time", user_col: str = "user_id", n_buckets: int = N_BUCKETS,
-              max_listed_days: int = 1000, list_range_only: bool = True) -> DataFrame:
+              time_col: str = "event_time", user_col: str = "user_id") -> DataFrame:
     """Events of one user and/or a ``[start, end)`` time range, reading only what can match.
 
     Spark does not derive partition predicates from predicates on the event time or the
     user, so this adds them: ``event_date`` always, ``event_hour`` when the range lies in
-    one day, ``bucket`` for a user.  With both bounds the listing itself is limited to
-    the matching date directories; pass ``list_range_only=False`` for a lake written by
-    the streaming file sink, whose commit log lives at the root.
+    one day, ``bucket`` for a user (by the lake's own number of buckets).  With both bounds
+    the listing itself is limited to the matching date directories, except in a landing
+    lake, which is read through its commit log.
     """
-    cond = F.lit(True)
-    src = path
-    if start is not None and end is not None:
-        s, e = _to_dt(start), _to_dt(end)
+    cond, src = F.lit(True), path
+    s, e = (None if t is None else as_datetime(t) for t in (start, end))
+    if s is not None:
+        cond = cond & (F.col("event_date") >= day(s.date())) & (F.col(time_col) >= ntz(s))
+    if e is not None:
         last = e - dt.timedelta(microseconds=1)
+        cond = cond & (F.col("event_date") <= day(last.date())) & (F.col(time_col) < ntz(e))
+    if s is not None and e is not None:
         days = [(s.date() + dt.timedelta(days=i)) for i in range((last.date() - s.date()).days + 1)]
-        if not days:
+        if s >= e:
             return read_lake(spark, path).filter(F.lit(False))
-        if list_range_only and len(days) <= max_listed_days:
+        if not is_landing(spark, path):
             src = f"{path}/event_date={{{','.join(d.isoformat() for d in days)}}}"
-        cond = cond & F.col("event_date").between(day(days[0]), day(days[-1]))
         if len(days) == 1:
             lo, hi = s.hour // SLOT_HOURS * SLOT_HOURS, last.hour // SLOT_HOURS * SLOT_HOURS
             cond = cond & F.col("event_hour").between(lo, hi)
-        cond = cond & (F.col(time_col) >= ntz(s)) & (F.col(time_col) < ntz(e))
-    else:
-        if start is not None:
-            s = _to_dt(start)
-            cond = cond & (F.col("event_date") >= day(s.date())) & (F.col(time_col) >= ntz(s))
-        if end is not None:
-            e = _to_dt(end)
-            cond = cond & (F.col("event_date") <= day((e - dt.timedelta(microseconds=1)).date())) \
-                & (F.col(time_col) < ntz(e))
     if user_id is not None:
+        n_buckets = int(read_tag(spark, path, "n_buckets") or N_BUCKETS)
         cond = cond & (F.col("bucket") == F.lit(user_id % n_buckets)) & (F.col(user_col) == F.lit(user_id))
     try:
         df = spark.read.option("basePath", path).parquet(src) if src != path else read_lake(spark, path)
-    except AnalysisException:
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
         # No directory for any day in range: an empty result with the lake's columns.
         return read_lake(spark, path).filter(F.lit(False))
     return df.filter(cond)

@@ -2,11 +2,11 @@
 
 from actiontally.streaming.jobs import (
     StreamResult, aggregate_stream, closed_window_stream, curate_slots, lake_stream, run_to_completion,
-    start_all,
+    start_aggregates, start_all, start_landing,
 )
-from actiontally.streaming.staging import file_stream, replay_slices, stage_slices, time_slices
+from actiontally.streaming.staging import file_stream, replay_slices, stage_slices
 
 __all__ = [
     "StreamResult", "aggregate_stream", "closed_window_stream", "curate_slots", "lake_stream", "run_to_completion",
-    "start_all", "file_stream", "replay_slices", "stage_slices", "time_slices",
+    "start_aggregates", "start_all", "start_landing", "file_stream", "replay_slices", "stage_slices",
 ]

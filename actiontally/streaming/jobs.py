@@ -1,9 +1,9 @@
 """Streaming queries for the three sinks of the action stream.
 
 * ``aggregate_stream``: windowed counts in ``update`` mode; each micro-batch lands in
-  the change log as ``version=<base + batch id>`` (idempotent on replay) and readers
-  take the newest version of each key, which repairs the repeated emission of open
-  windows.
+  the change log as the checkpoint's own ``version=<batch id>`` (idempotent on replay)
+  and readers take the row of each key written last, which repairs the repeated
+  emission of open windows.
 * ``closed_window_stream``: ``append`` mode, a window is written once, after the
   watermark passes its end.
 * ``lake_stream``: every event into the lake through the exactly-once file sink.
@@ -18,18 +18,21 @@ checkpoint, so size it before the first start.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from actiontally.functions.layout import with_partition_columns
+from actiontally.functions.literals import as_datetime, ntz
 from actiontally.session import pin_utc
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
-from actiontally.sources.changelog import next_version, read_marker, write_changes, write_marker
-from actiontally.sources.lake import check_layout, lake_scan, write_lake
+from actiontally.sources.changelog import read_tag, versions, write_changes, write_tag
+from actiontally.sources.lake import SALTS, check_layout, check_slots, lake_scan, write_lake
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -48,19 +51,28 @@ def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | No
     return w.trigger(**(trigger or {"processingTime": "5 minutes"}))
 
 
-def version_base(spark, table_path: str, checkpoint: str) -> int:
-    """First table version of the query behind ``checkpoint``.
+def stream_writer(spark, table_path: str, checkpoint: str, since=None, duration: str = "2 hours") -> tuple[str, str | None]:
+    """Writer id of the query behind ``checkpoint`` and the bound it counts from, both
+    recorded beside the checkpoint when it is first used.
 
-    Batch ids restart at 0 with a new checkpoint, so versions are ``base + batch id``
-    with ``base`` one above the newest version in the table when the checkpoint is
-    first used.  The base is recorded beside the checkpoint (``_version_base-<n>``), so
-    a restart or a replayed batch maps to the same version again.
+    A new checkpoint knows nothing of the windows that a former one left open: its counts of
+    them would replace the former's.  On a table that has rows it must therefore say from
+    which window on (``since``) it counts; earlier windows are left as they are, to be
+    backfilled from the lake if need be.
     """
-    base = read_marker(spark, checkpoint, "version_base")
-    if base is None:
-        base = next_version(spark, table_path)
-        write_marker(spark, checkpoint, "version_base", base)
-    return base
+    writer = read_tag(spark, checkpoint, "writer")
+    if writer is None:
+        if since is None and versions(spark, table_path):
+            raise ValueError(f"{table_path} has rows of other writers: a new checkpoint needs ``since``, the start of its first window")
+        if since is not None:
+            start = spark.range(1).select(F.window(ntz(since), duration).start.cast("string"), ntz(since).cast("string")).first()
+            if start[0] != start[1]:
+                raise ValueError(f"{since} does not start a window of {duration}")
+            write_tag(spark, checkpoint, "since", as_datetime(since).strftime("%Y%m%dT%H%M%S"))
+        writer = f"stream_{uuid.uuid4().hex[:12]}"
+        write_tag(spark, checkpoint, "writer", writer)
+    kept = read_tag(spark, checkpoint, "since")
+    return writer, kept and f"{kept[:4]}-{kept[4:6]}-{kept[6:8]} {kept[9:11]}:{kept[11:13]}:{kept[13:15]}"
 
 
 @contextmanager
@@ -103,15 +115,19 @@ def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, durati
                      time_col: str = "event_time", user_col: str = "user_id", type_col: str = "action_type",
                      export=None, name: str | None = None, state_store: str | None = "rocksdb",
                      dedup: bool = False, state_partitions: int | None = None,
-                     output_files: int | None = None) -> StreamingQuery:
+                     output_files: int | None = None, since=None) -> StreamingQuery:
     """Totals (and per-type counts) per user and window into a versioned change log.
 
+    ``since``: the window from which a new checkpoint counts, required if the table has rows.
     With ``dedup`` a repeated ``event_id`` within the watermark delay counts once.
     Each micro-batch writes one file per state partition; with thousands of state
     partitions set ``output_files`` to shuffle just the batch's updated rows into that
     many files (compaction merges versions later either way).
     """
-    base = version_base(events.sparkSession, table_path, checkpoint)
+    pin_utc(events.sparkSession)
+    writer, first = stream_writer(events.sparkSession, table_path, checkpoint, since, duration)
+    if first:
+        events = events.filter(F.col(time_col) >= ntz(first))
     ev = _with_event_time(events, time_col, watermark, dedup)
     if with_types:
         agg = user_aggregations(ev, duration, time_col, user_col, type_col)
@@ -121,7 +137,7 @@ def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, durati
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.repartition(output_files) if output_files else batch
-        write_changes(rows, table_path, base + batch_id, export)
+        write_changes(rows, table_path, batch_id, export, writer)
 
     with _start_settings(events.sparkSession, state_store, state_partitions, evict_without_data=False):
         return _writer(agg, checkpoint, trigger, name).outputMode("update").foreachBatch(sink).start()
@@ -150,22 +166,19 @@ def closed_window_stream(events: DataFrame, out_path: str, checkpoint: str, dura
 
 def lake_stream(events: DataFrame, lake_path: str, checkpoint: str, trigger: dict | None = None,
                 time_col: str = "event_time", user_col: str = "user_id", bucket_dirs: bool = False,
-                salts: int = 4, dedup_watermark: str | None = None, name: str | None = None) -> StreamingQuery:
+                salts: int = SALTS, name: str | None = None) -> StreamingQuery:
     """Every event into the landing lake through the exactly-once file sink.
 
     Without bucket directories there is no shuffle: each source partition (balanced by
     the topic, which has no message key) writes its rows into the slot directories it
     touches.  With bucket directories rows are clustered by leaf plus a small salt, so
-    a hot user's bucket spreads over ``salts`` tasks while a leaf still gets at most
-    ``salts`` files per micro-batch.  Streams cannot sort: ``curate_slots`` rewrites
-    closed slots sorted into the batch lake.  ``dedup_watermark`` drops repeated
-    ``event_id`` values within that delay.
+    a hot user's bucket spreads over ``salts`` tasks (size it to the largest leaf of a
+    micro-batch) while a leaf still gets at most ``salts`` files per micro-batch.
+    Streams cannot sort: ``curate_slots`` rewrites closed slots sorted into the batch
+    lake, and drops repeats there.  Late and repeated events all land.
     """
     check_layout(events.sparkSession, lake_path, bucket_dirs)
     out = with_partition_columns(events, time_col, user_col)
-    if dedup_watermark:
-        out = _with_event_time(out, time_col, dedup_watermark).dropDuplicatesWithinWatermark(["event_id"]) \
-            .withColumn(time_col, F.col(time_col).cast("timestamp_ntz"))
     if bucket_dirs:
         salt = F.pmod(F.xxhash64(F.col("event_id")), F.lit(salts))
         out = out.repartition(F.col("event_date"), F.col("event_hour"), F.col("bucket"), salt)
@@ -175,10 +188,14 @@ def lake_stream(events: DataFrame, lake_path: str, checkpoint: str, trigger: dic
 
 
 def curate_slots(spark, landing_path: str, lake_path: str, start, end, time_col: str = "event_time",
-                 user_col: str = "user_id", bucket_dirs: bool = False) -> None:
+                 user_col: str = "user_id", bucket_dirs: bool = False, dedup: bool = False) -> None:
     """Rewrite the closed slots ``[start, end)`` of the landing lake into the sorted batch
-    lake (dynamic partition overwrite, so a rerun replaces the same slots)."""
-    rows = lake_scan(spark, landing_path, start=start, end=end, time_col=time_col, list_range_only=False)
+    lake (dynamic partition overwrite, so a rerun replaces the same slots).  The bounds
+    must be slot bounds; with ``dedup`` one event of each ``event_id`` stays."""
+    check_slots(start, end)
+    rows = lake_scan(spark, landing_path, start=start, end=end, time_col=time_col)
+    if dedup:
+        rows = rows.dropDuplicates(["event_id"])
     rows = rows.drop("event_date", "event_hour", "bucket")
     write_lake(rows, lake_path, time_col, user_col, bucket_dirs=bucket_dirs, mode="overwrite")
 
@@ -191,50 +208,98 @@ class StreamResult:
     progress: list = field(default_factory=list)
 
 
-def run_to_completion(query: StreamingQuery, timeout_s: int = 600) -> StreamResult:
-    """Wait for an ``availableNow`` query and summarise its progress reports (Spark keeps
-    the last ``spark.sql.streaming.numRecentProgressUpdates`` of them, 100 by default)."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout_s}s")
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    res = StreamResult()
+class Reports(StreamingQueryListener):
+    """Keeps every progress report it hears of, by run and batch."""
+
+    def __init__(self) -> None:
+        self.seen: dict[tuple[str, int, str], object] = {}
+
+    def add(self, p) -> None:
+        self.seen[str(p.runId), p.batchId, p.timestamp] = p
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        self.add(event.progress)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def run_to_completion(query: StreamingQuery | Callable[[], StreamingQuery], timeout_s: int | None = None) -> StreamResult:
+    """Wait for an ``availableNow`` query (or one that the callable starts), without limit
+    unless one is given, and sum up its progress reports: those heard by a listener and the
+    last ones that the query itself keeps."""
+    spark, reports = SparkSession.getActiveSession(), Reports()
+    spark.streams.addListener(reports)
+    try:
+        query = query() if callable(query) else query
+        finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination() is None
+        if not finished:
+            query.stop()
+            raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout_s}s")
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+    finally:
+        spark.streams.removeListener(reports)
     for p in query.recentProgress:
-        res.progress.append(p)
-        res.batches += 1
-        res.input_rows += int(p.numInputRows or 0)
-        for op in p.stateOperators or []:
-            res.dropped_late += int(op.numRowsDroppedByWatermark or 0)
+        reports.add(p)
+    res = StreamResult()
+    for (run, _, _), p in sorted(reports.seen.items(), key=lambda x: x[0]):
+        if run == str(query.runId):
+            res.progress.append(p)
+            res.batches += 1
+            res.input_rows += int(p.numInputRows or 0)
+            res.dropped_late += sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators or [])
     return res
 
 
-def start_all(events: DataFrame, root: str, trigger: dict | None = None, watermark: str = "10 minutes",
-              realtime_window: str = "5 minutes", export_2h=None, export_5m=None,
-              dedup: bool = False, state_partitions: int | None = None, output_files: int | None = None,
-              bucket_dirs: bool = False, aggregates_from: str = "source") -> dict[str, StreamingQuery]:
-    """One decoded source fanned out to the lake and both aggregate tables.
-
-    State is per query, so each sink has its own checkpoint under ``root``.  With
-    ``aggregates_from="lake"`` the two aggregate queries read the landing lake's
-    committed files (the file sink's log makes that exactly-once) instead of the
-    source: each record is then parsed once rather than three times, for one trigger
-    of extra latency.
-    """
-    queries = {"lake": lake_stream(events, f"{root}/lake", f"{root}/_checkpoints/lake", trigger,
-                                   bucket_dirs=bucket_dirs, dedup_watermark=watermark if dedup else None,
-                                   name="lake")}
+def start_landing(events: DataFrame, root: str, trigger: dict | None = None, rejects: DataFrame | None = None,
+                  bucket_dirs: bool = False) -> dict[str, StreamingQuery]:
+    """Every event into the lake, every rejected record into ``rejects`` (Parquet, as it is)."""
+    out = {"lake": lake_stream(events, f"{root}/lake", f"{root}/_checkpoints/lake", trigger, bucket_dirs=bucket_dirs, name="lake")}
+    if rejects is not None:
+        out["rejects"] = _writer(rejects, f"{root}/_checkpoints/rejects", trigger, "rejects").outputMode("append") \
+            .format("parquet").option("path", f"{root}/rejects").start()
+    return out
+
+
+def start_aggregates(events: DataFrame, root: str, trigger: dict | None = None, watermark: str = "10 minutes",
+                     realtime_window: str = "5 minutes", export_2h=None, export_5m=None, dedup: bool = False,
+                     state_partitions: int | None = None, output_files: int | None = None, since=None,
+                     aggregates_from: str = "lake") -> dict[str, StreamingQuery]:
+    """Both aggregate tables, from the landing lake's committed files (its log makes that
+    exactly-once, and no record is parsed again) or, with ``aggregates_from="source"``,
+    from the source itself."""
     feed = events
     if aggregates_from == "lake":
         landed = with_partition_columns(events, "event_time", "user_id").schema
         feed = events.sparkSession.readStream.schema(landed).parquet(f"{root}/lake")
     agg = dict(trigger=trigger, watermark=watermark, dedup=dedup, state_partitions=state_partitions,
-               output_files=output_files)
-    queries["user_aggregations"] = aggregate_stream(
-        feed, f"{root}/user_aggregations", f"{root}/_checkpoints/user_aggregations", "2 hours", True,
-        export=export_2h, name="user_aggregations", **agg)
-    queries["user_aggregations_realtime"] = aggregate_stream(
-        feed, f"{root}/user_aggregations_realtime", f"{root}/_checkpoints/user_aggregations_realtime",
-        realtime_window, False, export=export_5m, name="user_aggregations_realtime", **agg)
+               output_files=output_files, since=since)
+    return {
+        "user_aggregations": aggregate_stream(
+            feed, f"{root}/user_aggregations", f"{root}/_checkpoints/user_aggregations", "2 hours", True,
+            export=export_2h, name="user_aggregations", **agg),
+        "user_aggregations_realtime": aggregate_stream(
+            feed, f"{root}/user_aggregations_realtime", f"{root}/_checkpoints/user_aggregations_realtime",
+            realtime_window, False, export=export_5m, name="user_aggregations_realtime", **agg)}
+
+
+def start_all(events: DataFrame, root: str, trigger: dict | None = None, watermark: str = "10 minutes",
+              rejects: DataFrame | None = None, bucket_dirs: bool = False, **agg) -> dict[str, StreamingQuery]:
+    """One decoded source fanned out to the lake, the rejects and both aggregate tables.
+
+    State is per query, so each sink has its own checkpoint under ``root``.  With an
+    ``availableNow`` trigger the lake is landed first, so that the tables see all of it.
+    """
+    queries = start_landing(events, root, trigger, rejects, bucket_dirs)
+    if trigger and trigger.get("availableNow"):
+        for q in queries.values():
+            q.awaitTermination()
+    queries.update(start_aggregates(events, root, trigger, watermark, **agg))
     return queries

@@ -1,19 +1,14 @@
 """Replaying a table as a stream, slice by slice.
 
-The table is cut into slices of equal event-time width, and each slice is appended to
-the source directory by its own parallel write, oldest first, so file modification
-times ascend with event time and the file source (which takes files oldest first)
-sees the slices in order.  No slice is funnelled through one task.
-
-* ``stage_slices`` writes all slices; one ``availableNow`` run with
-  ``maxFilesPerTrigger`` set to the largest slice's file count then takes about one
-  slice per micro-batch.
-* ``replay_slices`` runs the query once per slice, restarting it from its checkpoint
-  each time.
+The table is cut into slices of equal event-time width.  ``stage_slices`` works out each
+row's slice once and writes the table once, a directory per slice.  ``replay_slices`` then
+moves one slice after the other into the source directory and runs the query on it, from
+its checkpoint: a micro-batch holds exactly one slice, however many files it has.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,44 +16,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from actiontally.functions.literals import ntz
-
-
-def time_slices(df: DataFrame, time_col: str, n_slices: int) -> list:
-    """Predicates of ``n_slices`` equal-width event-time ranges (``time_col`` is
-    TIMESTAMP_NTZ).  Only the two bounds reach the driver."""
-    lo, hi = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
-    width = (hi - lo) / n_slices
-    t = F.col(time_col)
-    out = []
-    for i in range(n_slices):
-        a, b = lo + width * i, lo + width * (i + 1)
-        out.append((t >= ntz(a)) & ((t < ntz(b)) if i < n_slices - 1 else (t <= ntz(hi))))
-    return out
-
-
-def _count_files(spark: SparkSession, path: str) -> int:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return len(fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*.parquet")) or [])
 
-
-def stage_slices(df: DataFrame, source_path: str, time_col: str, n_slices: int = 6,
-                 replay_first: bool = False) -> int:
-    """Write ``df`` slice by slice (oldest first); with ``replay_first`` the oldest slice
-    again at the end, as a late re-delivery.  Returns the largest file count of a slice,
-    a ``maxFilesPerTrigger`` that gives about one slice per micro-batch.  Only file
-    names are listed to count files."""
-    spark = df.sparkSession
-    slices = time_slices(df, time_col, n_slices)
+def stage_slices(df: DataFrame, staged: str, time_col: str, n_slices: int = 6, replay_first: bool = False) -> int:
+    """Write ``df`` as ``<staged>/slice=<i>``; with ``replay_first`` the oldest slice again at
+    the end, as a late re-delivery.  Returns the number of slices.  Only the two time
+    bounds reach the driver (``time_col`` is TIMESTAMP_NTZ)."""
+    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
+    lo, hi = df.agg(F.min(micros), F.max(micros)).first()
+    if lo is None:
+        return 0
+    width = (hi - lo) // n_slices + 1
+    own = F.floor((micros - F.lit(lo)) / F.lit(width)).cast("int")
     if replay_first:
-        slices.append(slices[0])
-    before, widest = _count_files(spark, source_path), 1
-    for cond in slices:
-        df.filter(cond).write.mode("append").parquet(source_path)
-        after = _count_files(spark, source_path)
-        widest, before = max(widest, after - before), after
-    return widest
+        own = F.explode(F.when(own == 0, F.array(own, F.lit(n_slices))).otherwise(F.array(own)))
+    df.select("*", own.alias("slice")).write.partitionBy("slice").parquet(staged)
+    return n_slices + int(replay_first)
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None
@@ -70,22 +42,27 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, max_files_pe
 
 
 def replay_slices(df: DataFrame, source_path: str, time_col: str, start: Callable[[], StreamingQuery],
-                  n_slices: int = 6, replay_first: bool = False, timeout_s: int = 600):
-    """Feed ``df`` to a file-source stream slice by slice; ``start()`` must start the
-    query with an ``availableNow`` trigger on a fixed checkpoint.
+                  n_slices: int = 6, replay_first: bool = False, timeout_s: int | None = None):
+    """Feed ``df`` to a file-source stream slice by slice; ``start()`` must start the query
+    on ``source_path`` with an ``availableNow`` trigger and a fixed checkpoint.
 
-    With ``replay_first`` the oldest slice is delivered once more after the newest,
-    as a late re-delivery.  Returns the summed progress of all runs.
+    Returns the summed progress of all runs.
     """
     from actiontally.streaming.jobs import StreamResult, run_to_completion
 
-    slices = time_slices(df, time_col, n_slices)
-    if replay_first:
-        slices.append(slices[0])
+    spark = df.sparkSession
+    staged = f"{source_path}-staged-{uuid.uuid4().hex[:8]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(source_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(source_path))
     total = StreamResult()
-    for cond in slices:
-        df.filter(cond).write.mode("append").parquet(source_path)
-        res = run_to_completion(start(), timeout_s)
+    for i in range(stage_slices(df, staged, time_col, n_slices, replay_first)):
+        files = fs.globStatus(path(f"{staged}/slice={i}/*.parquet")) or []
+        for f in files:
+            fs.rename(f.getPath(), path(f"{source_path}/{i:04d}-{f.getPath().getName()}"))
+        if not files:
+            continue
+        res = run_to_completion(start, timeout_s)
         total.batches += res.batches
         total.input_rows += res.input_rows
         total.dropped_late += res.dropped_late

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import shutil
+
+import pytest
 from pyspark.sql import functions as F
 
 from actiontally.operators.backfill import backfill_aggregations, backfill_to_table
 from actiontally.operators.aggregates import user_aggregations
 from actiontally.plans.fixtures import plain_events
 from actiontally.sources.changelog import read_current
-from actiontally.sources.lake import advise_bucket_dirs, lake_scan, read_lake, write_lake
+from actiontally.sources.lake import lake_scan, read_lake, write_lake
 from tests.conftest import SF01
 
 
@@ -36,10 +39,51 @@ def test_bucket_directories_when_forced(spark, scratch):
     assert "bucket" in _plan(hit).split("PartitionFilters")[1].split("]")[0]
 
 
-def test_layout_advice(spark):
+def test_lookups_go_by_the_lakes_own_buckets(spark, scratch):
     e = plain_events(spark, SF01)
-    assert not advise_bucket_dirs(e, "ts")
-    assert advise_bucket_dirs(e, "ts", threshold=0.1)  # largest slot holds ~40 rows: 0.3 per bucket
+    write_lake(e, scratch, time_col="ts", n_buckets=64)
+    assert lake_scan(spark, scratch, user_id=100, time_col="ts").count() == e.filter("user_id = 100").count() > 0
+    with pytest.raises(ValueError, match="n_buckets"):
+        write_lake(e, scratch, time_col="ts")
+
+
+def test_a_landing_lake_is_read_through_its_commit_log(spark, scratch):
+    from actiontally.streaming.jobs import lake_stream, run_to_completion
+
+    e = plain_events(spark, "/root/testdata/sf0.001").withColumnRenamed("ts", "event_time")
+    e.coalesce(1).write.parquet(f"{scratch}/in")
+    lake = f"{scratch}/lake"
+    run_to_completion(lake_stream(spark.readStream.schema(e.schema).parquet(f"{scratch}/in"), lake, f"{scratch}/ck", {"availableNow": True}))
+    leaf = lake_scan(spark, lake, start="2024-01-05", end="2024-01-06").inputFiles()[0].replace("file:", "")
+    shutil.copy(leaf, leaf.replace("part-", "part-copy-"))  # a file that no batch committed
+    for end in ("2024-01-06", "2027-01-06"):
+        want = e.filter(f"event_time >= '2024-01-05' and event_time < '{end}'").count()
+        assert lake_scan(spark, lake, start="2024-01-05", end=end).count() == want
+
+
+def test_ranges_that_cut_a_slot_are_refused(spark, scratch):
+    from actiontally.streaming.jobs import curate_slots
+
+    write_lake(plain_events(spark, SF01), f"{scratch}/lake", time_col="ts")
+    for bad in (("2024-01-05 01:00:00", "2024-01-05 04:00:00"), ("2024-01-05", "2024-01-05 03:00:00")):
+        with pytest.raises(ValueError, match="slot bound"):
+            backfill_to_table(spark, f"{scratch}/lake", f"{scratch}/t", *bad, time_col="ts", type_col="event_type")
+        with pytest.raises(ValueError, match="slot bound"):
+            curate_slots(spark, f"{scratch}/lake", f"{scratch}/out", *bad, time_col="ts")
+
+
+def test_lake_write_reads_its_input_once(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+    rows = plain_events(spark, "/root/testdata/sf0.001")
+    schema = rows.schema
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    write_lake(rows.mapInArrow(count, schema), scratch, time_col="ts")
+    assert seen.value == rows.count()
 
 
 def test_point_lookup_prunes_partitions_and_pushes_filters(spark, scratch):
@@ -88,15 +132,13 @@ def test_backfill_range_into_table(spark, scratch):
     e = plain_events(spark, SF01)
     lake, table = f"{scratch}/lake", f"{scratch}/table"
     write_lake(e, lake, time_col="ts")
-    backfill_to_table(spark, lake, table, 0, "2024-01-01", "2024-02-01", time_col="ts", type_col="event_type")
+    backfill_to_table(spark, lake, table, "2024-01-01", "2024-02-01", time_col="ts", type_col="event_type")
     direct = user_aggregations(e, time_col="ts", type_col="event_type")
     cur = read_current(spark, table).select(*direct.columns)
     assert cur.exceptAll(direct).count() == 0 and cur.count() == direct.count()
 
 
 def test_layout_is_fixed_per_lake(spark, scratch):
-    import pytest
-
     e = plain_events(spark, "/root/testdata/sf0.001")
     write_lake(e.filter("ts < '2024-01-10'"), scratch, time_col="ts")
     with pytest.raises(ValueError, match="bucket_dirs"):

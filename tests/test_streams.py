@@ -12,11 +12,12 @@ from actiontally.functions.decode import decode_events, split_corrupt
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
 from actiontally.plans.fixtures import json_envelope, plain_events
 from actiontally.sources.changelog import read_changes, read_current
-from actiontally.sources.lake import read_lake
+from actiontally.operators.backfill import backfill_to_table
+from actiontally.sources.lake import read_lake, write_lake
 from actiontally.streaming.jobs import (
     aggregate_stream, closed_window_stream, curate_slots, lake_stream, run_to_completion, start_all,
 )
-from actiontally.streaming.staging import file_stream, replay_slices, stage_slices
+from actiontally.streaming.staging import file_stream, replay_slices
 
 T = dt.datetime
 NOW = {"availableNow": True}
@@ -56,17 +57,11 @@ def test_late_row_of_an_open_window_counts(spark, scratch):
     assert (1, T(2024, 1, 1, 2), T(2024, 1, 1, 4), 2) in got
 
 
-@pytest.mark.parametrize("mode", ["restart_per_slice", "one_run"])
-def test_redelivered_oldest_slice_is_dropped(spark, scratch, mode):
+def test_redelivered_oldest_slice_is_dropped(spark, scratch):
     src = plain_events(spark, "/root/testdata/sf0.01").select("event_id", "ts", "user_id", "event_type")
     staged, out, ckpt = f"{scratch}/in", f"{scratch}/out", f"{scratch}/ckpt"
-    if mode == "one_run":
-        per_batch = stage_slices(src, staged, "ts", 6, replay_first=True)
-        res = run_to_completion(closed_window_stream(
-            file_stream(spark, staged, src.schema, per_batch), out, ckpt, trigger=NOW, time_col="ts"))
-    else:
-        res = replay_slices(src, staged, "ts", lambda: closed_window_stream(
-            file_stream(spark, staged, src.schema), out, ckpt, trigger=NOW, time_col="ts"), 6, replay_first=True)
+    res = replay_slices(src, staged, "ts", lambda: closed_window_stream(
+        file_stream(spark, staged, src.schema), out, ckpt, trigger=NOW, time_col="ts"), 6, replay_first=True)
     lo, hi = src.agg(F.min("ts"), F.max("ts")).first()
     first_slice = src.filter(F.col("ts") < F.lit((lo + (hi - lo) / 6).isoformat(sep=" ")).cast("timestamp_ntz"))
     # Late rows are filtered at the stateful operator, after the map-side partial
@@ -79,6 +74,21 @@ def test_redelivered_oldest_slice_is_dropped(spark, scratch, mode):
     assert got.count() == closed.count() and got.exceptAll(closed).count() == 0
 
 
+def test_time_skewed_input_is_replayed_slice_by_slice(spark, scratch):
+    """Most events in the last sixth: the re-delivered slice still comes alone, and late."""
+    e = plain_events(spark, "/root/testdata/sf0.01").select("event_id", "ts", "user_id", "event_type")
+    skewed = e.filter("ts >= '2024-01-25' or event_id % 10 = 0").repartition(8)
+    out, src = f"{scratch}/out", f"{scratch}/in"
+    res = replay_slices(skewed, src, "ts", lambda: closed_window_stream(
+        file_stream(spark, src, e.schema), out, f"{scratch}/ck", trigger=NOW, time_col="ts"), 6, replay_first=True)
+    assert res.batches >= 7
+    hi = skewed.agg(F.max("ts")).first()[0]
+    want = user_action_counts(skewed, time_col="ts").filter(
+        F.col("window_end") <= F.lit((hi - dt.timedelta(minutes=10)).isoformat(sep=" ")).cast("timestamp_ntz"))
+    got = spark.read.parquet(out).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
 def test_restart_on_same_checkpoint(spark, scratch):
     src = plain_events(spark, "/root/testdata/sf0.01").select("event_id", "ts", "user_id", "event_type")
     staged, table, ckpt = f"{scratch}/in", f"{scratch}/table", f"{scratch}/ckpt"
@@ -105,7 +115,7 @@ def test_fan_out_from_json_text_stream(spark, scratch):
     env.write.mode("append").text(text_dir)
     raw = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(text_dir)
     events, _ = split_corrupt(decode_events(raw))
-    qs = start_all(events, f"{scratch}/out", trigger=NOW)
+    qs = start_all(events, f"{scratch}/out", trigger=NOW, aggregates_from="source")
     for q in qs.values():
         run_to_completion(q)
     base = plain_events(spark, sf)
@@ -158,23 +168,75 @@ def test_stateful_queries_use_rocksdb(spark, scratch):
     assert any(k.startswith("rocksdb") for k in metrics)
 
 
-def test_new_checkpoint_on_existing_table_continues_versions(spark, scratch):
+def test_new_checkpoint_must_say_where_it_starts(spark, scratch):
+    """What the first query left open isn't replaced by a query that saw only later events."""
     src = plain_events(spark, "/root/testdata/sf0.01").select("event_id", "ts", "user_id", "event_type")
-    staged_a, staged_b, table = f"{scratch}/a", f"{scratch}/b", f"{scratch}/table"
-    src.filter("ts < '2024-01-15'").write.parquet(staged_a)
-    run_to_completion(aggregate_stream(file_stream(spark, staged_a, src.schema), table, f"{scratch}/ck1",
-                                       trigger=NOW, time_col="ts", type_col="event_type"))
-    first = {r.version for r in read_changes(spark, table).select("version").distinct().collect()}
-    src.write.parquet(staged_b)
-    run_to_completion(aggregate_stream(file_stream(spark, staged_b, src.schema), table, f"{scratch}/ck2",
-                                       trigger=NOW, time_col="ts", type_col="event_type"))
-    versions = {r.version for r in read_changes(spark, table).select("version").distinct().collect()}
-    assert min(versions - first) > max(first)
-    want = user_aggregations(src, time_col="ts", type_col="event_type")
+    table = f"{scratch}/table"
+    src.filter("ts < '2024-01-15 01:00:00'").write.parquet(f"{scratch}/a")
+    src.filter("ts >= '2024-01-15 01:00:00'").write.parquet(f"{scratch}/b")
+
+    def start(name, since=None):
+        return aggregate_stream(file_stream(spark, f"{scratch}/{name}", src.schema), table, f"{scratch}/ck_{name}",
+                                trigger=NOW, time_col="ts", type_col="event_type", since=since)
+
+    run_to_completion(start("a"))
+    with pytest.raises(ValueError, match="since"):
+        start("b")
+    with pytest.raises(ValueError, match="does not start a window"):
+        start("b", "2024-01-15 01:00:00")
+    run_to_completion(start("b", "2024-01-15 02:00:00"))
+    run_to_completion(start("b"))  # the checkpoint remembers
+    want = user_aggregations(src.filter("ts < '2024-01-15 01:00:00' or ts >= '2024-01-15 02:00:00'"), time_col="ts", type_col="event_type")
     got = read_current(spark, table).select(*want.columns)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
+def test_backfill_survives_a_running_stream(spark, scratch):
+    """stream, backfill, one more batch of the stream: the backfilled slots keep their counts."""
+    rows = lambda *r: spark.createDataFrame(list(r), "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    src, table, lake = f"{scratch}/in", f"{scratch}/t", f"{scratch}/lake"
+
+    def run(more):
+        more.write.mode("append").parquet(src)
+        run_to_completion(aggregate_stream(file_stream(spark, src, more.schema), table, f"{scratch}/ck", trigger=NOW,
+                                           time_col="ts", type_col="event_type"))
+
+    day = T(2024, 1, 1)
+    run(rows((1, day, 1, "x"), (2, day, 1, "x")))
+    write_lake(rows((1, day, 1, "x"), (2, day, 1, "x"), (3, day, 1, "x")), lake, time_col="ts")
+    backfill_to_table(spark, lake, table, day, T(2024, 1, 1, 2), time_col="ts", type_col="event_type")
+    run(rows((9, T(2024, 1, 3), 2, "x")))
+    got = {(r.user_id, r.total_actions) for r in read_current(spark, table).filter("aggregation_type = 'total'").collect()}
+    assert got == {(1, 3), (2, 1)}
+
+
+def test_late_repeated_and_malformed_records_all_land_somewhere(spark, scratch):
+    env = [r.value for r in json_envelope(spark, "/root/testdata/sf0.001").limit(20).collect()]
+    topic, root = f"{scratch}/topic", f"{scratch}/out"
+    for batch in (env[10:], env[:10] + env[:3], ["garbage", '{"event_id":"e3","user_id":"bad"}']):
+        spark.createDataFrame([(v,) for v in batch], "value string").coalesce(1).write.mode("append").text(topic)
+    raw = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(topic)
+    events, rejects = split_corrupt(decode_events(raw))
+    for q in start_all(events, root, NOW, rejects=rejects, dedup=True, state_partitions=2).values():
+        run_to_completion(q)
+    assert read_lake(spark, f"{root}/lake").count() == 23
+    assert spark.read.parquet(f"{root}/rejects").count() == 2
+    curate_slots(spark, f"{root}/lake", f"{scratch}/lake", "2024-01-01", "2024-02-01", dedup=True)
+    assert read_lake(spark, f"{scratch}/lake").count() == 20
+
+
+def test_reports_beyond_those_a_query_keeps_are_counted(spark, scratch):
+    spark.range(30).selectExpr("id user_id", "timestamp_ntz'2024-01-01' event_time").repartition(12).write.parquet(f"{scratch}/in")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        res = run_to_completion(lambda: aggregate_stream(
+            file_stream(spark, f"{scratch}/in", spark.createDataFrame([], SCHEMA).schema, 1), f"{scratch}/t", f"{scratch}/ck",
+            with_types=False, trigger=NOW))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert res.input_rows == 30
+
+
 def test_export_hook_receives_each_version(spark, scratch):
     events = _json_stream(spark, scratch, "/root/testdata/sf0.001")
     table, exported = f"{scratch}/t", f"{scratch}/exported"
@@ -184,10 +246,9 @@ def test_export_hook_receives_each_version(spark, scratch):
 
     run_to_completion(aggregate_stream(events, table, f"{scratch}/ckpt", trigger=NOW, export=export))
     ex = spark.read.parquet(exported)
-    assert {"updated_at", "version"} <= set(ex.columns)
+    assert ex.columns == ["user_id", "window_start", "window_end", "total_actions", "aggregation_type", "updated_at"]
     assert ex.count() == read_changes(spark, table).count()
-    key = ["user_id", "aggregation_type", "window_start", "window_end", "total_actions", "updated_at", "version"]
-    assert ex.select(*key).exceptAll(read_changes(spark, table).select(*key)).count() == 0
+    assert ex.exceptAll(read_changes(spark, table).select(*ex.columns)).count() == 0
 
 
 def test_stream_windows_do_not_depend_on_the_callers_zone(spark, scratch):
@@ -211,7 +272,8 @@ def test_stop_mid_stream_then_restart_equals_batch(spark, scratch):
 
     src = plain_events(spark, "/root/testdata/sf0.01").select("event_id", "ts", "user_id", "event_type")
     staged, table, ckpt = f"{scratch}/in", f"{scratch}/t", f"{scratch}/ck"
-    stage_slices(src, staged, "ts", 6)
+    for i in range(7):  # a file for five days each, oldest first
+        src.filter(f"day(ts) > {5 * i} and day(ts) <= {5 * i + 5}").coalesce(1).write.mode("append").parquet(staged)
 
     def start(trigger):
         return aggregate_stream(file_stream(spark, staged, src.schema, 1), table, ckpt, trigger=trigger,
@@ -231,12 +293,8 @@ def test_stop_mid_stream_then_restart_equals_batch(spark, scratch):
 def test_aggregates_fed_from_the_landing_lake(spark, scratch):
     sf = "/root/testdata/sf0.001"
     events = _json_stream(spark, scratch, sf)
-    # Two runs on the same checkpoints: the aggregate queries of the first run may start
-    # before the lake query commits anything; the second run reads the committed files.
-    for _ in range(2):
-        for q in start_all(events, f"{scratch}/out", trigger=NOW, aggregates_from="lake",
-                           state_partitions=4).values():
-            run_to_completion(q)
+    for q in start_all(events, f"{scratch}/out", trigger=NOW, state_partitions=4).values():
+        run_to_completion(q)
     base = plain_events(spark, sf)
     want = user_aggregations(base, time_col="ts", type_col="event_type")
     got = read_current(spark, f"{scratch}/out/user_aggregations").select(*want.columns)

@@ -6,9 +6,9 @@ import datetime as dt
 
 
 from actiontally.operators.versions import (
-    compact, current_rows, expire_before, latest_versions, lookup_aggregates,
+    compact, compact_table, current_rows, expire_before, latest_versions, lookup_aggregates,
 )
-from actiontally.sources.changelog import read_changes, read_current, read_marker, write_changes
+from actiontally.sources.changelog import covered, read_changes, read_current, remove_covered, versions, write_changes
 
 T = dt.datetime
 
@@ -95,8 +95,7 @@ def test_reader_combines_compacted_table_with_newer_versions(spark, scratch):
     ch, out = f"{scratch}/changes", f"{scratch}/compacted"
     write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 3, "total"),
                                 (2, T(2024, 1, 1), T(2024, 1, 1, 2), 1, "total")]), ch, 0)
-    compact(read_changes(spark, ch), out, upto=0)
-    assert read_marker(spark, out, "upto") == 0
+    assert compact_table(spark, ch, out) == covered(spark, out) == ["writer=main/version=0"]
     write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 7, "total")]), ch, 1)
     cur = read_current(spark, ch, compacted=out)
     change_files = [f for f in cur.inputFiles() if "/changes/" in f]
@@ -132,15 +131,52 @@ def test_incremental_compaction_starts_from_the_previous_one(spark, scratch):
     ch, c1, c2 = f"{scratch}/changes", f"{scratch}/c1", f"{scratch}/c2"
     write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 3, "total"),
                                 (2, T(2024, 1, 1), T(2024, 1, 1, 2), 1, "total")]), ch, 0)
-    compact(read_changes(spark, ch), c1, upto=0)
+    compact_table(spark, ch, c1)
     write_changes(_rows(spark, [(1, T(2024, 1, 1), T(2024, 1, 1, 2), 7, "total"),
                                 (3, T(2024, 2, 1), T(2024, 2, 1, 2), 2, "total")]), ch, 1)
     since = changes_since(spark, ch, c1)
     assert all("version=0" not in f for f in since.inputFiles())
-    compact(since, c2, upto=1)
+    compact_table(spark, ch, c2, previous=c1)
     got = {(r.user_id, r.total_actions, r.version) for r in spark.read.parquet(c2).collect()}
     assert got == {(1, 7, 1), (2, 1, 0), (3, 2, 1)}
-    assert read_marker(spark, c2, "upto") == 1
+    assert covered(spark, c2) == ["writer=main/version=0", "writer=main/version=1"]
+    assert remove_covered(spark, ch, c1) == ["writer=main/version=0"] and versions(spark, ch) == ["writer=main/version=1"]
+    assert {r.total_actions for r in read_current(spark, ch, compacted=c2).collect()} == {7, 1, 2}
+
+
+def test_a_version_being_written_is_neither_read_nor_covered(spark, scratch):
+    ch, out = f"{scratch}/changes", f"{scratch}/c"
+    row = lambda n: _rows(spark, [(n, T(2024, 1, 1), T(2024, 1, 1, 2), n, "total")])
+    write_changes(row(1), ch, 0)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ch}/writer=main/version=1/_temporary")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    write_changes(row(3), ch, 2)
+    compact_table(spark, ch, out)
+    write_changes(row(2), ch, 1)  # it ends after the compaction has begun
+    assert {r.user_id for r in read_current(spark, ch, compacted=out).collect()} == {1, 2, 3}
+
+
+def test_writers_do_not_replace_each_other(spark, scratch):
+    for n, writer in enumerate(("a", "b", "a")):
+        write_changes(_rows(spark, [(n, T(2024, 1, 1), T(2024, 1, 1, 2), n, "total"), (9, T(2024, 1, 1), T(2024, 1, 1, 2), n, "total")]),
+                      scratch, n // 2, writer=writer)
+    got = {(r.user_id, r.total_actions) for r in read_current(spark, scratch).collect()}
+    assert got == {(0, 0), (1, 1), (2, 2), (9, 2)}
+
+
+def test_every_bound_prunes_months(spark, scratch):
+    ch, out = f"{scratch}/changes", f"{scratch}/compacted"
+    months = [(8, T(2024, m, 1), T(2024, m, 1, 2), m, "total") for m in range(1, 7)]
+    write_changes(_rows(spark, months), ch, 0)
+    compact_table(spark, ch, out)
+    write_changes(_rows(spark, [(8, T(2024, 6, 1), T(2024, 6, 1, 2), 60, "total")]), ch, 1)
+    current = read_current(spark, ch, compacted=out, keep_month=True)
+    for table in (spark.read.parquet(out), current):
+        for bounds, want in ((dict(start="2024-05-01"), 2), (dict(end="2024-03-01"), 2), (dict(start="2024-02-01", end="2024-04-01"), 2)):
+            hit = lookup_aggregates(table, 8, "total", **bounds)
+            plan = hit._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [isnotnull(yyyymm" in plan and hit.count() == want
+        assert lookup_aggregates(table, 8, "total", start="2024-03-01", end="2024-03-01").count() == 0
 
 
 def test_change_log_records_follow_the_aggregate_contract(spark, scratch):
