@@ -33,7 +33,7 @@ THREATS = frozenset("kill kills killing hurt beat destroy smash crush stab shoot
 SEEDS = frozenset("idiot idiots stupid moron morons loser losers trash scum pathetic worthless disgusting clown dumb fool imbecile jerk vermin trottel dumm arschloch abschaum crétin abruti connard ordure idiota estúpido imbécil basura".split())
 SEED_WEIGHT = 2.0
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "oithnr"
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "oihtnr"
 #: Bounds of the training sample, by label, and of the lexicon.
 QUOTA, LEXICON = {1: 3000, 0: 12_000}, 2000
 STEMS = (4, 5)
