@@ -45,7 +45,7 @@ def summarize(plan: str) -> str:
 def main() -> None:
     import pyspark.sql.readwriter as rw
 
-    from __spark_entry__ import queries
+    from actiontally.plans.catalog import QUERIES
     from actiontally.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -62,17 +62,18 @@ def main() -> None:
 
     rw.DataFrameWriter.parquet = spy
 
-    import actiontally.plans.catalog as catalog
+    import actiontally.streaming.jobs as jobs
 
     streams: list[str] = []
-    saved_run = catalog.run_to_completion
+    saved_run = jobs.run_to_completion
 
-    def run_and_record(query, *a, **k):
+    def run_and_record(start, *a, **k):
+        query = start()
         res = saved_run(query, *a, **k)
-        streams.append(query._jsq.explainInternal(False))  # plan of the last micro-batch
+        streams[:] = [query._jsq.explainInternal(False)]  # plan of the last micro-batch
         return res
 
-    catalog.run_to_completion = run_and_record
+    jobs.run_to_completion = run_and_record
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `python tools/plans.py {sf_dir}` (local[8], 8 shuffle partitions, AQE on; AQE may")
     print("re-plan at run time). Plan lines kept: scans, filters, projections, aggregates, exchanges, sorts,")
@@ -81,15 +82,15 @@ def main() -> None:
     print("What the review checked (and these plans show):\n")
     print("- windowed counts: partial `HashAggregate` → one `Exchange` → final; scans read only the columns used;")
     print("- decode: one `from_json` inside `Generate inline`, filters above it (one parse per record);")
-    print("- lake write: one `rangepartitioning` exchange + `Sort`; lookup: `PartitionFilters` on `event_date`,")
+    print("- lake write: one `hashpartitioning` exchange + `Sort`; lookup: `PartitionFilters` on `event_date`,")
     print("  `PushedFilters` on time, bucket and user;")
     print("- version collapse: `HashAggregate` with `partial_max_by` (no `SortAggregate`, no `Window`);")
-    print("  compaction: a single `rangepartitioning` exchange feeding the collapse, sort and write;")
+    print("  compaction: a single `hashpartitioning` exchange feeding the collapse, sort and write;")
     print("- TTL: `GreaterThan(window_start, …)` pushed to the reader; key lookup: `yyyymm` partition filter;")
     print("- streams (last micro-batch): `EventTimeWatermark` on the cast event time → `Expand` → partial")
     print("  `HashAggregate` → one `Exchange` → `StateStoreRestore`/`StateStoreSave` → final aggregate;")
     print("- no Python UDF, broadcast or cartesian product anywhere (asserted in tests/test_scale.py).\n")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         writes.clear()
         streams.clear()
         df = fn(spark, sf_dir)
@@ -100,7 +101,7 @@ def main() -> None:
             print(f"write {i + 1} of {len(writes)}:\n```\n{summarize(w)}\n```")
         print(f"result:\n```\n{summarize(df._jdf.queryExecution().executedPlan().toString())}\n```\n")
     rw.DataFrameWriter.parquet = saved_parquet
-    catalog.run_to_completion = saved_run
+    jobs.run_to_completion = saved_run
     del original
     spark.stop()
 

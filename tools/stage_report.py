@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main() -> None:
-    from __spark_entry__ import queries
+    from actiontally.plans.catalog import QUERIES
     from actiontally.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
@@ -29,10 +29,10 @@ def main() -> None:
         "spark.eventLog.dir": log_dir, "spark.eventLog.compress": "false",
         "spark.eventLog.rolling.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    names = list(queries())
+    names = list(QUERIES)
     for name in names:
         spark.sparkContext.setJobDescription(name)
-        queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobDescription(None)
     spark.stop()
 
