@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import functools
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,14 +30,18 @@ from pyspark.sql import types as T
 from actiontally.llm.common import arrow_rows, slices, small_side, stored
 
 SHINGLE, PERCENT = 3, 90
-#: Bits of the rarity table: 2^18 counters, whatever the corpus' size.
-ORDER_BITS = 18
+#: Bits of the rarity table (2^21 counters) and of the bitmap of shingles held more than once (2^26
+#: bits, 8 MB), whatever the corpus' size. A crowded table orders less well and a full bitmap
+#: filters less; neither loses a pair.
+ORDER_BITS, HELD_BITS = 21, 26
+#: Tables added up at once.
+TABLES = 64
 #: Parts of a set whose sizes the suffix filter compares.
 PARTS = 16
 #: Rounds of comparisons with pivots before the last, exhaustive one.
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 3
 #: Words whose hashes a Python worker remembers.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
@@ -97,33 +103,71 @@ def needed(n: int, percent: int) -> int:
 
 def summarise(docs: DataFrame, k: int) -> DataFrame:
     """One pass over the texts: a row per document with its set's size and digest (``key, n, set``),
-    and per task the rarity counters (``bucket, count``)."""
-    names = ["key", "n", "set", "bucket", "count"]
+    and per task its rarity table (``part, counts``: little-endian 32-bit)."""
+    names = ["key", "n", "set", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, kind = np.zeros(1 << ORDER_BITS, dtype=np.int64), None
         for batch, texts in slices(batches, "text"):
             kind, sets = batch.column("key").type, shingle_sets(texts, k)
-            counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=len(counts))
+            found, times = np.unique(np.concatenate(sets) >> np.uint64(64 - ORDER_BITS), return_counts=True)
+            counts[found.astype(np.int64)] += times
             m = len(sets)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(map(len, sets), type=pa.int64()), pa.array(map(digest, sets), type=pa.binary()),
-                                              pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], names=names)
-        at = np.flatnonzero(counts)
-        if len(at):
-            m = len(at)
-            yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
-                                              pa.array(at.astype(np.int32)), pa.array(counts[at])], names=names)
-
-    schema = T.StructType([docs.schema["key"], *T._parse_datatype_string("n bigint, set binary, bucket int, count bigint").fields])
+                                              pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names=names)
+        if kind is not None:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                              pa.array([TaskContext.get().partitionId()], type=pa.int64()), pa.array([table_bytes(counts)], type=pa.binary())], names=names)
+
+    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("n bigint, set binary, part bigint, counts binary").fields])
     return docs.mapInArrow(run, schema)
 
 
-def prefixes(docs: DataFrame, order: np.ndarray, k: int, percent: int) -> DataFrame:
-    """``token, set, n, pos, low, high``: the prefix shingles of each document's set with their
-    places in it, and the sizes of the set's parts, a byte each (a size above 255 counts as 255, so
-    a difference is never overstated). Left out are sets too small for any partner but their copies:
-    the closest one has a shingle more or less, and n / (n + 1) must reach the similarity."""
-    sent = docs.sparkSession.sparkContext.broadcast(order)
+def table_bytes(counts: np.ndarray) -> bytes:
+    return np.minimum(counts, 0xFFFFFFFF).astype("<u4").tobytes()
+
+
+def add_tables(tables: DataFrame) -> np.ndarray:
+    """The sum of all tasks' tables, by a tree of sums of at most ``TABLES`` at a time."""
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, sums = None, np.zeros(1 << ORDER_BITS, dtype=np.int64)
+        for batch in batches:
+            for p, c in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                if part is not None and p != part:
+                    yield pa.RecordBatch.from_arrays([pa.array([part], type=pa.int64()), pa.array([table_bytes(sums)], type=pa.binary())], names=["part", "counts"])
+                    sums[:] = 0
+                part = p
+                sums += np.frombuffer(c.as_buffer(), dtype="<u4")
+        if part is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([part], type=pa.int64()), pa.array([table_bytes(sums)], type=pa.binary())], names=["part", "counts"])
+
+    with arrow_rows(tables.sparkSession, 2):
+        while (n := tables.agg(F.count(F.lit(1)), F.max("part")).first())[0] > 1:
+            up = tables.withColumn("part", F.floor(F.col("part") / TABLES)).repartition(max(1, int(n[1]) // TABLES + 1), "part")
+            tables = stored(up.sortWithinPartitions("part").mapInArrow(total, "part bigint, counts binary"), "rarity")
+    got = tables.select("counts").collect()  # one row, of fixed size
+    return np.frombuffer(got[0][0], dtype="<u4").astype(np.int64) if got else np.zeros(1 << ORDER_BITS, dtype=np.int64)
+
+
+def of_classes(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """``class, set, text``: the classes' texts by their owners' ids. Rows that share an id bring the
+    texts of other classes too; those are told by their digest."""
+    own = small_side(classes.select("class", "set", "owner"))
+    return texts.join(own, F.col("key").eqNullSafe(F.col("owner"))).select("class", "set", "text")
+
+
+def class_sets(batch: pa.RecordBatch, texts: list[bytes | None], k: int) -> Iterator[tuple[int, np.ndarray]]:
+    for c, want, s in zip(batch.column("class").to_pylist(), batch.column("set").to_pylist(), shingle_sets(texts, k)):
+        if digest(s) == want:
+            yield c, s
+
+
+def prefixes(owned: DataFrame, order: np.ndarray, k: int, percent: int) -> DataFrame:
+    """``token, class, n, pos, low, high``: the prefix shingles of each class' set with their places
+    in it, and the sizes of the set's parts, a byte each (a size above 255 counts as 255, so a
+    difference is never overstated). Left out are sets too small for any partner: the closest one
+    has a shingle more or less, and n / (n + 1) must reach the similarity."""
+    sent = owned.sparkSession.sparkContext.broadcast(order)
     least = -(-percent // (100 - percent)) if percent < 100 else None
 
     def prefix(s: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -133,32 +177,51 @@ def prefixes(docs: DataFrame, order: np.ndarray, k: int, percent: int) -> DataFr
         return s[near[np.lexsort((s[near], key[near]))][:first]]  # ties are ordered by hash, alike in every set
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches, "text"):
-            sets = [s for s in shingle_sets(texts, k) if least is not None and len(s) >= least]
-            if not sets:
+        for batch, texts in slices(batches, "text"):
+            own = [(c, s) for c, s in class_sets(batch, texts, k) if least is not None and len(s) >= least]
+            if not own:
                 continue
-            tops = [prefix(s, sent.value) for s in sets]
+            tops = [prefix(s, sent.value) for _, s in own]
             n = np.array([len(t) for t in tops])
-            parts = np.stack([np.minimum(np.bincount(((s * _ODD) >> np.uint64(60)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8) for s in sets])
+            parts = np.stack([np.minimum(np.bincount(((s * _ODD) >> np.uint64(60)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8) for _, s in own])
             halves = np.ascontiguousarray(parts).view("<i8")
-            row = np.repeat(np.arange(len(sets)), n)
+            row = np.repeat(np.arange(len(own)), n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tops).view(np.int64)), pa.array([digest(s) for s in sets], type=pa.binary()).take(pa.array(row)),
-                 pa.array(np.array([len(s) for s in sets])[row]), pa.array((np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)),
-                 pa.array(halves[row, 0]), pa.array(halves[row, 1])], names=["token", "set", "n", "pos", "low", "high"])
+                [pa.array(x) for x in (np.concatenate(tops).view(np.int64), np.array([c for c, _ in own])[row], np.array([len(s) for _, s in own])[row],
+                                       (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32), halves[row, 0], halves[row, 1])],
+                names=["token", "class", "n", "pos", "low", "high"])
+
+    return owned.mapInArrow(run, "token bigint, class bigint, n bigint, pos int, low bigint, high bigint")
 
-    return docs.mapInArrow(run, "token bigint, set binary, n bigint, pos int, low bigint, high bigint")
 
+def held_twice(prefix: DataFrame) -> DataFrame:
+    """The prefix rows whose shingle more than one row has (and a few others: the bitmap's chance hits)."""
+    bit = F.shiftrightunsigned(F.xxhash64("token"), 64 - HELD_BITS)
+    words = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").groupBy(
+        F.shiftrightunsigned(bit, 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+    got = words.toArrow()  # at most 2^(HELD_BITS - 6) rows
+    bitmap = np.zeros(1 << (HELD_BITS - 6), dtype=np.int64)
+    bitmap[got["word"].to_numpy()] = got["bits"].to_numpy()
+    sent = prefix.sparkSession.sparkContext.broadcast(bitmap)
 
-def shingles_of(docs: DataFrame, k: int) -> DataFrame:
-    """``set, shingles``: digest and sorted shingle hashes of each text that has any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches, "text"):
-            sets = [s for s in shingle_sets(texts, k) if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array(map(digest, sets), type=pa.binary()), pa.array((s.tobytes() for s in sets), type=pa.binary())],
-                                             names=["set", "shingles"])
+        for batch in batches:
+            at = batch.column("bit").to_numpy()
+            keep = (sent.value[at >> 6] >> (at & 63)) & 1 == 1
+            yield batch.select(batch.schema.names[:-1]).filter(pa.array(keep))
 
-    return docs.select("text").mapInArrow(run, "set binary, shingles binary")
+    return prefix.withColumn("bit", bit).mapInArrow(run, prefix.schema)
+
+
+def shingles_of(owned: DataFrame, k: int) -> DataFrame:
+    """``class, shingles``: the sorted shingle hashes of each class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, "text"):
+            own = [(c, s.tobytes()) for c, s in class_sets(batch, texts, k)]
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in own], type=pa.int64()), pa.array([s for _, s in own], type=pa.binary())],
+                                             names=["class", "shingles"])
+
+    return owned.mapInArrow(run, "class bigint, shingles binary")
 
 
 def may_link(percent: int, first_only: bool) -> Column:
@@ -191,14 +254,14 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * common >= percent * (len(both) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, type=pa.bool_())], names=["a", "b", "linked"])
 
-    one = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
+    one = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")).join(small_side(pairs.select("a").distinct()), "a", "left_semi")
+    two = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")).join(small_side(pairs.select("b").distinct()), "b", "left_semi")
     # A pivot (b) meets many: its set is joined last and not carried through a shuffle with each pair.
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary, linked boolean")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, linked boolean")
 
 
 def components(links: DataFrame, most: int = 60) -> DataFrame:
-    """``set, comp``: of each linked node the smallest node that links reach, by alternating large
+    """``class, comp``: of each linked node the smallest node that links reach, by alternating large
     and small stars; each step is written to the shared folder. The smallest has no row itself."""
     edges, before = stored(links.filter("a <> b").distinct(), "links"), None
     for _ in range(most):
@@ -211,57 +274,70 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
         edges = stored(small.filter("a <> b").distinct(), "stars")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
-            return edges.select(F.col("a").alias("set"), F.col("b").alias("comp"))
+            return edges.select(F.col("a").alias("class"), F.col("b").alias("comp"))
         before = now
     raise RuntimeError("components did not settle")
 
 
 def candidates(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs ``a, b`` to verify among ``rows`` (prefix rows with ``comp``): in a pivot round each
-    holder of a shingle with the shingle's pivot, in the last round (turn -1) each with each, always
-    of different components."""
-    holders = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n_rows"))
-    tokens = holders.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-    live = rows.join(tokens, "token", "left_semi")
-    if turn >= 0:
-        by = F.col("set") if turn == 0 else F.hex(F.md5(F.concat("set", F.col("token").cast("string").cast("binary"), F.lit(str(turn)).cast("binary"))))
-        pivot = live.groupBy("token").agg(F.min_by(F.struct("set", "n", "pos", "low", "high", "comp"), by).alias("p")).select("token", "p.*")
-        met = live.alias("x").join(pivot.alias("y"), "token").filter("x.comp <> y.comp")
+    holder of shingles with one of its shingles' pivots, so there are no more pairs than holders; in
+    the last round (turn -1) each with each; always of different components."""
+    if turn < 0:
+        # Sizes within the similarity's ratio lie in one band or two neighbouring ones.
+        rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent))))
+        holders = rows.select("token", "band", "comp").distinct()
+        near = holders.select("token", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+                              F.col("band").alias("own"), F.col("comp").alias("c"))
+        two = near.join(holders, ["token", "band"]).filter("c < comp").select(
+            "token", F.col("c").alias("comp"), F.col("own").alias("band"), F.col("comp").alias("other"), F.col("band").alias("beside"))
+        x = rows.join(two, ["token", "comp", "band"]).alias("x")
+        met = x.join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.other") == F.col("y.comp")) & (F.col("x.beside") == F.col("y.band")))
     else:
-        comps = holders.select("token", "comp").join(tokens, "token", "left_semi")
-        two = comps.alias("c").join(comps.alias("d"), "token").filter("c.comp < d.comp").select("token", F.col("c.comp").alias("comp"), F.col("d.comp").alias("other"))
-        left = live.join(two, ["token", "comp"])
-        met = left.alias("x").join(live.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.other") == F.col("y.comp")))
-    return met.filter(may_link(percent, turn < 0)).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
-
-
-def link_classes(texts: DataFrame, members: DataFrame, order: np.ndarray, shingle: int, percent: int) -> DataFrame | None:
-    """``set, comp`` of the classes linked with others, or None if there are none."""
-    classes = members.filter("set is not null").groupBy("set").agg(F.min("key").alias("owner"))
-    owners = lambda which: small_side(which.select("owner").distinct())
-    of = lambda which: texts.join(owners(which), F.col("key").eqNullSafe(F.col("owner")), "left_semi")
-    classes = stored(classes, "shingle-classes")
-    prefix = stored(prefixes(of(classes), order, shingle, percent), "prefixes")
-    shared = stored(prefix.groupBy("token").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).filter("lo <> hi").select("token"), "shared-tokens")
-    rows = stored(prefix.join(small_side(shared), "token").distinct(), "shared-prefixes")
-    wanted = stored(classes.join(rows.select("set").distinct(), "set", "left_semi"), "shared-classes")
-    if not wanted.limit(1).count():
-        return None
-    sets = stored(shingles_of(of(wanted), shingle).join(wanted.select("set"), "set", "left_semi").dropDuplicates(["set"]), "shingle-sets")
-
+        by = F.col("class") if turn == 0 else F.xxhash64("class", "token", F.lit(turn))
+        pivot = rows.groupBy("token").agg(F.min(F.struct(by.alias("by"), "class", "n", "pos", "low", "high", "comp")).alias("p"),
+                                          F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token", "p.*")
+        met = rows.alias("x").join(pivot.alias("y"), "token").filter("x.comp <> y.comp")
+    pairs = met.filter(may_link(percent, turn < 0))
+    if turn < 0:
+        return pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    return pairs.groupBy(F.col("x.class").alias("a")).agg(F.min(F.struct("y.by", F.col("y.class").alias("b"))).alias("p")).select("a", "p.b")
+
+
+def merged(stars: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``class, comp`` after more links: worked out between the components, of which there are few."""
+    if stars is None:
+        return components(links)
+    side = small_side(stars)
+    between = links.join(side.alias("p"), F.col("a") == F.col("p.class"), "left").join(side.alias("q"), F.col("b") == F.col("q.class"), "left").select(
+        F.coalesce("p.comp", "a").alias("a"), F.coalesce("q.comp", "b").alias("b"))
+    new = components(between)
+    moved = stars.alias("s").join(small_side(new).alias("t"), F.col("s.comp") == F.col("t.class"), "left").select(
+        F.col("s.class").alias("class"), F.coalesce("t.comp", "s.comp").alias("comp"))
+    return moved.union(new.join(small_side(stars.select("class")), "class", "left_anti").select("class", "comp"))
+
+
+def link_classes(texts: DataFrame, classes: DataFrame, order: np.ndarray, shingle: int, percent: int) -> DataFrame | None:
+    """``class, comp`` of the classes linked with others, or None if there are none."""
+    with arrow_rows(texts.sparkSession, 2000):
+        prefix = stored(prefixes(of_classes(texts, classes), order, shingle, percent), "prefixes")
+    rows = stored(held_twice(prefix), "shared-prefixes")
     stars, tried = None, None
     for turn in [*range(PIVOT_ROUNDS), -1]:
-        now = rows.withColumn("comp", F.col("set")) if stars is None else rows.join(stars, "set", "left").withColumn("comp", F.coalesce("comp", "set"))
+        now = rows.withColumn("comp", F.col("class")) if stars is None else rows.join(small_side(stars), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
         pairs = candidates(now, turn, percent)
         if tried is not None:
-            old = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
+            pairs = pairs.join(tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+        pairs = stored(pairs, "candidates")
+        nodes = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+        with arrow_rows(rows.sparkSession, 2000):
+            sets = stored(shingles_of(of_classes(texts, classes.join(small_side(nodes), "class", "left_semi")), shingle), "shingle-sets")
         with arrow_rows(rows.sparkSession, 256):
             done = stored(similar(pairs, sets, percent), "verified")
-        tried = done.select("a", "b") if tried is None else tried.union(done.select("a", "b"))
+        tried = pairs if tried is None else tried.union(pairs)
         new = done.filter("linked").select("a", "b")
         if new.limit(1).count():
-            stars = components(new if stars is None else new.union(stars.select(F.col("set").alias("a"), F.col("comp").alias("b"))))
+            stars = stored(merged(stars, new), "stars-so-far")
     return stars
 
 
@@ -274,17 +350,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whatever their names."""
     if not 50 < percent <= 100:
         raise ValueError("the similarity must be above 50 and at most 100 percent")
-    texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    seen = stored(summarise(texts, shingle), "shingle-summary")
-    members = seen.filter("bucket is null").select("key", "n", "set")
-    sums = seen.filter("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()  # 2^ORDER_BITS rows at most
-    order = np.zeros(1 << ORDER_BITS, dtype=np.int64)
-    order[sums["bucket"].to_numpy()] = sums["count"].to_numpy()
-    stars = link_classes(texts, members, order, shingle, percent)
-    names = members.filter("set is not null").groupBy("set").agg(F.min("key").alias("least"))
+    kind = docs.schema[id_col].dataType.simpleString()  # a nested id with all its fields nullable
+    texts = docs.select(F.col(id_col).cast(kind).alias("key"), F.col(text_col).cast("string").alias("text"))
+    with arrow_rows(docs.sparkSession, 2000):
+        seen = stored(summarise(texts, shingle), "shingle-summary")
+    members = seen.filter("part is null").select("key", "n", "set")
+    order = add_tables(seen.filter("part is not null").select("part", "counts"))
+    classes = stored(members.filter("set is not null").groupBy("set").agg(F.min("key").alias("owner")).withColumn(
+        "class", F.monotonically_increasing_id()), "shingle-classes")
+    stars = link_classes(texts, classes, order, shingle, percent)
+    names = classes.select("set", F.col("owner").alias("least"))
     if stars is not None:
-        comp = names.join(stars, "set", "left").select("set", "least", F.coalesce("comp", "set").alias("comp"))
-        names = comp.select("set", "comp").join(comp.groupBy("comp").agg(F.min("least").alias("least")), "comp").select("set", "least")
+        comp = classes.join(stars, "class", "left").select("set", "owner", F.coalesce("comp", "class").alias("comp"))
+        names = comp.select("set", "comp").join(comp.groupBy("comp").agg(F.min("owner").alias("least")), "comp").select("set", "least")
     return members.join(names, "set", "left").select(
         F.col("key").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("set").isNull(), F.col("key")).otherwise(F.col("least")).alias("component_id"))
@@ -293,7 +371,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 #: DuckDB over ``documents``: all pairs that share a shingle, then reachability.
 NEAR_DUPLICATES_SQL = r"""
 with recursive w as materialized (
-  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') w from documents),
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') w from documents),
 s as materialized (
   select distinct doc_id, array_to_string(w[i : i + 2], ' ') g from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, least(len(w) + 1, 2)))) i from w)),
 n as materialized (select doc_id, count(*) n from s group by doc_id),
