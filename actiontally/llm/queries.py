@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from actiontally.llm.common import id_mod, table
 from actiontally.llm.decontaminate import CONTAMINATION_SQL
+from actiontally.llm.fill_middle import FILL_MIDDLE_SQL
 from actiontally.llm.jaccard import NEAR_DUPLICATES_SQL
+from actiontally.llm.prefix_trie import PREFIX_TRIE_SQL
 from actiontally.llm.secret_scan import base_scan_sql
 from actiontally.session import scratch_path
 
@@ -105,6 +107,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (id_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= SCORE_CUT).cast("int").alias("predicted"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 150% of their words, sources weighted 3, 1, 2, repeating."""
+    from actiontally.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the rebuilt conversations' prefixes, rolled up."""
+    from actiontally.llm.prefix_trie import prefix_trie, rebuilt
+
+    return prefix_trie(rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut in three and put together for filling in the middle."""
+    from actiontally.llm.fill_middle import fill_in_middle, middle_digest
+
+    return middle_digest(fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -116,10 +139,15 @@ QUERIES: dict[str, Query] = {
     "op8_quality_pu": op8_quality_pu,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_toxicity": op10_toxicity,
+    "op11_mixing": op11_mixing,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": base_scan_sql(),
     "op2_decontamination": CONTAMINATION_SQL,
     "op9_ngram_jaccard": NEAR_DUPLICATES_SQL,
+    "op12_prefix_trie": PREFIX_TRIE_SQL,
+    "op13_fill_middle": FILL_MIDDLE_SQL,
 }

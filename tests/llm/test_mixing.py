@@ -1,0 +1,144 @@
+from __future__ import annotations
+
+import collections
+import itertools
+import re
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from actiontally.llm import mixing as m
+from tests.conftest import SF001, SF01
+
+
+def dealt(sizes, weights=(3, 1, 2), share=Fraction(3, 2), most=2):
+    """Targets by the contract: the excess of sources above their most is dealt again by weight."""
+    target, full = [Fraction(0)] * len(sizes), set()
+    left = share * sum(sizes)
+    while True:
+        free = [i for i in range(len(sizes)) if i not in full]
+        rest = left - sum(most * sizes[i] for i in full)
+        for i in free:
+            target[i] = rest * weights[i % len(weights)] / sum(weights[j % len(weights)] for j in free)
+        above = {i for i in free if target[i] > most * sizes[i]}
+        for i in above:
+            target[i] = Fraction(most * sizes[i])
+        full |= above
+        if not above:
+            return target
+
+
+def nearest(sizes, target):
+    """Distance to the target of the best sum, of full passes and any subset once more."""
+    whole = int(target // sum(sizes)) if sum(sizes) else 0
+    sums = {0}
+    for s in sizes:
+        sums |= {x + s for x in sums}
+    return min(abs(whole * sum(sizes) + x - target) for x in sums)
+
+
+def check_mix(rows, id_of=lambda r: r["doc_id"]):
+    """Words, targets and totals of a mix; returns the sources' rows."""
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["source"]].append(r)
+    order = sorted(by, key=lambda s: (s is None, (s or "").encode()))
+    target = dealt([sum(r["size"] for r in by[s]) for s in order])
+    for s, t in zip(order, target):
+        assert {r["source_size"] for r in by[s]} == {sum(r["size"] for r in by[s])}
+        assert all(abs(r["target"] - t) <= 1e-9 * max(1, t) for r in by[s])
+        assert all(r["taken"] <= 2 * r["size"] and (not r["size"] or r["taken"] % r["size"] == 0) for r in by[s])
+    return [(by[s], float(t)) for s, t in zip(order, target)]
+
+
+def test_words_are_runs_of_anything_but_blanks():
+    texts = ["", " \t\n\v\f\r", "a", " a b ", "é 漢字 x y\tz", "x" * 10, "a\x00b c", "\n\nlast"]
+    assert m.word_counts([None, *(t.encode() for t in texts)]).tolist() == [0, *(len(re.findall("[^\x20\x09-\x0d]+", t)) for t in texts)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=11), st.floats(0, 2))
+def test_small_sources_are_fitted_as_well_as_can_be(sizes, share):
+    count = collections.Counter(sizes)
+    size = np.array(sorted(count))
+    n = np.array([count[s] for s in size.tolist()])
+    target = share * sum(sizes)
+    whole, more = m.fit_counts(size, n, target)
+    assert (more >= 0).all() and (more <= n).all() and whole in (0, 1, 2)
+    got = abs(whole * sum(sizes) + int((size * more).sum()) - target)
+    assert got <= float(nearest(sizes, target)) + 1e-6
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 3000), min_size=30, max_size=300), st.floats(0, 2), st.sampled_from([64, 1 << 12, 1 << 22]))
+def test_any_table_length_keeps_the_counts(sizes, share, table):
+    count = collections.Counter(sizes)
+    size = np.array(sorted(count))
+    n = np.array([count[s] for s in size.tolist()])
+    whole, more = m.fit_counts(size, n, share * sum(sizes), table)
+    assert (more >= 0).all() and (more <= n).all()
+    assert abs(whole * sum(sizes) + (size * more).sum() - share * sum(sizes)) <= max(sizes)
+
+
+def test_whole_tables_come_near_their_targets(spark):
+    for path, room in ((SF001, None), (SF01, 2)):
+        docs = spark.read.parquet(f"{path}/documents.parquet")
+        rows = m.mix(docs.repartition(7)).collect()
+        assert len(rows) == docs.count()
+        for own, target in check_mix(rows):
+            gap = abs(sum(r["taken"] for r in own) - target)
+            assert gap <= room if room else gap <= nearest([r["size"] for r in own], target) + 1e-6
+    again = m.mix(docs.repartition(3, F.rand())).collect()
+    assert sorted(again) == sorted(rows)
+    other = m.mix(docs, seed=5).collect()
+    assert sorted(other) != sorted(rows)
+
+
+def test_lowest_draws_are_taken_in_every_slice(spark, monkeypatch):
+    monkeypatch.setattr(m, "HASH_SLICES", 4)
+    docs = spark.range(400).selectExpr("id doc_id", "'one' source", "repeat('w ', cast(1 + id % 3 as int)) text").union(
+        spark.range(300).selectExpr("id + 1000", "'two'", "'a b c d'")).union(spark.range(30).selectExpr("id + 2000", "'wee'", "'a b'"))
+    rows = m.mix(docs).collect()
+    check_mix(rows)
+    draw = dict(m.sized(docs, "doc_id", "source", "text", m.SEED).select("key", "draw").collect())
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[r["source"], r["size"]].append((draw[r["doc_id"]], r["taken"] // r["size"]))
+    some = 0
+    for got in groups.values():
+        times = [t for _, t in sorted(got, key=lambda x: x[0] & (1 << 64) - 1)]
+        assert times == sorted(times, reverse=True)
+        some += len(set(times)) == 2
+    assert some
+
+
+def test_odd_rows(odd_docs, no_docs, spark):
+    docs = odd_docs.withColumn("source", F.when(F.col("doc_id") % 2 == 0, F.lit("é")).when(F.col("doc_id").isNotNull(), F.lit("Z")))
+    rows = m.mix(docs).collect()
+    assert len(rows) == docs.count() and {r["source"] for r in rows} == {"é", "Z", None}
+    for own, target in check_mix(rows):
+        assert abs(sum(r["taken"] for r in own) - target) <= nearest([r["size"] for r in own], target) + 1e-6
+    empty = no_docs.withColumn("source", F.lit("x"))
+    assert m.mix(empty).count() == 0
+    wordless = spark.createDataFrame([(1, "a", None), (2, "b", " ")], "doc_id bigint, source string, text string")
+    assert [(r["target"], r["taken"]) for r in m.mix(wordless).collect()] == [(0.0, 0), (0.0, 0)]
+    with pytest.raises(ValueError):
+        m.mix(docs, share=Fraction(3))
+
+
+def test_targets_of_many_sources(spark):
+    sizes = [int(x) for x in np.random.default_rng(3).integers(0, 50, 60) ** 3]
+    want = dealt(sizes)
+    rows = spark.createDataFrame(list(enumerate(sizes)), "nth bigint, source_size bigint")
+    got = {r["nth"]: r["target"] for r in m.with_targets(rows, m.WEIGHTS, m.SHARE, m.MOST).collect()}
+    assert all(abs(got[i] - t) <= 1e-9 * max(1, t) for i, t in enumerate(want))
+    assert abs(sum(got.values()) - 1.5 * sum(sizes)) < 1e-6 * sum(sizes)
+    names = ["b", "a", None, "é", "Z", "\U0001f600", "￿", ""]
+    order = {r["source"]: r["nth"] for r in m.in_order(spark.createDataFrame([(n, 1) for n in names], "source string, source_size bigint")).collect()}
+    assert sorted(order, key=order.get) == ["", "Z", "a", "b", "é", "￿", "\U0001f600", None]
+    assert sorted(order.values()) == list(range(8))
+    assert list(itertools.islice(map(m.WEIGHTS.__getitem__, (i % 3 for i in range(4))), 4)) == [3, 1, 2, 3]
