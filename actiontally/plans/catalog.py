@@ -18,7 +18,7 @@ from actiontally.functions.decode import (
 from actiontally.functions.layout import with_partition_columns
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
 from actiontally.operators.backfill import backfill_aggregations
-from actiontally.operators.backfill import backfill_to_table
+from actiontally.operators.backfill import backfill_to_table, repair_slots
 from actiontally.operators.versions import (
     compact_table, expire_before, latest_versions, lookup_aggregates, month_summary,
 )
@@ -26,10 +26,10 @@ from actiontally.plans.fixtures import (
     envelope_fields, family_envelope, json_envelope, order_events, plain_events,
 )
 from actiontally.session import pin_utc, scratch_path
-from actiontally.sources.changelog import read_changes, read_current, write_changes
+from actiontally.sources.changelog import read_changes, read_current, remove_covered, user_splits, write_changes
 from actiontally.sources.lake import lake_scan, read_lake, write_lake
-from actiontally.streaming.jobs import aggregate_stream, closed_window_stream, start_all
-from actiontally.streaming.staging import file_stream, replay_slices
+from actiontally.streaming.jobs import aggregate_stream, chained_window_stream, closed_window_stream, curate_slots, run_to_completion, start_all
+from actiontally.streaming.staging import file_stream, replay_slices, undo_last_commit
 
 AGG_COLS = ["user_id", "window_start", "window_end", "total_actions", "aggregation_type"]
 COUNT_COLS = ["user_id", "window_start", "window_end", "total_actions"]
@@ -42,7 +42,8 @@ AGG_LOOKUP = ("2024-01-05 00:00:00", "2024-01-06 00:00:00")
 TTL_AS_OF = "2024-01-31 00:00:00"
 VERSION_CUTOFFS = ["2024-01-10", "2024-01-20", None]  # None: all events
 BACKFILL_RANGE = ("2024-01-10 00:00:00", "2024-01-12 00:00:00")
-LAYOUT_BUCKETS = 4
+REPAIR_RANGE = ("2024-01-01 00:00:00", "2024-01-31 00:00:00")
+SEED_CUTOFF = "2024-01-20 13:07:00"
 
 
 # --- aggregates -------------------------------------------------------------------------
@@ -135,11 +136,10 @@ def lake_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_bucket_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per leaf of a lake with all three directory levels, named as the directories are.
-    (Four buckets: the given table has about one event per leaf at 128.)"""
-    pin_utc(spark)
+    """The whole table landed, two closed days of it curated into a lake with all three directory
+    levels (128 buckets): rows per leaf, named as the directories are."""
     path = scratch_path(spark, "bucket_lake")
-    write_lake(plain_events(spark, sf_dir), path, time_col="ts", n_buckets=LAYOUT_BUCKETS, bucket_dirs=True, salts=1)
+    curate_slots(spark, _landed_lake(spark, sf_dir), path, *BACKFILL_RANGE, time_col="ts", bucket_dirs=True)
     leaf = F.regexp_extract(F.input_file_name(), "event_date=[^/]+/event_hour=[^/]+/bucket=[^/]+", 0)
     return spark.read.parquet(path).select(leaf.alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("n_events"))
 
@@ -191,7 +191,7 @@ def agg_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     out = _compacted_table(spark, plain_events(spark, sf_dir), "event_type", "ts")
     hit = lookup_aggregates(spark.read.parquet(out), user_id=LOOKUP_USER, aggregation_type="total",
-                            start=AGG_LOOKUP[0], end=AGG_LOOKUP[1])
+                            start=AGG_LOOKUP[0], end=AGG_LOOKUP[1], splits=user_splits(spark, out))
     return hit.select("user_id", "window_start", "total_actions")
 
 
@@ -211,7 +211,7 @@ def agg_current_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     compact_table(spark, table_path, out)
     write_changes(user_aggregations(e, "2 hours", **EV), table_path, 1)
     hit = lookup_aggregates(read_current(spark, table_path, compacted=out, keep_month=True), user_id=LOOKUP_USER,
-                            aggregation_type="total", start=AGG_LOOKUP[0])
+                            aggregation_type="total", start=AGG_LOOKUP[0], splits=user_splits(spark, out))
     return hit.select("user_id", "window_start", "total_actions")
 
 
@@ -236,6 +236,59 @@ def agg_backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, table_path).filter("user_id >= 0").select(*AGG_COLS)
 
 
+def _stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    return plain_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
+
+
+def _fed(spark: SparkSession, rows: DataFrame, src: str, table_path: str, ckpt: str, slices: int = 1, **how) -> None:
+    """Feed rows, in slices by time, to the 2-hour stream of a table."""
+    schema = rows.schema
+    replay_slices(rows, src, "ts", lambda: aggregate_stream(file_stream(spark, src, schema), table_path, ckpt, "2 hours", True,
+                                                            trigger={"availableNow": True}, state_partitions=_cores(spark), **EV, **how), slices)
+
+
+def agg_replay_after_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over the whole table, a backfill of two days whose lake holds every event twice, then
+    the stream's last batch once more, as after a crash ahead of its commit: the backfill stays."""
+    e = _stream_source(spark, sf_dir)
+    table_path, ckpt, src, lake = (scratch_path(spark, n) for n in ("user_aggregations", "ckpt", "stream_input", "lake"))
+    _fed(spark, e, src, table_path, ckpt)
+    write_lake(e.union(e), lake, time_col="ts")
+    backfill_to_table(spark, lake, table_path, *BACKFILL_RANGE, time_col="ts", type_col="event_type")
+    undo_last_commit(spark, ckpt)
+    run_to_completion(lambda: aggregate_stream(file_stream(spark, src, e.schema), table_path, ckpt, "2 hours", True,
+                                               trigger={"availableNow": True}, state_partitions=_cores(spark), **EV))
+    return read_current(spark, table_path).select(*AGG_COLS)
+
+
+def stream_seeded_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream up to the middle of a window, a compaction whose versions are removed, and a new
+    checkpoint over the rest, seeded with the table's open windows."""
+    e = _stream_source(spark, sf_dir)
+    table_path, out = scratch_path(spark, "user_aggregations"), scratch_path(spark, "user_aggregations_compacted")
+    cut = F.col("ts") < F.lit(SEED_CUTOFF).cast("timestamp_ntz")
+    _fed(spark, e.filter(cut), scratch_path(spark, "stream_input"), table_path, scratch_path(spark, "ckpt"), 2)
+    compact_table(spark, table_path, out)
+    remove_covered(spark, table_path, out)
+    _fed(spark, e.filter(~cut), scratch_path(spark, "stream_input"), table_path, scratch_path(spark, "ckpt"), 2,
+         seed=read_current(spark, table_path, compacted=out))
+    return read_current(spark, table_path, compacted=out).select(*AGG_COLS)
+
+
+def late_slot_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the first three weeks' events reaches the stream after everything else, and is dropped by the
+    watermark; the lake has all. The slots they changed are found by digest and recomputed."""
+    e = _stream_source(spark, sf_dir)
+    table_path, ckpt, src, lake = (scratch_path(spark, n) for n in ("user_aggregations", "ckpt", "stream_input", "lake"))
+    late = (F.col("event_id") % 10 == 0) & (F.col("ts") < F.lit("2024-01-22").cast("timestamp_ntz"))
+    _fed(spark, e.filter(~late), src, table_path, ckpt, 2)
+    _fed(spark, e.filter(late), src, table_path, ckpt)
+    write_lake(e, lake, time_col="ts")
+    repair_slots(spark, lake, table_path, *REPAIR_RANGE, time_col="ts", type_col="event_type")
+    return read_current(spark, table_path).select(*AGG_COLS)
+
+
 def realtime_ttl_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5-minute table's live rows, read from a compaction that expired the others."""
     pin_utc(spark)
@@ -300,12 +353,23 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _closed_windows(spark, sf_dir, replay_first=True)
 
 
+def stream_chained_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-minute counts rolled up to two hours within one query: closed 2-hour windows and the
+    5-minute windows inside them."""
+    out, ckpt = scratch_path(spark, "chained_windows"), scratch_path(spark, "ckpt")
+    _replayed(spark, sf_dir, lambda s: chained_window_stream(s, out, ckpt, trigger={"availableNow": True}, time_col="ts", state_partitions=_cores(spark)))
+    rows = spark.read.parquet(out)
+    parts = rows.select("user_id", F.inline("parts")).withColumnRenamed("n", "total_actions")
+    return rows.select(F.lit("2 hours").alias("size"), *COUNT_COLS).union(parts.select(F.lit("5 minutes"), *COUNT_COLS))
+
+
 def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON text files to the lake, the rejects and both tables: every sink's rows in one list."""
     pin_utc(spark)
     text, root = scratch_path(spark, "json_text"), scratch_path(spark, "fan_out")
     bad = F.when(F.col("event_id") % 100 == 0, F.array(F.lit("garbage"), F.col("value"))).otherwise(F.array("value"))
-    fields = encode_json(plain_events(spark, sf_dir), envelope_fields(), key="event_id")
+    typeless = F.when(F.col("event_id") % 50 != 0, F.col("event_type"))  # a record of fifty has no type
+    fields = encode_json(plain_events(spark, sf_dir).withColumn("event_type", typeless), envelope_fields(), key="event_id")
     fields.select(F.explode(bad).alias("value")).write.text(text)  # a broken record before each hundredth
     events, rejects = split_corrupt(decode_events(spark.readStream.schema("value string").text(text)))
     for q in start_all(events, root, {"availableNow": True}, rejects=rejects, state_partitions=_cores(spark)).values():
@@ -343,11 +407,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "agg_key_lookup": agg_key_lookup,
     "agg_current_lookup": agg_current_lookup,
     "agg_backfill_then_stream": agg_backfill_then_stream,
+    "agg_replay_after_backfill": agg_replay_after_backfill,
+    "late_slot_repair": late_slot_repair,
     "agg_month_partitions": agg_month_partitions,
     "realtime_ttl_7d": realtime_ttl_7d,
     "stream_user_aggregations_2h": stream_user_aggregations_2h,
     "stream_user_actions_5m": stream_user_actions_5m,
     "stream_append_closed_windows": stream_append_closed_windows,
     "stream_late_data": stream_late_data,
+    "stream_seeded_restart": stream_seeded_restart,
+    "stream_chained_windows": stream_chained_windows,
     "stream_fan_out": stream_fan_out,
 }

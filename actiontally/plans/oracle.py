@@ -88,7 +88,8 @@ LAKE_LOOKUP = """select event_id, ts, event_type from events where user_id = 8
   and ts >= timestamp '2024-01-05 03:00:00' and ts < timestamp '2024-01-09 05:00:00'"""
 
 BUCKET_LAYOUT = """select 'event_date=' || cast(ts as date) || '/event_hour=' || cast((extract(hour from ts) // 2) * 2 as int)
-       || '/bucket=' || (user_id % 4) leaf, count(*) n_events from events group by all"""
+       || '/bucket=' || (user_id % 128) leaf, count(*) n_events from events
+where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-12' group by all"""
 
 
 def _changes() -> str:
@@ -114,10 +115,16 @@ where user_id = 8 and aggregation_type = 'total' and window_start >= timestamp '
 BACKFILL_THEN_STREAM = f"""select * replace (case when window_start >= timestamp '2024-01-10' and window_start < timestamp '2024-01-12'
        then 2 * total_actions else total_actions end as total_actions) from ({U1})"""
 
+TYPELESS = _u1("(select *, case when event_id % 50 <> 0 then event_type else '(none)' end t from events)", atype="t")
+
+CHAINED = f"""with w as (select * from ({COUNTS_2H}) where window_end <= (select max(ts) from events) - interval 10 minute)
+select '2 hours' size, * from w
+union all select '5 minutes', * from ({COUNTS_5M}) where window_start < (select max(window_end) from w)"""
+
 FAN_OUT = f"""select 'lake' sink, null::bigint user_id, {B2} window_start, null::varchar aggregation_type, count(*) total_actions
 from events group by all
 union all select 'rejects', null, null, null, count(*) from events where event_id % 100 = 0
-union all select 'user_aggregations', user_id, window_start, aggregation_type, total_actions from ({U1})
+union all select 'user_aggregations', user_id, window_start, aggregation_type, total_actions from ({TYPELESS})
 union all select 'user_aggregations_realtime', user_id, window_start, 'total', total_actions from ({COUNTS_5M})"""
 
 ORDERS_U1 = _u1("(select o_custkey, o_orderdate, o_orderpriority from orders)", "o_custkey", "o_orderdate",
@@ -151,11 +158,15 @@ ORACLE_SQL: dict[str, str] = {
     "agg_key_lookup": KEY_LOOKUP,
     "agg_current_lookup": CURRENT_LOOKUP,
     "agg_backfill_then_stream": BACKFILL_THEN_STREAM,
+    "agg_replay_after_backfill": BACKFILL_THEN_STREAM,
+    "late_slot_repair": U1,
     "agg_month_partitions": MONTHS,
     "realtime_ttl_7d": TTL,
     "stream_user_aggregations_2h": U1,
     "stream_user_actions_5m": COUNTS_5M,
     "stream_append_closed_windows": CLOSED,
     "stream_late_data": CLOSED,
+    "stream_seeded_restart": U1,
+    "stream_chained_windows": CHAINED,
     "stream_fan_out": FAN_OUT,
 }

@@ -66,9 +66,12 @@ AGGREGATE = StructType([
     StructField("total_actions", LongType()),
     StructField("aggregation_type", StringType()),
     StructField("updated_at", TimestampNTZType()),
+    StructField("sequence", LongType()),
     StructField("writer", StringType()),
     StructField("version", LongType()),
 ])
 
 TOTAL_TAG = "total"
 ACTION_TAG_PREFIX = "action:"
+#: Stands for the type of records that have none: they count, and every row has a tag.
+NO_TYPE = "(none)"

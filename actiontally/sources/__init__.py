@@ -1,9 +1,9 @@
 """Sources and sinks: the event lake, the aggregate change log, topic and JDBC adapters."""
 
 from actiontally.sources.changelog import (
-    changes_since, covered, next_version, read_changes, read_current, remove_covered, versions, write_changes,
+    changes_since, covered, has_history, read_changes, read_current, remove_covered, user_splits, versions, write_changes,
 )
 from actiontally.sources.lake import lake_scan, read_lake, write_lake
 
-__all__ = ["changes_since", "covered", "next_version", "read_changes", "read_current", "remove_covered", "versions",
-           "write_changes", "lake_scan", "read_lake", "write_lake"]
+__all__ = ["changes_since", "covered", "has_history", "read_changes", "read_current", "remove_covered",
+           "user_splits", "versions", "write_changes", "lake_scan", "read_lake", "write_lake"]

@@ -29,9 +29,11 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from actiontally.functions.layout import with_partition_columns
 from actiontally.functions.literals import as_datetime, ntz
+from actiontally.functions.windows import window_bounds
 from actiontally.session import pin_utc
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
-from actiontally.sources.changelog import read_tag, versions, write_changes, write_tag
+from actiontally.schemas import ACTION_TAG_PREFIX, NO_TYPE, TOTAL_TAG
+from actiontally.sources.changelog import has_history, read_tag, write_changes, write_tag
 from actiontally.sources.lake import SALTS, check_layout, check_slots, lake_scan, write_lake
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -51,19 +53,25 @@ def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | No
     return w.trigger(**(trigger or {"processingTime": "5 minutes"}))
 
 
-def stream_writer(spark, table_path: str, checkpoint: str, since=None, duration: str = "2 hours") -> tuple[str, str | None]:
+def stream_writer(spark, table_path: str, checkpoint: str, since=None, duration: str = "2 hours",
+                  seed: DataFrame | None = None, watermark: str = "10 minutes", with_types: bool = True) -> tuple[str, str | None]:
     """Writer id of the query behind ``checkpoint`` and the bound it counts from, both
     recorded beside the checkpoint when it is first used.
 
     A new checkpoint knows nothing of the windows that a former one left open: its counts of
-    them would replace the former's.  On a table that has rows it must therefore say from
-    which window on (``since``) it counts; earlier windows are left as they are, to be
+    them would replace the former's.  On a table that ever had rows it must therefore either
+    be given the table's current rows (``seed``): the open windows' counts are then written
+    beside the checkpoint and enter its state with the first micro-batch.  Or it must say from which
+    window on (``since``) it counts; earlier windows are left as they are, to be
     backfilled from the lake if need be.
     """
     writer = read_tag(spark, checkpoint, "writer")
     if writer is None:
-        if since is None and versions(spark, table_path):
-            raise ValueError(f"{table_path} has rows of other writers: a new checkpoint needs ``since``, the start of its first window")
+        if since is None and seed is not None:
+            since = write_seed(seed, checkpoint, duration, watermark, with_types)
+        elif since is None and has_history(spark, table_path):
+            raise ValueError(f"{table_path} has rows of other writers: a new checkpoint needs ``seed``, the table's current rows, "
+                             "or ``since``, the start of its first window")
         if since is not None:
             start = spark.range(1).select(F.window(ntz(since), duration).start.cast("string"), ntz(since).cast("string")).first()
             if start[0] != start[1]:
@@ -75,6 +83,48 @@ def stream_writer(spark, table_path: str, checkpoint: str, since=None, duration:
     return writer, kept and f"{kept[:4]}-{kept[4:6]}-{kept[6:8]} {kept[9:11]}:{kept[11:13]}:{kept[13:15]}"
 
 
+SEED_SCHEMA = "user_id bigint, seed_time timestamp_ntz, action_type string, weight bigint"
+
+
+def write_seed(current: DataFrame, checkpoint: str, duration: str, watermark: str, with_types: bool):
+    """Counts of the windows that may still be open, as weighted rows beside the checkpoint; returns
+    the start of the first such window (None for an empty table).
+
+    The newest event lies in the newest window or is older than its end, so every window that ends
+    after the newest one's start less the watermark delay may be open; a few closed ones among them
+    do no harm.  The stream that left them must have stopped, and the new one must read on
+    where that one stopped."""
+    spark = current.sparkSession
+    newest = F.max("window_start").cast("timestamp") - F.expr(f"INTERVAL {watermark}")
+    bound = F.window(F.col("bound"), duration).start.cast("timestamp_ntz").cast("string")
+    first = current.agg(newest.alias("bound")).filter("bound is not null").select(bound).first()
+    if first is None:
+        return None
+    tag = F.col("aggregation_type")
+    rows = current.filter(F.col("window_start") >= ntz(first[0]))
+    rows = rows.filter(tag.startswith(ACTION_TAG_PREFIX)) if with_types else rows.filter(tag == TOTAL_TAG)
+    kind = F.when(tag != F.lit(ACTION_TAG_PREFIX + NO_TYPE), F.substring(tag, len(ACTION_TAG_PREFIX) + 1, 1 << 30)) if with_types else F.lit(None)
+    rows.select("user_id", F.col("window_start").alias("seed_time"), kind.cast("string").alias("action_type"), F.col("total_actions").alias("weight")) \
+        .write.mode("overwrite").parquet(f"{checkpoint}/seed")
+    write_tag(spark, checkpoint, "seeded", "1")
+    return first[0]
+
+
+def with_seed(events: DataFrame, checkpoint: str, time_col: str, user_col: str, type_col: str, with_types: bool, dedup: bool) -> DataFrame:
+    """The events, a ``weight`` of 1 each, and the checkpoint's seed rows, which make its first
+    micro-batch's counts start from the table's.  One watermark goes over both."""
+    spark = events.sparkSession
+    seed = spark.readStream.schema(SEED_SCHEMA).parquet(f"{checkpoint}/seed")
+    cols = [(user_col, F.col("user_id")), (time_col, F.col("seed_time"))] + ([(type_col, F.col("action_type"))] if with_types else [])
+    kinds = dict(events.dtypes)
+    rows = events.select(*(c for c, _ in cols), F.lit(1).cast("bigint").alias("weight"), *(["event_id"] if dedup else []))
+    # Each seed row has an id of its own, so that none passes for a repeat of another.
+    own = F.concat_ws(" ", F.lit("seed"), "user_id", "seed_time", F.coalesce("action_type", F.lit(NO_TYPE)))
+    if dedup and kinds["event_id"] != "string":
+        rows = rows.withColumn("event_id", F.col("event_id").cast("string"))
+    return rows.unionByName(seed.select(*(v.cast(kinds[c]).alias(c) for c, v in cols), "weight", *([own.alias("event_id")] if dedup else [])))
+
+
 @contextmanager
 def _start_settings(spark, state_store: str | None, state_partitions: int | None, evict_without_data: bool = True):
     """Session settings a stateful query captures when it starts.
@@ -115,25 +165,30 @@ def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, durati
                      time_col: str = "event_time", user_col: str = "user_id", type_col: str = "action_type",
                      export=None, name: str | None = None, state_store: str | None = "rocksdb",
                      dedup: bool = False, state_partitions: int | None = None,
-                     output_files: int | None = None, since=None) -> StreamingQuery:
+                     output_files: int | None = None, since=None, seed: DataFrame | None = None) -> StreamingQuery:
     """Totals (and per-type counts) per user and window into a versioned change log.
 
-    ``since``: the window from which a new checkpoint counts, required if the table has rows.
+    A new checkpoint on a table that has had rows needs ``seed`` (the table's current rows: it goes on
+    counting their open windows) or ``since`` (the window from which it counts).
     With ``dedup`` a repeated ``event_id`` within the watermark delay counts once.
     Each micro-batch writes one file per state partition; with thousands of state
     partitions set ``output_files`` to shuffle just the batch's updated rows into that
     many files (compaction merges versions later either way).
     """
     pin_utc(events.sparkSession)
-    writer, first = stream_writer(events.sparkSession, table_path, checkpoint, since, duration)
+    spark = events.sparkSession
+    writer, first = stream_writer(spark, table_path, checkpoint, since, duration, seed, watermark, with_types)
     if first:
         events = events.filter(F.col(time_col) >= ntz(first))
+    weight = "weight" if read_tag(spark, checkpoint, "seeded") else None
+    if weight:
+        events = with_seed(events, checkpoint, time_col, user_col, type_col, with_types, dedup)
     ev = _with_event_time(events, time_col, watermark, dedup)
     if with_types:
-        agg = user_aggregations(ev, duration, time_col, user_col, type_col)
+        agg = user_aggregations(ev, duration, time_col, user_col, type_col, weight)
     else:
-        agg = user_action_counts(ev, duration, False, time_col, user_col, type_col) \
-            .withColumn("aggregation_type", F.lit("total"))
+        agg = user_action_counts(ev, duration, False, time_col, user_col, type_col, weight) \
+            .withColumn("aggregation_type", F.lit(TOTAL_TAG))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.repartition(output_files) if output_files else batch
@@ -164,6 +219,25 @@ def closed_window_stream(events: DataFrame, out_path: str, checkpoint: str, dura
             .option("path", out_path).start()
 
 
+def chained_window_stream(events: DataFrame, out_path: str, checkpoint: str, watermark: str = "10 minutes", trigger: dict | None = None,
+                          time_col: str = "event_time", user_col: str = "user_id", short: str = "5 minutes", long: str = "2 hours",
+                          name: str | None = None, state_store: str | None = "rocksdb", state_partitions: int | None = None) -> StreamingQuery:
+    """Both window lengths in one query: short windows' counts are rolled up to the long ones by
+    ``window_time``, two stateful operators after another, append mode.
+
+    The events meet state once, by user and short window; the second operator gets closed short
+    windows only.  A row per user and closed long window, written once: ``user_id, window_start, window_end,
+    total_actions`` and ``parts``, its short windows with their counts (as many as a long window holds)."""
+    ev = _with_event_time(events, time_col, watermark)
+    part = ev.groupBy(F.col(user_col).alias("user_id"), F.window(time_col, short).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    part = part.select("user_id", F.window_time("w").alias("at"), F.struct(
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), "n").alias("part"))
+    agg = part.groupBy("user_id", F.window("at", long).alias("window")).agg(F.sum("part.n").alias("total_actions"), F.collect_list("part").alias("parts"))
+    out = agg.select("user_id", *window_bounds("window"), "total_actions", "parts")
+    with _start_settings(events.sparkSession, state_store, state_partitions):
+        return _writer(out, checkpoint, trigger, name).outputMode("append").format("parquet").option("path", out_path).start()
+
+
 def lake_stream(events: DataFrame, lake_path: str, checkpoint: str, trigger: dict | None = None,
                 time_col: str = "event_time", user_col: str = "user_id", bucket_dirs: bool = False,
                 salts: int = SALTS, name: str | None = None) -> StreamingQuery:

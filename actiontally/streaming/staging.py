@@ -68,3 +68,13 @@ def replay_slices(df: DataFrame, source_path: str, time_col: str, start: Callabl
         total.dropped_late += res.dropped_late
         total.progress.extend(res.progress)
     return total
+
+
+def undo_last_commit(spark: SparkSession, checkpoint: str) -> int:
+    """Take back the checkpoint's last commit record, as if the query had ended after its sink's write and
+    ahead of it: the next start runs that batch again.  Returns the batch id."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(checkpoint).getFileSystem(spark._jsc.hadoopConfiguration())
+    last = max(int(f.getPath().getName()) for f in fs.listStatus(path(f"{checkpoint}/commits")) if f.getPath().getName().isdigit())
+    fs.delete(path(f"{checkpoint}/commits/{last}"), False)
+    return last
