@@ -46,6 +46,41 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def shuffles_freed(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """While it holds, the shuffle files of a finished write are deleted at once: for work of many steps,
+    each of which is written and read again."""
+    return session_setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a ``stored`` whose tables are deleted at the end: for what a round of work needs no longer
+    when its own result is written."""
+    made: list[str] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        made.append(scratch_path(spark, label))
+        df.write.parquet(made[-1])
+        return spark.read.schema(df.schema).parquet(made[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in made:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def id_mod(col: str | Column, m: int) -> Column:
     """crc32 of the id's text, modulo ``m``; a null id counts as empty text."""
     c = F.col(col) if isinstance(col, str) else col
@@ -69,16 +104,9 @@ def class_sample(rows: DataFrame, id_col: str, class_col: str, quota: int | dict
     return rows.filter(keep)
 
 
-@contextlib.contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+def arrow_rows(spark: SparkSession, rows: int) -> contextlib.AbstractContextManager[None]:
     """While it holds, Python gets at most so many rows at once: for jobs whose rows are large."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    return session_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def text_bytes(col: pa.Array) -> list[bytes | None]:

@@ -9,7 +9,13 @@ Large groups of near copies must not meet pair by pair. Each prefix shingle's ho
 compared with one of them, its pivot; links found join classes to components, and later rounds
 (other pivots) compare only across components. A last round compares every pair that is left: in
 one shingle's holders, in different components. A pair within one component can't change the
-components, so nothing is lost, and a group costs its size, not its square.
+components, so nothing is lost, and a group costs its size, not its square. There the smaller set of
+a pair has only its shorter index prefix to offer, and components with many holders of a
+shingle meet the others by name, so that their own members never meet.
+
+The suffix filter has two bounds of how much two sets differ, both from below: differences of the
+sizes of parts of the sets, and the bits in which their sketches differ (a bit tells whether
+an odd number of the set's shingles fall on it, so every differing shingle turns one bit at most).
 """
 
 from __future__ import annotations
@@ -17,7 +23,8 @@ from __future__ import annotations
 import functools
 import itertools
 import math
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from actiontally.llm.common import arrow_rows, slices, small_side, stored
+from actiontally.llm.common import arrow_rows, slices, shuffles_freed, small_side, stored, temporary
 
 SHINGLE, PERCENT = 3, 90
 #: Bits of the rarity table (2^21 counters) and of the bitmap of shingles held more than once (2^26
@@ -38,8 +45,13 @@ ORDER_BITS, HELD_BITS = 21, 26
 TABLES = 64
 #: Parts of a set whose sizes the suffix filter compares.
 PARTS = 16
+#: 64-bit words of a set's sketch.
+SKETCH = 8
+SKETCH_COLUMNS = [f"s{i}" for i in range(SKETCH)]
+#: Holders of a shingle in one component from which on they meet other components by name.
+MANY = 32
 #: Rounds of comparisons with pivots before the last, exhaustive one.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 #: Words whose hashes a Python worker remembers.
 WORDS_KEPT = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -96,15 +108,24 @@ def digest(s: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of ``SKETCH`` words per set: the parity of its shingles on each of the bits."""
+    bits = 64 * SKETCH
+    out = np.zeros((len(sets), bits), dtype=np.uint8)
+    for i, s in enumerate(sets):
+        out[i] = np.bincount((scramble(s) >> np.uint64(65 - bits.bit_length())).astype(np.int64), minlength=bits) & 1
+    return np.packbits(out, axis=1).view("<i8")
+
+
 def needed(n: int, percent: int) -> int:
     """ceil(percent * n / 100): the least overlap of a set of n with any partner."""
     return -(-percent * n // 100)
 
 
 def summarise(docs: DataFrame, k: int) -> DataFrame:
-    """One pass over the texts: a row per document with its set's size and digest (``key, n, set``),
-    and per task its rarity table (``part, counts``: little-endian 32-bit)."""
-    names = ["key", "n", "set", "part", "counts"]
+    """One pass over the texts: a row per document with its set's size, digest and sketch (``key, n, set, s0, ...``),
+    and per task its rarity table (``part, counts``: little-endian 32-bit, deflated)."""
+    names = ["key", "n", "set", *SKETCH_COLUMNS, "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, kind = np.zeros(1 << ORDER_BITS, dtype=np.int64), None
@@ -112,19 +133,23 @@ def summarise(docs: DataFrame, k: int) -> DataFrame:
             kind, sets = batch.column("key").type, shingle_sets(texts, k)
             found, times = np.unique(np.concatenate(sets) >> np.uint64(64 - ORDER_BITS), return_counts=True)
             counts[found.astype(np.int64)] += times
-            m = len(sets)
+            m, marks = len(sets), sketches(sets)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(map(len, sets), type=pa.int64()), pa.array(map(digest, sets), type=pa.binary()),
-                                              pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names=names)
+                                              *(pa.array(np.ascontiguousarray(marks[:, i])) for i in range(SKETCH)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names=names)
         if kind is not None:
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int64())] * SKETCH,
                                               pa.array([TaskContext.get().partitionId()], type=pa.int64()), pa.array([table_bytes(counts)], type=pa.binary())], names=names)
 
-    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string("n bigint, set binary, part bigint, counts binary").fields])
+    schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string(f"n bigint, set binary, {', '.join(f'{c} bigint' for c in SKETCH_COLUMNS)}, part bigint, counts binary").fields])
     return docs.mapInArrow(run, schema)
 
 
 def table_bytes(counts: np.ndarray) -> bytes:
-    return np.minimum(counts, 0xFFFFFFFF).astype("<u4").tobytes()
+    return zlib.compress(np.minimum(counts, 0xFFFFFFFF).astype("<u4").tobytes(), 1)  # small counts: an eighth or less
+
+
+def table_counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), dtype="<u4")
 
 
 def add_tables(tables: DataFrame) -> np.ndarray:
@@ -137,7 +162,7 @@ def add_tables(tables: DataFrame) -> np.ndarray:
                     yield pa.RecordBatch.from_arrays([pa.array([part], type=pa.int64()), pa.array([table_bytes(sums)], type=pa.binary())], names=["part", "counts"])
                     sums[:] = 0
                 part = p
-                sums += np.frombuffer(c.as_buffer(), dtype="<u4")
+                sums += table_counts(c.as_buffer())
         if part is not None:
             yield pa.RecordBatch.from_arrays([pa.array([part], type=pa.int64()), pa.array([table_bytes(sums)], type=pa.binary())], names=["part", "counts"])
 
@@ -146,7 +171,7 @@ def add_tables(tables: DataFrame) -> np.ndarray:
             up = tables.withColumn("part", F.floor(F.col("part") / TABLES)).repartition(max(1, int(n[1]) // TABLES + 1), "part")
             tables = stored(up.sortWithinPartitions("part").mapInArrow(total, "part bigint, counts binary"), "rarity")
     got = tables.select("counts").collect()  # one row, of fixed size
-    return np.frombuffer(got[0][0], dtype="<u4").astype(np.int64) if got else np.zeros(1 << ORDER_BITS, dtype=np.int64)
+    return table_counts(got[0][0]).astype(np.int64) if got else np.zeros(1 << ORDER_BITS, dtype=np.int64)
 
 
 def of_classes(texts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -242,6 +267,14 @@ def may_link(percent: int, first_only: bool) -> Column:
     return (F.least(x, y) * 100 >= F.greatest(x, y) * percent) & (room >= least) & (differ <= x + y - 2 * least)
 
 
+def sketches_near(percent: int) -> Column:
+    """Whether the sketches of x and y leave room for the similarity (the suffix filter's second bound)."""
+    n, differ = F.col("x.n") + F.col("y.n"), F.lit(0)
+    for c in SKETCH_COLUMNS:
+        differ = differ + F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")))
+    return differ <= n - 2 * F.ceil(F.lit(percent) * n / F.lit(100 + percent))
+
+
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``a, b, linked``: the candidate pairs, verified on the sets themselves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,11 +293,11 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, linked boolean")
 
 
-def components(links: DataFrame, most: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``class, comp``: of each linked node the smallest node that links reach, by alternating large
-    and small stars; each step is written to the shared folder. The smallest has no row itself."""
+    and small stars until a step changes nothing; each is written to the shared folder. The smallest has no row itself."""
     edges, before = stored(links.filter("a <> b").distinct(), "links"), None
-    for _ in range(most):
+    while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -276,32 +309,50 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
         if now == before:
             return edges.select(F.col("a").alias("class"), F.col("b").alias("comp"))
         before = now
-    raise RuntimeError("components did not settle")
-
-
-def candidates(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs ``a, b`` to verify among ``rows`` (prefix rows with ``comp``): in a pivot round each
-    holder of shingles with one of its shingles' pivots, so there are no more pairs than holders; in
-    the last round (turn -1) each with each; always of different components."""
-    if turn < 0:
-        # Sizes within the similarity's ratio lie in one band or two neighbouring ones.
-        rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent))))
-        holders = rows.select("token", "band", "comp").distinct()
-        near = holders.select("token", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-                              F.col("band").alias("own"), F.col("comp").alias("c"))
-        two = near.join(holders, ["token", "band"]).filter("c < comp").select(
-            "token", F.col("c").alias("comp"), F.col("own").alias("band"), F.col("comp").alias("other"), F.col("band").alias("beside"))
-        x = rows.join(two, ["token", "comp", "band"]).alias("x")
-        met = x.join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.other") == F.col("y.comp")) & (F.col("x.beside") == F.col("y.band")))
-    else:
-        by = F.col("class") if turn == 0 else F.xxhash64("class", "token", F.lit(turn))
-        pivot = rows.groupBy("token").agg(F.min(F.struct(by.alias("by"), "class", "n", "pos", "low", "high", "comp")).alias("p"),
-                                          F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token", "p.*")
-        met = rows.alias("x").join(pivot.alias("y"), "token").filter("x.comp <> y.comp")
-    pairs = met.filter(may_link(percent, turn < 0))
-    if turn < 0:
-        return pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    return pairs.groupBy(F.col("x.class").alias("a")).agg(F.min(F.struct("y.by", F.col("y.class").alias("b"))).alias("p")).select("a", "p.b")
+
+
+def met_by_pivot(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs ``a, b`` to verify among ``rows`` (prefix rows with ``comp``) in a pivot round: each holder of
+    shingles with one of its shingles' pivots, so no more pairs than holders; of different components."""
+    by = F.col("class") if turn == 0 else F.xxhash64("class", "token", F.lit(turn))
+    pivot = rows.groupBy("token").agg(F.min(F.struct(by.alias("by"), "class", "n", "pos", "low", "high", "comp")).alias("p"),
+                                      F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token", "p.*")
+    met = rows.alias("x").join(pivot.alias("y"), "token").filter("x.comp <> y.comp").filter(may_link(percent, False))
+    return met.groupBy(F.col("x.class").alias("a")).agg(F.min(F.struct("y.by", F.col("y.class").alias("b"))).alias("p")).select("a", "p.b")
+
+
+def met_all(rows: DataFrame, known: DataFrame, percent: int, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Pairs ``a, b`` to verify in the last round: of any two holders of a shingle in different components.
+
+    The smaller set of a pair must hold a shared shingle in its index prefix, n - ceil(2t / (1 + t) n) + 1.
+    Holders meet by shingle and band of sizes: sizes within the similarity's ratio lie in one band
+    or two neighbouring ones. Where a component has many holders of a shingle, they meet each other component's
+    holders by its name instead of by the band."""
+    index = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
+    open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
+    sizes = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("members"))
+    live = rows.join(open_, "token", "left_semi").join(sizes, ["token", "comp"]).join(known.drop("n"), "class").withColumns({
+        "short": F.col("pos") < index, "many": F.col("members") > MANY,
+        "band": F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent)))}).drop("members")
+    live = keep(live, "open-prefixes")
+    smaller = (F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.class") < F.col("x.class")))
+    rest = (F.col("x.comp") != F.col("y.comp")) & may_link(percent, True) & sketches_near(percent)
+    few = live.filter("not many")
+    near = few.filter("short").withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    both = few.alias("x").join(near.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & smaller & rest)
+    pairs = both.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+    named = live.filter("many").select("token", F.col("comp").alias("other")).distinct()
+    # Of two components with many holders the one with the smaller name does the asking.
+    asking = live.join(named, "token").filter("comp < other or (comp <> other and not many)")
+    asked = asking.alias("x").join(live.filter("many").alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.other") == F.col("y.comp")) & F.when(
+        smaller, F.col("y.short")).otherwise(F.col("x.short")) & rest)
+    return pairs.union(asked.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))).distinct()
+
+
+def near_by_sketch(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches leave room for the similarity (``known``: ``class, n`` and sketch)."""
+    x, y = known.alias("x"), known.alias("y")
+    return pairs.join(x, F.col("a") == F.col("x.class")).join(y, F.col("b") == F.col("y.class")).filter(sketches_near(percent)).select("a", "b")
 
 
 def merged(stars: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -318,26 +369,31 @@ def merged(stars: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def link_classes(texts: DataFrame, classes: DataFrame, order: np.ndarray, shingle: int, percent: int) -> DataFrame | None:
-    """``class, comp`` of the classes linked with others, or None if there are none."""
-    with arrow_rows(texts.sparkSession, 2000):
-        prefix = stored(prefixes(of_classes(texts, classes), order, shingle, percent), "prefixes")
-    rows = stored(held_twice(prefix), "shared-prefixes")
+    """``class, comp`` of the classes linked with others, or None if there are none. What only one round
+    needs is deleted at its end."""
+    spark = texts.sparkSession
+    with temporary(spark) as keep:
+        with arrow_rows(spark, 2000):
+            prefix = keep(prefixes(of_classes(texts, classes), order, shingle, percent), "prefixes")
+        rows = stored(held_twice(prefix), "shared-prefixes")
+    known = classes.select("class", "n", *SKETCH_COLUMNS)
     stars, tried = None, None
     for turn in [*range(PIVOT_ROUNDS), -1]:
-        now = rows.withColumn("comp", F.col("class")) if stars is None else rows.join(small_side(stars), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-        pairs = candidates(now, turn, percent)
-        if tried is not None:
-            pairs = pairs.join(tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "candidates")
-        nodes = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-        with arrow_rows(rows.sparkSession, 2000):
-            sets = stored(shingles_of(of_classes(texts, classes.join(small_side(nodes), "class", "left_semi")), shingle), "shingle-sets")
-        with arrow_rows(rows.sparkSession, 256):
-            done = stored(similar(pairs, sets, percent), "verified")
-        tried = pairs if tried is None else tried.union(pairs)
-        new = done.filter("linked").select("a", "b")
-        if new.limit(1).count():
-            stars = stored(merged(stars, new), "stars-so-far")
+        with temporary(spark) as keep:
+            now = rows.withColumn("comp", F.col("class")) if stars is None else rows.join(small_side(stars), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+            pairs = met_all(now, known, percent, keep) if turn < 0 else near_by_sketch(met_by_pivot(now, turn, percent), known, percent)
+            if tried is not None:
+                pairs = pairs.join(tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+            pairs = stored(pairs, "candidates")
+            nodes = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+            with arrow_rows(spark, 2000):
+                sets = keep(shingles_of(of_classes(texts, classes.join(small_side(nodes), "class", "left_semi")), shingle), "shingle-sets")
+            with arrow_rows(spark, 256):
+                done = keep(similar(pairs, sets, percent), "verified")
+            tried = pairs if tried is None else tried.union(pairs)
+            new = done.filter("linked").select("a", "b")
+            if new.limit(1).count():
+                stars = stored(merged(stars, new), "stars-so-far")
     return stars
 
 
@@ -352,13 +408,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("the similarity must be above 50 and at most 100 percent")
     kind = docs.schema[id_col].dataType.simpleString()  # a nested id with all its fields nullable
     texts = docs.select(F.col(id_col).cast(kind).alias("key"), F.col(text_col).cast("string").alias("text"))
-    with arrow_rows(docs.sparkSession, 2000):
-        seen = stored(summarise(texts, shingle), "shingle-summary")
-    members = seen.filter("part is null").select("key", "n", "set")
-    order = add_tables(seen.filter("part is not null").select("part", "counts"))
-    classes = stored(members.filter("set is not null").groupBy("set").agg(F.min("key").alias("owner")).withColumn(
-        "class", F.monotonically_increasing_id()), "shingle-classes")
-    stars = link_classes(texts, classes, order, shingle, percent)
+    spark = docs.sparkSession
+    with shuffles_freed(spark):
+        with temporary(spark) as keep, arrow_rows(spark, 2000):
+            seen = keep(summarise(texts, shingle), "shingle-summary")
+            members = stored(seen.filter("part is null").drop("part", "counts"), "shingle-members")
+            order = add_tables(seen.filter("part is not null").select("part", "counts"))
+        classes = stored(members.filter("set is not null").groupBy("set").agg(
+            F.min("key").alias("owner"), *(F.first(c).alias(c) for c in ["n", *SKETCH_COLUMNS])).withColumn(
+            "class", F.monotonically_increasing_id()), "shingle-classes")
+        return named_components(members, classes, link_classes(texts, classes, order, shingle, percent), id_col)
+
+
+def named_components(members: DataFrame, classes: DataFrame, stars: DataFrame | None, id_col: str) -> DataFrame:
+    """Each member with the least id of its component; ``stars`` names the components of linked classes."""
     names = classes.select("set", F.col("owner").alias("least"))
     if stars is not None:
         comp = classes.join(stars, "class", "left").select("set", "owner", F.coalesce("comp", "class").alias("comp"))

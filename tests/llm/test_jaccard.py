@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from actiontally.llm import jaccard
@@ -92,11 +93,33 @@ def test_other_sizes_of_the_tables_change_nothing(spark, monkeypatch):
     rows = near_copies(7, 6, 8, 100, 5)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     want = sorted(brute(rows, 3, 90))
-    for name, value in (("ORDER_BITS", 4), ("HELD_BITS", 8), ("PIVOT_ROUNDS", 0), ("WORDS_KEPT", 5), ("TABLES", 2)):
+    for name, value in (("ORDER_BITS", 4), ("HELD_BITS", 8), ("PIVOT_ROUNDS", 0), ("WORDS_KEPT", 5), ("TABLES", 2), ("MANY", 1), ("MANY", 0)):
         monkeypatch.setattr(jaccard, name, value)
         assert sorted(got(docs, 3, 90)) == want
 
 
+def test_bits_of_sketches_never_overstate_a_difference():
+    rng = random.Random(3)
+    for n, d in ((5, 1), (80, 12), (700, 300), (5000, 40)):
+        one = [rng.randrange(1 << 64) for _ in range(n)]
+        two = one[d // 2 :] + [rng.randrange(1 << 64) for _ in range(d - d // 2)]
+        a, b = jaccard.sketches([np.array(sorted(x), dtype=np.uint64) for x in (one, two)])
+        differ = sum(bin(int(x) & (1 << 64) - 1).count("1") for x in a ^ b)
+        assert differ <= len(set(one) ^ set(two)) and (d > 50 or differ >= d // 2)
+    assert not jaccard.sketches([np.array([], dtype=np.uint64)]).any()
+
+
+def test_unlinked_copies_of_one_passage_make_few_candidates(spark, monkeypatch):
+    """Texts that are mostly one passage, too different to link, in the exhaustive round."""
+    seen = []
+    real = jaccard.similar
+    monkeypatch.setattr(jaccard, "similar", lambda pairs, sets, percent: (seen.append(pairs.count()), real(pairs, sets, percent))[1])
+    rows = [r for r in near_copies(9, 1, 260, 150, 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert sorted(got(docs, 3, 90)) == sorted(brute(rows, 3, 90))
+    assert sum(seen) < 260 * 20  # all pairs would be 33,670
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
