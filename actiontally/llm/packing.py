@@ -24,7 +24,7 @@ from actiontally.llm.tokens import END_ID, encoder
 SEQUENCE = 4096
 
 
-def encode_documents(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, end_id: int | None = END_ID) -> DataFrame:
+def encode_documents(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, end_id: int | None = END_ID, keep_memo: bool = True) -> DataFrame:
     """``key, part, start, n_tokens, ids``: ids as little-endian unsigned 32-bit integers, start
     the ids before it in its partition. Null text counts as empty; ids may be null or repeat."""
     end = b"" if end_id is None else np.uint32(end_id).astype("<u4").tobytes()
@@ -39,6 +39,8 @@ def encode_documents(docs: DataFrame, id_col: str, text_col: str, vocabulary: st
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(starts), pa.array(n), pa.array(ids, type=pa.binary())],
                 names=["key", "part", "start", "n_tokens", "ids"])
+        if not keep_memo:
+            enc.release()
 
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), *T._parse_datatype_string(
@@ -47,14 +49,15 @@ def encode_documents(docs: DataFrame, id_col: str, text_col: str, vocabulary: st
 
 
 def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-         sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
+         sequence: int = SEQUENCE, end_id: int = END_ID, keep_memo: bool = True) -> DataFrame:
     """One row per piece: ``key, start, length, ids, doc_tokens, sequence_id, offset, first,
     last`` (whether the piece opens or closes its document).
 
     Null or empty text: the end id alone. Null and repeated document ids: each row is packed for
     itself. A text of any length is cut into as many pieces as it needs. No rows: no pieces.
-    Extra columns are not read."""
-    enc = stored(encode_documents(docs, id_col, text_col, vocabulary, end_id), "packed-ids")
+    Extra columns are not read. ``keep_memo``: workers keep the encoder's memo for their next task;
+    without it each task starts anew and leaves no memory behind."""
+    enc = stored(encode_documents(docs, id_col, text_col, vocabulary, end_id, keep_memo), "packed-ids")
     totals = sorted(enc.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())  # a row per partition
     base = dict(zip((r["part"] for r in totals), (np.cumsum([0, *(r["n"] for r in totals)])[:-1]).tolist()))
     offsets = docs.sparkSession.sparkContext.broadcast(base)

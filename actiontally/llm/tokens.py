@@ -129,6 +129,11 @@ class Encoder:
         if len(self.parts) > PARTS_KEPT:
             self.parts = {"\0": _GAP}
 
+    def release(self) -> None:
+        """Forget everything learned, at the end of a task whose worker has other work to do next."""
+        self.words.clear()
+        self.parts = {"\0": _GAP}
+
     def _long(self, text: bytes) -> Iterator[bytes]:
         a = 0
         while a < len(text):
