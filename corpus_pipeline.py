@@ -79,7 +79,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, cut into sequences of 4096."""
     rows, key, text = numbered(docs)
-    return packing.piece_digest(packing.pack(rows, public_tokenizers.path("word_bpe_49k.json"), key, text), ID)
+    return packing.piece_digest(packing.pack(rows, public_tokenizers.path("word_bpe_49k.json"), key, text, keep_memo=False), ID)
 
 
 STAGES = [("quality_rules", quality), ("ngram_jaccard", near_duplicates), ("decontamination", decontamination),
