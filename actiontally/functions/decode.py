@@ -28,11 +28,15 @@ def decode_events(raw: DataFrame, value_col: str = "value", keep: list[str] | No
                          "metadata", "device_info", CORRUPT_COL)
 
 
+def countable(time_col: str = "event_time", user_col: str = "user_id") -> Column:
+    """Whether a decoded record parsed cleanly and has the two fields every aggregate keys on."""
+    return F.col(CORRUPT_COL).isNull() & F.col(user_col).isNotNull() & F.col(time_col).isNotNull()
+
+
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(countable events, rejected records).  An event is countable when it parsed
-    cleanly and has the two fields every aggregate keys on.  Each output re-runs the
-    decode; a batch job that writes both should persist ``decoded`` first."""
-    ok = F.col(CORRUPT_COL).isNull() & F.col("user_id").isNotNull() & F.col("event_time").isNotNull()
+    """(countable events, rejected records).  Each output re-runs the decode; a batch job
+    that writes both should persist ``decoded`` first, a stream land both in one query."""
+    ok = countable()
     return decoded.filter(ok).drop(CORRUPT_COL), decoded.filter(~ok)
 
 
@@ -51,6 +55,24 @@ def family_payload(decoded: DataFrame, family: str, keep: tuple[str, ...] = ("ev
             .select(*keep, *[F.col(f"m.{name}").alias(name) for name, _ in fields]))
 
 
+def open_payload(decoded: DataFrame, fields: dict[str, tuple[str, str]], keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
+    """Typed fields of payloads outside the six families: ``fields`` maps a column's name to a
+    path (``$.nav.depth``, ``$.tags[0]``) and a type.  The payload is parsed once per record, into a
+    variant.  An absent key, a value that does not convert and a payload that is no JSON give NULL."""
+    parsed = decoded.select(*keep, F.try_parse_json("metadata").alias("_payload"))
+    return parsed.select(*keep, *[F.try_variant_get("_payload", path, kind).alias(name) for name, (path, kind) in fields.items()])
+
+
+def payload_keys(decoded: DataFrame, by: tuple[str, ...] = ("action_type",)) -> DataFrame:
+    """Which top-level keys payloads carry, and as what: ``by, key, kind, n_events``.  ``kind`` is the
+    value's outermost type, so a key that is sometimes mistyped has several rows.  Payloads that
+    are no JSON objects have no keys.  One shuffle of counted rows."""
+    parsed = decoded.select(*by, F.try_parse_json("metadata").alias("_payload")).filter("_payload is not null")
+    pairs = parsed.lateralJoin(decoded.sparkSession.tvf.variant_explode(F.col("_payload").outer())).filter("key is not null")
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    return pairs.groupBy(*by, "key", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_events"))
+
+
 def device_info_flat(decoded: DataFrame, keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
     return decoded.select(*keep, "device_info.*")
 

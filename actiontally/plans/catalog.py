@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actiontally.functions.decode import (
-    decode_events, device_info_flat, encode_json, family_payload, split_corrupt,
+    decode_events, device_info_flat, encode_json, family_payload, open_payload, payload_keys, split_corrupt,
 )
 from actiontally.functions.layout import with_partition_columns
 from actiontally.operators.aggregates import user_action_counts, user_aggregations
@@ -23,12 +23,14 @@ from actiontally.operators.versions import (
     compact_table, expire_before, latest_versions, lookup_aggregates, month_summary,
 )
 from actiontally.plans.fixtures import (
-    envelope_fields, family_envelope, json_envelope, order_events, plain_events,
+    envelope_fields, family_envelope, json_envelope, open_envelope, order_events, plain_events,
 )
 from actiontally.session import pin_utc, scratch_path
 from actiontally.sources.changelog import read_changes, read_current, remove_covered, user_splits, write_changes
-from actiontally.sources.lake import lake_scan, read_lake, write_lake
-from actiontally.streaming.jobs import aggregate_stream, chained_window_stream, closed_window_stream, curate_slots, run_to_completion, start_all
+from actiontally.sources.lake import lake_scan, read_lake, read_landed, write_lake
+from actiontally.streaming.jobs import (
+    aggregate_stream, chained_window_stream, closed_window_stream, curate_slots, open_windows, run_to_completion, start_all, start_fan_out,
+)
 from actiontally.streaming.staging import file_stream, replay_slices, undo_last_commit
 
 AGG_COLS = ["user_id", "window_start", "window_end", "total_actions", "aggregation_type"]
@@ -37,6 +39,7 @@ EV = dict(time_col="ts", type_col="event_type")
 
 # Parameters of the checked lookups and expiry (fixed so the oracle can state them).
 LOOKUP_USER = 8
+LOOKUP_EVENT = 77
 LAKE_LOOKUP = ("2024-01-05 03:00:00", "2024-01-09 05:00:00")
 AGG_LOOKUP = ("2024-01-05 00:00:00", "2024-01-06 00:00:00")
 TTL_AS_OF = "2024-01-31 00:00:00"
@@ -93,6 +96,22 @@ def _family(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+#: Payload keys outside the six families, by path and wanted type.
+OPEN_FIELDS = {"k": ("$.k", "int"), "coupon": ("$.coupon", "string"), "score": ("$.score", "int"), "depth": ("$.nav.depth", "int"), "tag": ("$.tags[0]", "string")}
+
+
+def metadata_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of no family: keys that may be absent, mistyped, nested or in a list."""
+    good, _ = split_corrupt(decode_events(open_envelope(spark, sf_dir)))
+    return open_payload(good, OPEN_FIELDS)
+
+
+def metadata_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which keys those payloads carry per action type, and as what."""
+    good, _ = split_corrupt(decode_events(open_envelope(spark, sf_dir)))
+    return payload_keys(good)
+
+
 def encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full six-field record, published as text and decoded back."""
     pin_utc(spark)
@@ -124,6 +143,14 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "event_date", "event_hour", "bucket")
 
 
+def lake_event_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event by its id, in a lake whose files have Bloom filters of ids and users."""
+    pin_utc(spark)
+    path = scratch_path(spark, "lake")
+    write_lake(plain_events(spark, sf_dir), path, time_col="ts", bloom=("event_id", "user_id"))
+    return read_lake(spark, path).filter(F.col("event_id") == LOOKUP_EVENT).select("event_id", "ts", "user_id", "event_type")
+
+
 def lake_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = read_lake(spark, _landed_lake(spark, sf_dir))
     return lake.groupBy("event_date", "event_hour", "bucket").agg(F.count(F.lit(1)).alias("n_events"))
@@ -363,27 +390,66 @@ def stream_chained_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.lit("2 hours").alias("size"), *COUNT_COLS).union(parts.select(F.lit("5 minutes"), *COUNT_COLS))
 
 
-def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON text files to the lake, the rejects and both tables: every sink's rows in one list."""
+def stream_state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that end after the newest event, less the watermark delay: what the stream's state holds
+    of them beside what its table says."""
+    table_path, ckpt = scratch_path(spark, "user_aggregations"), scratch_path(spark, "ckpt")
+    _replayed(spark, sf_dir, lambda s: aggregate_stream(s, table_path, ckpt, "2 hours", True, trigger={"availableNow": True},
+                                                        state_partitions=_cores(spark), **EV))
+    newest = plain_events(spark, sf_dir).agg((F.max("ts") - F.expr("INTERVAL 10 MINUTES")).cast("string")).first()[0]
+    still = F.col("window_end") > F.lit(newest).cast("timestamp_ntz")
+    key = ["user_id", "window_start", "window_end", "aggregation_type"]
+    state = open_windows(spark, ckpt).filter(still).withColumnRenamed("total_actions", "in_state")
+    rows = read_current(spark, table_path).filter(still).select(*key, F.col("total_actions").alias("in_table"))
+    return state.join(rows, key, "full").select(*key, "in_state", "in_table")
+
+
+def _json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream of JSON text files: of fifty records one without a type, before each hundredth a broken one."""
     pin_utc(spark)
-    text, root = scratch_path(spark, "json_text"), scratch_path(spark, "fan_out")
+    text = scratch_path(spark, "json_text")
     bad = F.when(F.col("event_id") % 100 == 0, F.array(F.lit("garbage"), F.col("value"))).otherwise(F.array("value"))
-    typeless = F.when(F.col("event_id") % 50 != 0, F.col("event_type"))  # a record of fifty has no type
+    typeless = F.when(F.col("event_id") % 50 != 0, F.col("event_type"))
     fields = encode_json(plain_events(spark, sf_dir).withColumn("event_type", typeless), envelope_fields(), key="event_id")
-    fields.select(F.explode(bad).alias("value")).write.text(text)  # a broken record before each hundredth
-    events, rejects = split_corrupt(decode_events(spark.readStream.schema("value string").text(text)))
-    for q in start_all(events, root, {"availableNow": True}, rejects=rejects, state_partitions=_cores(spark)).values():
-        q.awaitTermination()
+    fields.select(F.explode(bad).alias("value")).write.text(text)
+    return decode_events(spark.readStream.schema("value string").text(text))
+
+
+def _fan_out_rows(spark: SparkSession, lake: DataFrame, rejects: DataFrame, root: str) -> DataFrame:
+    """Every sink's rows in one list."""
     none = lambda kind: F.lit(None).cast(kind)
-    lake = spark.read.parquet(f"{root}/lake").groupBy("event_date", "event_hour").agg(F.count(F.lit(1)).alias("n")).select(
+    landed = lake.groupBy("event_date", "event_hour").agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("lake").alias("sink"), none("bigint").alias("user_id"),
         (F.col("event_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("event_hour"))).alias("window_start"),
         none("string").alias("aggregation_type"), F.col("n").alias("total_actions"))
-    gone = spark.read.parquet(f"{root}/rejects").agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("rejects"), none("bigint"), none("timestamp_ntz"), none("string"), "n")
+    gone = rejects.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejects"), none("bigint"), none("timestamp_ntz"), none("string"), "n")
     tables = [read_current(spark, f"{root}/{t}").select(F.lit(t), "user_id", "window_start", "aggregation_type", "total_actions")
               for t in ("user_aggregations", "user_aggregations_realtime")]
-    return lake.union(gone).union(tables[0]).union(tables[1])
+    return landed.union(gone).union(tables[0]).union(tables[1])
+
+
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text files to the lake, the rejects and both tables."""
+    root = scratch_path(spark, "fan_out")
+    events, rejects = split_corrupt(_json_text(spark, sf_dir))
+    for q in start_all(events, root, {"availableNow": True}, rejects=rejects, state_partitions=_cores(spark)).values():
+        q.awaitTermination()
+    return _fan_out_rows(spark, spark.read.parquet(f"{root}/lake"), spark.read.parquet(f"{root}/rejects"), root)
+
+
+def stream_fan_out_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from one landing query, each record parsed once; then its last batch again, as after a
+    crash ahead of its commit: nothing lands twice."""
+    root, decoded = scratch_path(spark, "fan_out"), _json_text(spark, sf_dir)
+
+    def run() -> None:
+        for q in start_fan_out(decoded, root, {"availableNow": True}, state_partitions=_cores(spark)).values():
+            q.awaitTermination()
+
+    run()
+    undo_last_commit(spark, f"{root}/_checkpoints/landing")
+    run()
+    return _fan_out_rows(spark, read_landed(spark, f"{root}/lake"), read_landed(spark, f"{root}/lake", "rejects"), root)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -395,12 +461,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "device_info_flatten": device_info_flatten,
     **{f"metadata_{name}": _family(name)
        for name in ["product", "button", "search", "checkout", "location", "screen"]},
+    "metadata_variant": metadata_variant,
+    "metadata_keys": metadata_keys,
     "encode_events": encode_events,
     "partition_columns": partition_columns,
     "lake_roundtrip": lake_roundtrip,
     "lake_layout": lake_layout,
     "lake_bucket_layout": lake_bucket_layout,
     "lake_point_lookup": lake_point_lookup,
+    "lake_event_lookup": lake_event_lookup,
     "lake_backfill_2h": lake_backfill_2h,
     "agg_latest_wins": agg_latest_wins,
     "agg_compacted": agg_compacted,
@@ -417,5 +486,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_data": stream_late_data,
     "stream_seeded_restart": stream_seeded_restart,
     "stream_chained_windows": stream_chained_windows,
+    "stream_state_audit": stream_state_audit,
     "stream_fan_out": stream_fan_out,
+    "stream_fan_out_once": stream_fan_out_once,
 }

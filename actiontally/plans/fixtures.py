@@ -5,6 +5,7 @@
 * ``json_envelope``: the same rows published as JSON envelopes, as a topic carries them.
 * ``family_envelope``: envelopes whose action types and payloads cover every metadata
   family, with values computed from the row.
+* ``open_envelope``: envelopes with payloads of no family.
 * ``order_events``: ``orders`` as actions, spread over many months.
 """
 
@@ -95,3 +96,17 @@ def family_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","device_type":"ios","os_version":"15.0","app_version":"1.0.0"}}'),
     )
     return e.select(value.alias("value"))
+
+
+def open_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes whose payloads have keys of no family: ``k``; a ``coupon`` in one of three; a ``score``
+    that in one of four is a word; a nested ``nav``; a list of ``tags``, empty in one of five."""
+    e, eid = plain_events(spark, sf_dir), F.col("event_id")
+    meta = F.concat(
+        F.lit('{"k":'), F.get_json_object("props", "$.k"), F.when(eid % 3 == 0, F.concat(F.lit(',"coupon":"C'), eid % 50, F.lit('"'))).otherwise(""),
+        F.lit(',"score":'), F.when(eid % 4 == 0, F.lit('"n/a"')).otherwise((eid % 100).cast("string")),
+        F.lit(',"nav":{"from":"home","depth":'), eid % 7, F.lit('},"tags":'),
+        F.when(eid % 5 == 0, F.lit("[]")).otherwise(F.concat(F.lit('["t'), eid % 9, F.lit('","new"]'))), F.lit("}"))
+    value = F.concat(F.lit('{"event_id":"evt-'), eid, F.lit('","user_id":'), F.col("user_id"), F.lit(',"action_type":"'), F.col("event_type"),
+                     F.lit('","timestamp":"'), iso_time("ts"), F.lit('","metadata":'), meta, F.lit("}"))
+    return e.select(value.alias("value"))

@@ -73,6 +73,17 @@ FAMILY = {
     "screen": _family("10, 11", """'cart' screen_name, cast(1 + event_id % 300 as int) duration_seconds"""),
 }
 
+OPEN = """select 'evt-' || event_id event_id, cast(json_extract_string(props, '$.k') as int) k,
+       case when event_id % 3 = 0 then 'C' || (event_id % 50) end coupon,
+       case when event_id % 4 <> 0 then cast(event_id % 100 as int) end score, cast(event_id % 7 as int) depth,
+       case when event_id % 5 <> 0 then 't' || (event_id % 9) end tag from events"""
+
+KEYS = """select event_type action_type, key, kind, count(*) n_events from (
+  select event_type, unnest([{'key': 'k', 'kind': 'BIGINT'}, {'key': case when event_id % 3 = 0 then 'coupon' end, 'kind': 'STRING'},
+    {'key': 'score', 'kind': case when event_id % 4 = 0 then 'STRING' else 'BIGINT' end},
+    {'key': 'nav', 'kind': 'OBJECT'}, {'key': 'tags', 'kind': 'ARRAY'}], recursive := true) from events)
+where key is not null group by all"""
+
 ENCODE = DECODE.replace("event_type action_type, ts event_time,", "event_type action_type, ts event_time, 'dev-' || user_id device_id,")
 
 PARTS = """select event_id, cast(ts as date) event_date,
@@ -87,6 +98,8 @@ LAKE_LAYOUT = """select cast(ts as date) event_date, cast((extract(hour from ts)
 LAKE_LOOKUP = """select event_id, ts, event_type from events where user_id = 8
   and ts >= timestamp '2024-01-05 03:00:00' and ts < timestamp '2024-01-09 05:00:00'"""
 
+EVENT_LOOKUP = """select event_id, ts, user_id, event_type from events where event_id = 77"""
+
 BUCKET_LAYOUT = """select 'event_date=' || cast(ts as date) || '/event_hour=' || cast((extract(hour from ts) // 2) * 2 as int)
        || '/bucket=' || (user_id % 128) leaf, count(*) n_events from events
 where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-12' group by all"""
@@ -121,6 +134,9 @@ CHAINED = f"""with w as (select * from ({COUNTS_2H}) where window_end <= (select
 select '2 hours' size, * from w
 union all select '5 minutes', * from ({COUNTS_5M}) where window_start < (select max(window_end) from w)"""
 
+STATE_AUDIT = f"""select user_id, window_start, window_end, aggregation_type, total_actions in_state, total_actions in_table
+from ({U1}) where window_end > (select max(ts) from events) - interval 10 minute"""
+
 FAN_OUT = f"""select 'lake' sink, null::bigint user_id, {B2} window_start, null::varchar aggregation_type, count(*) total_actions
 from events group by all
 union all select 'rejects', null, null, null, count(*) from events where event_id % 100 = 0
@@ -146,11 +162,14 @@ ORACLE_SQL: dict[str, str] = {
     "decode_events": DECODE,
     "device_info_flatten": DEVICE,
     **{f"metadata_{k}": v for k, v in FAMILY.items()},
+    "metadata_variant": OPEN,
+    "metadata_keys": KEYS,
     "encode_events": ENCODE,
     "partition_columns": PARTS,
     "lake_roundtrip": LAKE_ROUNDTRIP,
     "lake_layout": LAKE_LAYOUT,
     "lake_point_lookup": LAKE_LOOKUP,
+    "lake_event_lookup": EVENT_LOOKUP,
     "lake_bucket_layout": BUCKET_LAYOUT,
     "lake_backfill_2h": U1,
     "agg_latest_wins": LATEST,
@@ -168,5 +187,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_late_data": CLOSED,
     "stream_seeded_restart": U1,
     "stream_chained_windows": CHAINED,
+    "stream_state_audit": STATE_AUDIT,
     "stream_fan_out": FAN_OUT,
+    "stream_fan_out_once": FAN_OUT,
 }

@@ -21,18 +21,24 @@ from actiontally.functions.literals import as_datetime, day, ntz
 from actiontally.functions.layout import (
     N_BUCKETS, PARTITION_COLUMNS, SLOT_HOURS, with_partition_columns,
 )
+from actiontally.schemas import CORRUPT_COL
 from actiontally.sources.changelog import read_tag, write_tag
 
 #: Tasks that may share one leaf's rows.
 SALTS = 4
+#: First directory level of a lake that one query fills with events and rejected records.
+LANDED, REJECTED = "lake", "rejects"
 
 
 def write_lake(df: DataFrame, path: str, time_col: str = "event_time", user_col: str = "user_id",
                n_buckets: int = N_BUCKETS, bucket_dirs: bool = False, mode: str = "append",
-               max_records_per_file: int = 2_000_000, salts: int = SALTS) -> None:
+               max_records_per_file: int = 2_000_000, salts: int = SALTS, bloom: tuple[str, ...] = ()) -> None:
     """Land events in the lake, reading ``df`` once.  ``mode="overwrite"`` replaces only the
     slots present in ``df`` (dynamic partition overwrite), which makes a backfill of one
-    day rerunnable.  Size ``salts`` to the largest leaf: its rows over one task's share."""
+    day rerunnable.  Size ``salts`` to the largest leaf: its rows over one task's share.
+
+    Columns in ``bloom`` get a Bloom filter per row group, sized by the values it has: equality on
+    them then skips row groups whose minimum and maximum say nothing, as of random ids."""
     check_layout(df.sparkSession, path, bucket_dirs, n_buckets)
     out = with_partition_columns(df, time_col, user_col, n_buckets)
     salt = F.pmod(F.xxhash64(F.col(time_col), F.col(user_col)), F.lit(salts))
@@ -42,10 +48,28 @@ def write_lake(df: DataFrame, path: str, time_col: str = "event_time", user_col:
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
+        .options(**_bloom_options(bloom))
         .partitionBy(*parts)
         .parquet(path))
 
 
+def _bloom_options(columns: tuple[str, ...]) -> dict[str, str]:
+    out = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return out | ({"parquet.bloom.filter.adaptive.enabled": "true"} if out else {})
+
+
+def mark_fan_out(spark: SparkSession, path: str) -> None:
+    """Record that this lake has rejected records beside its events."""
+    if read_tag(spark, path, "fan_out") is None:
+        write_tag(spark, path, "fan_out", "1")
+
+
+def read_landed(spark: SparkSession, path: str, sink: str = LANDED) -> DataFrame:
+    """The events (``lake``) or the rejected records (``rejects``) of a lake that one query fills with both."""
+    rows = spark.read.parquet(path).filter(F.col("sink") == sink).drop("sink")
+    return rows.drop(CORRUPT_COL) if sink == LANDED else rows.drop(*PARTITION_COLUMNS, "bucket")
+
+
 def check_layout(spark: SparkSession, path: str, bucket_dirs: bool, n_buckets: int = N_BUCKETS) -> None:
     """Record a new lake's layout, or refuse a write whose layout differs from it."""
     for name, asked in (("bucket_dirs", int(bool(bucket_dirs))), ("n_buckets", n_buckets)):
@@ -70,7 +94,7 @@ def check_slots(start, end) -> None:
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return read_landed(spark, path) if read_tag(spark, path, "fan_out") else spark.read.parquet(path)
 
 
 def lake_scan(spark: SparkSession, path: str, user_id: int | None = None, start=None, end=None,

@@ -27,14 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from actiontally.functions.decode import countable
 from actiontally.functions.layout import with_partition_columns
 from actiontally.functions.literals import as_datetime, ntz
 from actiontally.functions.windows import window_bounds
 from actiontally.session import pin_utc
-from actiontally.operators.aggregates import user_action_counts, user_aggregations
-from actiontally.schemas import ACTION_TAG_PREFIX, NO_TYPE, TOTAL_TAG
+from actiontally.operators.aggregates import type_tag, user_action_counts, user_aggregations
+from actiontally.schemas import ACTION_TAG_PREFIX, CORRUPT_COL, NO_TYPE, TOTAL_TAG
 from actiontally.sources.changelog import has_history, read_tag, write_changes, write_tag
-from actiontally.sources.lake import SALTS, check_layout, check_slots, lake_scan, write_lake
+from actiontally.sources.lake import LANDED, REJECTED, SALTS, check_layout, check_slots, lake_scan, mark_fan_out, write_lake
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -198,6 +199,20 @@ def aggregate_stream(events: DataFrame, table_path: str, checkpoint: str, durati
         return _writer(agg, checkpoint, trigger, name).outputMode("update").foreachBatch(sink).start()
 
 
+def open_windows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """What an ``aggregate_stream`` holds in its state as of its last commit, as rows of its table: an audit of a
+    stopped query, or of a running one between batches.  Windows that the watermark has passed stay
+    here until a later batch evicts them.  With ``dedup`` the query has two stateful operators; ``operator`` is
+    the counting one's number."""
+    pin_utc(spark)
+    state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    key, count = state.schema["key"].dataType.names, state.schema["value"].dataType.names[0]
+    tag = F.lit(TOTAL_TAG)
+    if "action_type" in key:  # grouping sets: the id's bit is set where the type is left out
+        tag = F.when(F.col("key.spark_grouping_id") != 0, tag).otherwise(type_tag("key.action_type"))
+    return state.select("key.user_id", *window_bounds("key.window"), F.col(f"value.{count}").alias("total_actions"), tag.alias("aggregation_type"))
+
+
 def closed_window_stream(events: DataFrame, out_path: str, checkpoint: str, duration: str = "2 hours",
                          watermark: str = "10 minutes", trigger: dict | None = None,
                          time_col: str = "event_time", user_col: str = "user_id",
@@ -261,6 +276,33 @@ def lake_stream(events: DataFrame, lake_path: str, checkpoint: str, trigger: dic
         .option("path", lake_path).partitionBy(*parts).start()
 
 
+def landing_stream(decoded: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, time_col: str = "event_time",
+                   user_col: str = "user_id", bucket_dirs: bool = False, name: str | None = None) -> StreamingQuery:
+    """Countable events and rejected records in one query: each record is parsed once.
+
+    ``decoded`` is the output of ``decode_events``.  The file sink's one commit covers both sides, so
+    a restart between them can neither lose nor repeat a record.  They are told apart by a first
+    directory level, ``sink=lake`` or ``sink=rejects``; ``read_landed`` reads either, and
+    ``lake_scan`` the events.  Rejects lie in one directory, under no date.  No shuffle: every source
+    partition writes the directories it touches.
+    """
+    check_layout(decoded.sparkSession, path, bucket_dirs)
+    mark_fan_out(decoded.sparkSession, path)
+    parts = ["event_date", "event_hour"] + (["bucket"] if bucket_dirs else [])
+    kinds = {f.name: f.dataType for f in with_partition_columns(decoded, time_col, user_col).schema}
+    out = with_partition_columns(decoded.withColumn("sink", F.when(countable(time_col, user_col), LANDED).otherwise(REJECTED)), time_col, user_col)
+    out = out.select("*", *[F.when(F.col("sink") == LANDED, F.col(p)).cast(kinds[p]).alias(f"_{p}") for p in parts]) \
+        .drop(*parts).withColumnsRenamed({f"_{p}": p for p in parts})
+    return _writer(out, checkpoint, trigger, name).outputMode("append").format("parquet") \
+        .option("path", path).partitionBy("sink", *parts).start()
+
+
+def landed_feed(decoded: DataFrame, path: str, time_col: str = "event_time", user_col: str = "user_id") -> DataFrame:
+    """The events that ``landing_stream`` has committed, as a stream."""
+    schema = with_partition_columns(decoded, time_col, user_col).withColumn("sink", F.lit(LANDED)).schema
+    return decoded.sparkSession.readStream.schema(schema).parquet(path).filter(F.col("sink") == LANDED).drop("sink", CORRUPT_COL)
+
+
 def curate_slots(spark, landing_path: str, lake_path: str, start, end, time_col: str = "event_time",
                  user_col: str = "user_id", bucket_dirs: bool = False, dedup: bool = False) -> None:
     """Rewrite the closed slots ``[start, end)`` of the landing lake into the sorted batch
@@ -345,12 +387,13 @@ def start_landing(events: DataFrame, root: str, trigger: dict | None = None, rej
 def start_aggregates(events: DataFrame, root: str, trigger: dict | None = None, watermark: str = "10 minutes",
                      realtime_window: str = "5 minutes", export_2h=None, export_5m=None, dedup: bool = False,
                      state_partitions: int | None = None, output_files: int | None = None, since=None,
-                     aggregates_from: str = "lake") -> dict[str, StreamingQuery]:
+                     aggregates_from: str = "lake", feed: DataFrame | None = None) -> dict[str, StreamingQuery]:
     """Both aggregate tables, from the landing lake's committed files (its log makes that
     exactly-once, and no record is parsed again) or, with ``aggregates_from="source"``,
-    from the source itself."""
-    feed = events
-    if aggregates_from == "lake":
+    from the source itself, or from the stream ``feed``."""
+    if feed is None and aggregates_from == "source":
+        feed = events
+    elif feed is None:
         landed = with_partition_columns(events, "event_time", "user_id").schema
         feed = events.sparkSession.readStream.schema(landed).parquet(f"{root}/lake")
     agg = dict(trigger=trigger, watermark=watermark, dedup=dedup, state_partitions=state_partitions,
@@ -377,3 +420,15 @@ def start_all(events: DataFrame, root: str, trigger: dict | None = None, waterma
             q.awaitTermination()
     queries.update(start_aggregates(events, root, trigger, watermark, **agg))
     return queries
+
+
+def start_fan_out(decoded: DataFrame, root: str, trigger: dict | None = None, watermark: str = "10 minutes",
+                  bucket_dirs: bool = False, **agg) -> dict[str, StreamingQuery]:
+    """As ``start_all``, from records not yet split: one landing query for events and rejects, and both
+    aggregate tables from what it has committed, so that each record is parsed once in all."""
+    path = f"{root}/lake"
+    queries = {"landing": landing_stream(decoded, path, f"{root}/_checkpoints/landing", trigger, bucket_dirs=bucket_dirs, name="landing")}
+    if trigger and trigger.get("availableNow"):
+        queries["landing"].awaitTermination()
+    queries.update(start_aggregates(decoded, root, trigger, watermark, feed=landed_feed(decoded, path), **agg))
+    return queries

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from actiontally.functions.decode import (
-    decode_events, device_info_flat, encode_json, family_payload, metadata_struct, split_corrupt,
+    decode_events, device_info_flat, encode_json, family_payload, metadata_struct, open_payload, payload_keys, split_corrupt,
 )
 from actiontally.schemas import CORRUPT_COL, FAMILIES, METADATA
 
@@ -105,3 +105,24 @@ def test_decoded_events_follow_the_event_contract(spark):
 
     ok, _ = split_corrupt(decode_events(_raw(spark, "{}")))
     assert [(f.name, f.dataType) for f in ok.schema.fields] == [(f.name, f.dataType) for f in EVENT.fields]
+
+
+def test_open_payload_defines_absent_mistyped_and_broken(spark):
+    raw = spark.createDataFrame([("a", "x", '{"n":7,"s":"7","deep":{"l":[1,2]}}'), ("b", "x", '{"n":"seven","N":1}'), ("c", "y", "not json"),
+                                 ("d", "y", None), ("e", "y", "[1]"), ("f", "y", '{"n":null}')], "event_id string, action_type string, metadata string")
+    got = {r.event_id: (r.n, r.s, r.l) for r in open_payload(raw, {"n": ("$.n", "int"), "s": ("$.s", "int"), "l": ("$.deep.l[1]", "int")}).collect()}
+    assert got == {"a": (7, 7, 2), **dict.fromkeys("bcdef", (None, None, None))}
+
+
+def test_payload_keys_counts_every_kind(spark):
+    raw = spark.createDataFrame([("x", '{"n":7,"o":{"a":1}}'), ("x", '{"n":"seven"}'), ("x", '{"n":8}'), ("y", "[1]"), ("y", "no"), ("y", "{}"), ("y", None)],
+                                "action_type string, metadata string")
+    got = {tuple(r) for r in payload_keys(raw).collect()}
+    assert got == {("x", "n", "BIGINT", 2), ("x", "n", "STRING", 1), ("x", "o", "OBJECT", 1)}
+    assert payload_keys(raw.limit(0)).count() == 0
+
+
+def test_open_payload_parses_once(spark):
+    raw = spark.createDataFrame([("a", "{}")], "event_id string, metadata string")
+    plan = open_payload(raw, {"n": ("$.n", "int"), "m": ("$.m", "int")})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parse_json") <= 2  # the column and its alias in the one projection

@@ -145,3 +145,24 @@ def test_layout_is_fixed_per_lake(spark, scratch):
         write_lake(e.filter("ts >= '2024-01-10'"), scratch, time_col="ts", bucket_dirs=True)
     write_lake(e.filter("ts >= '2024-01-10'"), scratch, time_col="ts")
     assert read_lake(spark, scratch).count() == e.count()
+
+
+def _scanned(df):
+    """Rows that the scan of an executed DataFrame let through."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_bloom_filters_skip_row_groups_that_ranges_cannot(spark, scratch):
+    """Ids in random order: every file's range holds the id asked for, no file holds it."""
+    rows = spark.range(40_000).select((F.xxhash64("id").bitwiseAND((1 << 40) - 2)).alias("event_id"), (F.col("id") % 50).alias("user_id"),
+                                      F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 48 as int))").alias("event_time"))
+    absent = (1 << 39) + 1  # odd: in none of them, and in the middle of their range
+    for path, bloom in ((f"{scratch}/plain", ()), (f"{scratch}/bloom", ("event_id",))):
+        write_lake(rows, path, bloom=bloom)
+        scanned = _scanned(read_lake(spark, path).filter(F.col("event_id") == absent))
+        assert scanned == 0 if bloom else scanned > 0
+    held = rows.first().event_id
+    hit = read_lake(spark, f"{scratch}/bloom").filter(F.col("event_id") == held)
+    assert hit.count() == rows.filter(F.col("event_id") == held).count() and 0 < _scanned(hit) < 40_000
