@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from actiontally.llm.common import WORD_BYTES, fresh, slices
+from actiontally.llm.common import WORD_BYTES, fresh, slices, stored
 
 WINDOW = 10
 #: A shard's texts, in bytes (a longer text is a shard of its own).
@@ -259,12 +259,13 @@ SPANS = pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64())
 RESULT = ("n_words bigint, spans array<struct<first_word: bigint, end_word: bigint, start: bigint, end: bigint>>, items array<string>")
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> Iterator[Phrases]:
-    """The items' phrases, in as many blocks as their size asks for (one where it is small)."""
+def blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> Iterator[tuple[Phrases, bool]]:
+    """The items' phrases, in as many blocks as their size asks for (one where it is small), each made when
+    it is asked for, and whether it is the last."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     n = max(1, math.ceil((rows.agg(F.sum(F.length("text"))).first()[0] or 0) / BLOCK_CHARS))
     for b in range(n):
-        yield Phrases([tuple(r) for r in rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect()], window)
+        yield Phrases([tuple(r) for r in rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect()], window), b == n - 1
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
@@ -275,16 +276,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Null text: no words, no spans, stays null. Items without words match nothing; several items with
     equal windows are all reported; an item without id marks words but isn't reported. Repeated
-    documents are each judged. Kept columns may be named like the results: they
+    documents are each judged. No documents: no rows; an empty benchmark: no spans. A text longer than a
+    shard is a shard of its own, indexed whole. A benchmark of several blocks is searched one block
+    after the other, with the documents and what was found written in between, so that the driver and
+    a task hold one block at a time. Kept columns may be named like the results: they
     win, and the results are in a struct, ``found`` (``found_`` if taken)."""
     spark, cols = docs.sparkSession, docs.columns if keep is None else keep
     some = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(cols)), F.col(text_col).cast("string").alias("text"))
-    out, found = some, list(blocks(benchmark, item_col, item_text, window))
-    own = cols.index(text_col) if clean else -1
-    for b, phrases in enumerate(found):
-        last, sent = b == len(found) - 1, spark.sparkContext.broadcast(phrases)
+    out, own = some, cols.index(text_col) if clean else -1
+    for b, (phrases, last) in enumerate(blocks(benchmark, item_col, item_text, window)):
+        sent = spark.sparkContext.broadcast(phrases)
+        del phrases
         out = out.mapInArrow(_search(sent, b > 0, last, own), T.StructType(
             [f for f in some.schema.fields if f.name != "text" or not last] + T._parse_datatype_string(RESULT).fields))
+        if not last:
+            out = stored(out, f"phrases-{b}")
+            sent.destroy()
     names = T._parse_datatype_string(RESULT).fieldNames()
     if {c.lower() for c in cols} & set(names):
         return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(cols)), F.struct(*names).alias(fresh(docs.select(*cols), "found")[0]))

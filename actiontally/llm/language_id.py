@@ -130,7 +130,8 @@ def calibrate(logits: np.ndarray, labels: np.ndarray, right: float = ACCEPTED_RI
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quota: int = QUOTA) -> Model:
     """A model from the rows where ``learn`` holds and the language isn't null: at most about
-    ``quota`` of each language, chosen by a hash of the id. A text without letters teaches nothing.
+    ``quota`` of each language, chosen by a hash of the id. A text without letters teaches nothing; an
+    id given with two languages teaches each from its own row.
     Without usable rows the model knows no language."""
     rows = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("key"), F.col(lang_col).alias("lang")).distinct()
     chosen = class_sample(rows, "key", "lang", quota)

@@ -124,7 +124,11 @@ def platt(g: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 100) ->
 def fit(docs: DataFrame, labels: DataFrame, learn_mod: int = 5, held: int = 0, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality") -> Model:
     """A model from the labels of ids whose crc32 modulo ``learn_mod`` isn't ``held``. Other labels
-    are never looked at. Null ids and labels teach nothing; without positives every score is 1/2."""
+    are never looked at. Null ids and labels teach nothing; an id with both labels is a positive and a
+    negative; without positives every score is 1/2.
+
+    The ranking comes from positives and unlabelled rows alone. Labelled negatives set only the logistic
+    curve's slope and shift, which turn a rank into a probability; without them it is the plain curve."""
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (id_mod(id_col, learn_mod) != held)).select(
         F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("y")).distinct()
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}

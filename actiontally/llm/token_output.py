@@ -45,6 +45,17 @@ MAX_LEVELS = 64
 READ_IDS = 1 << 20
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's full address: a path without scheme lies where Spark would look for it, on the session's
+    default file system, and not on the machine that happens to open it. Local paths stay bare."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    if path.toUri().getScheme() is None:
+        path = path.makeQualified(jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf), jvm.org.apache.hadoop.fs.Path("/"))
+    uri = path.toUri()
+    return uri.getPath() if uri.getScheme() == "file" else path.toString()
+
+
 def open_store(url: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URL, and the path there."""
     return fs.FileSystem.from_uri(url) if "://" in url or url.startswith("file:") else (fs.LocalFileSystem(), url)
@@ -202,8 +213,10 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, id_col: str = "d
     url, n_docs, n_ids, start, min_key, max_key`` (start: ids in all shards before it).
 
     Keys are integers. Null keys come first; repeated keys are ordered by their texts' hash and may
-    span shards. Null or empty text is the end id alone. Extra columns are not read."""
+    span shards. Null or empty text is the end id alone. No documents: no shards. A long text is encoded
+    and written whole. Extra columns are not read."""
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     store, path = open_store(folder)
     store.create_dir(path)  # on the shared folder; tasks repeat it where it is missing
 

@@ -1,10 +1,11 @@
 """Operator 10, toxicity: a weighted finite-state pattern grammar.
 
-Words are read as symbols: insult, threat verb, target, negation, reported speech, other. Four small
-weighted transducers, composed into one machine, rewrite a clause's symbols: a threat is a threat
-verb followed by a target; an insult or threat soon after a target counts more, in a negation's
-scope less, after reported speech less. What the machine outputs are matched clause patterns; their
-weights, not the words alone, give the document's features, and a logistic model scores those.
+Words are read as symbols: insult, threat verb, target, negation, reported speech, other. Five small
+weighted transducers, composed into one machine, rewrite a clause's symbols: insults match as a lone
+insult, a run of them, or one with its target right behind; a threat is a threat verb followed by a
+target; an insult or threat soon after a target counts more, in a negation's scope less, after reported
+speech less. What the machine outputs are matched clause patterns, each with a weight of its own; every
+feature of a document is taken from its matched clauses, and a logistic model scores those.
 
 The insult lexicon (words, and stems that stand for their forms) and the logistic weights are
 learned from a bounded sample of labelled rows; word counts for it are made on Spark.
@@ -34,8 +35,10 @@ SEEDS = frozenset("idiot idiots stupid moron morons loser losers trash scum path
 SEED_WEIGHT = 2.0
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "oihtnr"
-#: Bounds of the training sample, by label, and of the lexicon.
-QUOTA, LEXICON = {1: 3000, 0: 12_000}, 2000
+#: Bounds of the training sample, by label.
+QUOTA = {1: 3000, 0: 12_000}
+#: Weights of the insult patterns: alone in its clause's pattern, and each further one of a run.
+LONE, RUN = 1.0, 1.2
 STEMS = (4, 5)
 #: Least likelihood ratio statistic and least log odds of a lexicon entry.
 EVIDENCE, LEAST_ODDS = 12.0, 1.5
@@ -111,11 +114,23 @@ def threat_pattern(reach: int = 3) -> Transducer:
     return Transducer(arcs, reach + 1)
 
 
+def insult_pattern() -> Transducer:
+    """An insult word is a lone insult, or, right behind another, one more of a run (+); a target right
+    behind an insult is what it is aimed at (B)."""
+    arcs = {}
+    for s, c in itertools.product(range(2), OTHER + INSULT + THREAT + TARGET + NEGATION + REPORT):
+        if c == INSULT:
+            arcs[s, c] = (1, "+", RUN) if s else (1, "", LONE)
+        else:
+            arcs[s, c] = (0, "B" if s and c == TARGET else "", 1.0)
+    return Transducer(arcs, 2)
+
+
 def grammar() -> Composed:
-    """threat, then target (T), then negation (N), then reported speech (R); the last one's scope is
-    the rest of a clause of usual length."""
+    """insult, then threat, then target (T), then negation (N), then reported speech (R); the last one's
+    scope is the rest of a clause of usual length."""
     both = INSULT + THREAT
-    return threat_pattern().then(scope(TARGET, both, "T", 1.3, 4)).then(scope(NEGATION, both, "N", 0.3, 3)).then(scope(REPORT, both, "R", 0.5, 12))
+    return insult_pattern().then(threat_pattern()).then(scope(TARGET, both, "T", 1.3, 4)).then(scope(NEGATION, both, "N", 0.3, 3)).then(scope(REPORT, both, "R", 0.5, 12))
 
 
 @dataclass
@@ -138,7 +153,8 @@ class Lexicon:
         return {w: self.weight(w) for w in hits}
 
 
-FEATURES = 10
+MARKS = ("plain", "+", "B", "T", "N", "R", "threat")
+FEATURES = 5 + len(MARKS)
 
 
 def clause_features(text: bytes | None, lexicon: Lexicon, machine: Composed) -> np.ndarray | None:
@@ -149,7 +165,7 @@ def clause_features(text: bytes | None, lexicon: Lexicon, machine: Composed) ->
     weights = lexicon.known(distinct)
     if not weights and not distinct & THREATS:
         return None
-    total, most, found = 0.0, 0.0, dict.fromkeys(("plain", "T", "N", "R", "threat"), 0)
+    total, most, hits, found, used = 0.0, 0.0, 0, dict.fromkeys(MARKS, 0), set()
     for clause in _CLAUSE.split(t):
         own = _WORD.findall(clause)
         if not any(w in weights or w in THREATS for w in own):
@@ -159,16 +175,18 @@ def clause_features(text: bytes | None, lexicon: Lexicon, machine: Composed) ->
         score = 0.0
         for w, (mark, weight) in zip(own, machine.run(symbols)):
             if mark[0] in (INSULT, THREAT):
-                score += weight * (weights.get(w, 0.0) if mark[0] == INSULT else 2.0)
+                score += weight * (weights[w] if mark[0] == INSULT else 2.0)
+                hits += 1
                 found["threat"] += mark[0] == THREAT
                 found["plain"] += mark == INSULT
-                for m in mark[1:]:
-                    found[m] += 1
+                if mark[0] == INSULT:
+                    used.add(w)
+            for m in mark[1:]:
+                found[m] += 1
         total, most = total + score, max(most, score)
     if total == 0.0:
         return None
-    n = sum(w in weights for w in words)
-    return np.log1p(np.array([total, most, *found.values(), len(weights), 100 * n / max(1, len(words)), 10 * total / max(1, len(words)) ** 0.5]))
+    return np.log1p(np.array([total, most, *found.values(), len(used), 100 * hits / max(1, len(words)), 10 * total / max(1, len(words)) ** 0.5]))
 
 
 @dataclass
@@ -201,14 +219,14 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
 
 
 def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> Lexicon:
-    """Words and stems whose presence speaks for toxicity, from ``y, text`` of the sample. Only
-    entries that pass the evidence reach the driver, the strongest ones up to the lexicon's size."""
+    """Words and stems whose presence speaks for toxicity, from ``y, text`` of the sample: all that pass
+    the evidence. Only those reach the driver; each is in three toxic rows of the bounded sample or more."""
     def make() -> Callable:
         def f(texts: list[bytes | None]) -> list[pa.Array]:
             out = []
             for t in texts:
                 words = set(_WORD.findall((t or b"").decode("utf-8", "replace").lower()))
-                out.append([*("0" + w for w in words if 3 <= len(w) <= 40), *{f"{n}{w[:n]}" for n in STEMS for w in words if len(w) > n}])
+                out.append([*("0" + w for w in words), *{f"{n}{w[:n]}" for n in STEMS for w in words if len(w) > n}])
             return [pa.array(out, type=pa.list_(pa.string()))]
         return f
 
@@ -220,7 +238,7 @@ def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> Lexicon:
     odds = F.log((a + 0.5) / (toxic + 1.0)) - F.log((b + 0.5) / (clean + 1.0))
     found = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("a")).filter("a >= 3").select(
         "term", g2.alias("g2"), odds.alias("odds")).filter((F.col("g2") >= EVIDENCE) & (F.col("odds") >= LEAST_ODDS))
-    rows = found.orderBy(F.col("g2").desc(), "term").limit(LEXICON).collect()
+    rows = found.orderBy("term").collect()
     take = lambda n: {r["term"][1:]: r["odds"] for r in rows if r["term"][0] == str(n)}
     return Lexicon({**dict.fromkeys(SEEDS, SEED_WEIGHT), **take(0)}, {n: take(n) for n in STEMS})
 
@@ -228,7 +246,7 @@ def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> Lexicon:
 def fit(docs: DataFrame, labels: DataFrame, learn_mod: int = 3, held: int = 1, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> Model:
     """A model from the labels of ids whose crc32 modulo ``learn_mod`` isn't ``held``; other labels
-    are never looked at. Null ids and labels teach nothing. Without toxic rows the lexicon has its
+    are never looked at. Null ids and labels teach nothing; an id with both labels teaches both. Without toxic rows the lexicon has its
     seeds alone, and every score is that of a text without a match or near it."""
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (id_mod(id_col, learn_mod) != held)).select(
         F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("y")).distinct()

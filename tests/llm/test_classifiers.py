@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import collections
+import math
+import re
 import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from actiontally.llm import language_id, quality_pu, toxicity
@@ -113,3 +118,129 @@ def test_composition_reads_what_the_former_writes():
     assert [m for m, _ in run(list("tni"))] == ["t", "n", "iTN"]
     assert [m for m, _ in run(list("ht"))] == ["o", "h"]
     assert run(list("rtni"))[-1][1] == pytest.approx(1.3 * 0.3 * 0.5)
+
+
+def texts_and_labels(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    return docs, labels, {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
+def plain_language(text, model):
+    """Mean of the buckets' rows over every subword, one by one, then the softmax."""
+    grams, starts, ends = language_id.subwords([text.encode() if text else None], int(len(model.table)).bit_length() - 1)
+    own = [b for h, m in grams for b, inside in zip(h[starts[0]:ends[0]].tolist(), m[starts[0]:ends[0]].tolist()) if inside]
+    z = [sum(int(model.table[b, k]) for b in own) / language_id._UNIT / max(1, len(own)) + model.bias[k] for k in range(len(model.languages))]
+    e = [math.exp((v - max(z)) / model.temperature) for v in z]
+    best = max(range(len(z)), key=z.__getitem__)
+    return (model.languages[best], e[best] / sum(e)) if any(map(str.isalpha, text or "")) else ("und", 0.0)
+
+
+def test_languages_against_a_text_by_text_scorer(spark):
+    docs, _, texts = texts_and_labels(spark)
+    model = language_id.fit(docs, id_mod("doc_id", 3) != 1)
+    for r in language_id.identify(docs, model, keep=["doc_id"]).collect():
+        if len(texts[r["doc_id"]] or "") < 20_000:  # the plain scorer is slow
+            lang, p = plain_language(texts[r["doc_id"]], model)
+            assert r["lang_pred"] == lang and r["score"] == pytest.approx(p, abs=1e-9)
+
+
+def plain_quality(text, model):
+    """Shares of a text's byte n-grams counted in a dict, times their weights; the plain measures as
+    they are."""
+    t = (text or "").encode()
+    n, size = quality_pu.GRAM, 1 << quality_pu.BUCKET_BITS
+    counts = collections.Counter(int(quality_pu.gram_buckets(np.frombuffer(t[i : i + n], dtype=np.uint8), quality_pu.BUCKET_BITS)[0]) for i in range(len(t) - n + 1))
+    total = max(0, len(t) - n + 1)
+    g = sum(float(np.float32(math.sqrt(c / total))) * model.weights[b] for b, c in counts.items()) + model.bias
+    g += float((quality_pu.features([t])[0, size:].astype(np.float64) * model.weights[size:]).sum())
+    return 1 / (1 + math.exp(-(model.slope * g + model.shift)))
+
+
+def test_quality_against_a_text_by_text_scorer(spark):
+    docs, labels, texts = texts_and_labels(spark)
+    model = quality_pu.fit(docs, labels)
+    for r in quality_pu.score(docs, model, keep=["doc_id"]).collect():
+        if r["doc_id"] % 5 == 0 and len(texts[r["doc_id"]] or "") < 5000:  # the plain scorer is slow
+            assert r["score"] == pytest.approx(plain_quality(texts[r["doc_id"]], model), abs=1e-6)
+
+
+def plain_patterns(own, insults):
+    """What each word of a clause is and counts, from the words before it alone: no machine."""
+    kinds = ["i" if w in insults else "h" if w in toxicity.THREATS else "t" if w in toxicity.TARGETS else "n" if w in toxicity.NEGATIONS
+             else "r" if w in toxicity.REPORTS else "o" for w in own]
+    threat = [k == "t" and any(kinds[j] == "h" and "t" not in kinds[j + 1 : i] for j in range(max(0, i - 3), i)) for i, k in enumerate(kinds)]
+    read = ["h" if t else "o" if k == "h" else k for k, t in zip(kinds, threat)]
+    out = []
+    for i, k in enumerate(read):
+        marks, weight = "", 1.0
+        if kinds[i] == "i":
+            run = i > 0 and kinds[i - 1] == "i"
+            marks, weight = ("+", toxicity.RUN) if run else ("", toxicity.LONE)
+        if k == "t" and i > 0 and kinds[i - 1] == "i":
+            marks = "B"
+        if k in "ih":
+            for trigger, mark, w, reach in (("t", "T", 1.3, 4), ("n", "N", 0.3, 3), ("r", "R", 0.5, 12)):
+                if trigger in read[max(0, i - reach) : i]:
+                    marks, weight = marks + mark, weight * w
+        out.append((k + marks, weight))
+    return out
+
+
+WORDS = st.sampled_from(["idiot", "moron", "kill", "you", "him", "not", "said", "the", "of", "x"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(WORDS, max_size=25))
+def test_grammar_against_plain_rules(own):
+    insults = {"idiot": 2.0, "moron": 1.5}
+    symbols = ["i" if w in insults else "h" if w in toxicity.THREATS else "t" if w in toxicity.TARGETS else "n" if w in toxicity.NEGATIONS
+               else "r" if w in toxicity.REPORTS else "o" for w in own]
+    got, want = toxicity.grammar().run(symbols), plain_patterns(own, insults)
+    assert [m for m, _ in got] == [m for m, _ in want]
+    assert [w for m, w in got if m[0] in "ih"] == pytest.approx([w for m, w in want if m[0] in "ih"])
+
+
+def plain_toxicity(text, model):
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    clauses = [re.findall(r"[^\W\d_]+", c) for c in re.split(r"[.!?;:,\n\"“”«»()]+", (text or "").lower())]
+    insults = {w: model.lexicon.weight(w) for w in set(words) if model.lexicon.weight(w) > 0}
+    sums, count, used = [], collections.Counter(), set()
+    for own in clauses:
+        total = 0.0
+        for w, (mark, weight) in zip(own, plain_patterns(own, insults)):
+            count.update(mark[1:])
+            if mark[0] in "ih":
+                total += weight * (insults[w] if mark[0] == "i" else 2.0)
+                count.update(["hit"] + ["threat"] * (mark[0] == "h") + ["plain"] * (mark == "i"))
+                used |= {w} if mark[0] == "i" else set()
+        sums.append(total)
+    if sum(sums) == 0:
+        return model.none
+    x = [sum(sums), max(sums), *(count[m] for m in toxicity.MARKS), len(used), 100 * count["hit"] / len(words), 10 * sum(sums) / len(words) ** 0.5]
+    return 1 / (1 + math.exp(-(sum(math.log1p(v) * w for v, w in zip(x, model.weights)) + model.bias)))
+
+
+def test_toxicity_against_a_text_by_text_scorer(spark):
+    docs, labels, texts = texts_and_labels(spark)
+    model = toxicity.fit(docs, labels)
+    hard = ["idiot idiot idiot", "You idiot! He said you are not a moron.", "I will kill you", "kill the time", "idiot you", "stupid, stupid"]
+    rows = docs.select("doc_id", "text").union(spark.createDataFrame([(-1 - i, t) for i, t in enumerate(hard)], "doc_id bigint, text string"))
+    texts |= {-1 - i: t for i, t in enumerate(hard)}
+    for r in toxicity.score(rows, model, keep=["doc_id"]).collect():
+        assert r["score"] == pytest.approx(plain_toxicity(texts[r["doc_id"]], model), abs=1e-9)
+
+
+def test_every_entry_with_evidence_is_learned(spark):
+    """More entries than any size the lexicon once had, one of one letter and one very long."""
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000)] + ["q", "z" * 60]
+    rows = [(1, " ".join(words))] * 12 + [(0, "clean prose here")] * 60
+    got = toxicity.learn_lexicon(spark.createDataFrame(rows, "y int, text string"), 12, 60)
+    assert set(words) <= got.words.keys()
+
+
+def test_contradicting_labels_and_languages_teach_both(spark):
+    docs = spark.createDataFrame([(i, "good words of many kinds " * 5, "a") for i in range(20)] + [(3, "good words of many kinds", "b")], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, v, v) for i in range(20) for v in (0, 1)], "doc_id bigint, quality int, toxic int")
+    for module in (quality_pu, toxicity):
+        assert all(0 <= r["score"] <= 1 for r in module.score(docs, module.fit(docs, labels)).collect())
+    assert language_id.fit(docs, F.lit(True)).languages == ["a", "b"]

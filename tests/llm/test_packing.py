@@ -98,3 +98,17 @@ def test_histogram_answers_every_limit(spark, odd_docs, no_docs, vocabulary):
             assert token_lengths.quantile(sums, q) == next(x for x in sorted(n) if (n <= x).mean() >= q)
     empty = token_lengths.suffix_sums(token_lengths.length_histogram(no_docs, vocabulary))
     assert empty.count() == 0 and token_lengths.quantile(empty, 0.5) is None and token_lengths.truncated_totals(empty, [9]) == {9: 0}
+
+
+def test_folder_lies_on_the_default_file_system(spark):
+    """A path without scheme is not the machine's own disk where the session has another file system."""
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert token_output.qualified(spark, "/shared/x") == "/shared/x" == token_output.qualified(spark, "file:/shared/x")
+    conf.set("fs.defaultFS", "hdfs://name:8020")
+    try:
+        assert token_output.qualified(spark, "/shared/x") == "hdfs://name:8020/shared/x"
+        assert token_output.qualified(spark, "file:/shared/x") == "/shared/x"
+        assert token_output.qualified(spark, "s3a://b/x") == "s3a://b/x"
+    finally:
+        conf.set("fs.defaultFS", before)
