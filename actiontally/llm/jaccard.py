@@ -48,6 +48,8 @@ PARTS = 16
 #: 64-bit words of a set's sketch.
 SKETCH = 8
 SKETCH_COLUMNS = [f"s{i}" for i in range(SKETCH)]
+#: The first words of it, which the last round's prefix rows carry; all of it is held against the pairs they leave.
+SCREEN_COLUMNS = SKETCH_COLUMNS[:3]
 #: Holders of a shingle in one component from which on they meet other components by name.
 MANY = 32
 #: Rounds of comparisons with pivots before the last, exhaustive one.
@@ -267,10 +269,11 @@ def may_link(percent: int, first_only: bool) -> Column:
     return (F.least(x, y) * 100 >= F.greatest(x, y) * percent) & (room >= least) & (differ <= x + y - 2 * least)
 
 
-def sketches_near(percent: int) -> Column:
-    """Whether the sketches of x and y leave room for the similarity (the suffix filter's second bound)."""
+def sketches_near(percent: int, columns: list[str] = SKETCH_COLUMNS) -> Column:
+    """Whether the sketches of x and y leave room for the similarity (the suffix filter's second bound).
+    Some of their words differ in no more bits than all, so they bound it from below as well."""
     n, differ = F.col("x.n") + F.col("y.n"), F.lit(0)
-    for c in SKETCH_COLUMNS:
+    for c in columns:
         differ = differ + F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")))
     return differ <= n - 2 * F.ceil(F.lit(percent) * n / F.lit(100 + percent))
 
@@ -331,22 +334,22 @@ def met_all(rows: DataFrame, known: DataFrame, percent: int, keep: Callable[[Dat
     index = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
     open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
     sizes = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("members"))
-    live = rows.join(open_, "token", "left_semi").join(sizes, ["token", "comp"]).join(known.drop("n"), "class").withColumns({
+    live = rows.join(open_, "token", "left_semi").join(sizes, ["token", "comp"]).join(known.select("class", *SCREEN_COLUMNS), "class").withColumns({
         "short": F.col("pos") < index, "many": F.col("members") > MANY,
         "band": F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent)))}).drop("members")
     live = keep(live, "open-prefixes")
     smaller = (F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.class") < F.col("x.class")))
-    rest = (F.col("x.comp") != F.col("y.comp")) & may_link(percent, True) & sketches_near(percent)
+    rest = (F.col("x.comp") != F.col("y.comp")) & may_link(percent, True) & sketches_near(percent, SCREEN_COLUMNS)
     few = live.filter("not many")
     near = few.filter("short").withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     both = few.alias("x").join(near.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & smaller & rest)
     pairs = both.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
     named = live.filter("many").select("token", F.col("comp").alias("other")).distinct()
     # Of two components with many holders the one with the smaller name does the asking.
-    asking = live.join(named, "token").filter("comp < other or (comp <> other and not many)")
+    asking = live.join(small_side(named), "token").filter("comp < other or (comp <> other and not many)")
     asked = asking.alias("x").join(live.filter("many").alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.other") == F.col("y.comp")) & F.when(
         smaller, F.col("y.short")).otherwise(F.col("x.short")) & rest)
-    return pairs.union(asked.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))).distinct()
+    return near_by_sketch(pairs.union(asked.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))).distinct(), known, percent)
 
 
 def near_by_sketch(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
