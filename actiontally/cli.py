@@ -21,6 +21,7 @@ from actiontally.operators.versions import compact_table, lookup_aggregates
 from actiontally.session import build_session, pin_utc
 from actiontally.sources.changelog import read_current, remove_covered, versions
 from actiontally.sources.connectors import TOPIC, jdbc_exporter, read_topic
+from actiontally.sources.slot_files import pack_slots
 from actiontally.streaming.jobs import curate_slots, start_all
 
 
@@ -62,6 +63,12 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--end", required=True)
     c.add_argument("--bucket-dirs", action="store_true", help="the lake has bucket directories")
     c.add_argument("--dedup", action="store_true", help="keep one event of each event_id")
+    pk = sub.add_parser("pack", help="rewrite closed slots of the landing lake as few files of a wanted size")
+    pk.add_argument("--landing", required=True)
+    pk.add_argument("--lake", required=True)
+    pk.add_argument("--start", required=True)
+    pk.add_argument("--end", required=True)
+    pk.add_argument("--target-mb", type=int, default=256)
     k = sub.add_parser("compact", help="collapse a table's versions into month partitions")
     k.add_argument("--table", required=True)
     k.add_argument("--out", required=True)
@@ -127,6 +134,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.cmd == "curate":
         curate_slots(spark, args.landing, args.lake, args.start, args.end, bucket_dirs=args.bucket_dirs, dedup=args.dedup)
         return {"lake": args.lake}
+    if args.cmd == "pack":
+        return {"lake": args.lake, "tasks": pack_slots(spark, args.landing, args.lake, args.start, args.end, args.target_mb << 20)}
     which = compact_table(spark, args.table, args.out, args.previous, args.ttl_as_of, args.ttl)
     removed = remove_covered(spark, args.table, args.previous) if args.remove and args.previous else []
     return {"out": args.out, "covered": which, "removed": removed}

@@ -7,6 +7,7 @@ fresh directory below ``spark.checkpoint.dir`` and return a lazy read of the res
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,7 @@ from actiontally.plans.fixtures import (
 from actiontally.session import pin_utc, scratch_path
 from actiontally.sources.changelog import read_changes, read_current, remove_covered, user_splits, write_changes
 from actiontally.sources.lake import lake_scan, read_lake, read_landed, write_lake
+from actiontally.sources.slot_files import TARGET_BYTES, pack_slots, slot_files
 from actiontally.streaming.jobs import (
     aggregate_stream, chained_window_stream, closed_window_stream, curate_slots, open_windows, run_to_completion, start_all, start_fan_out,
 )
@@ -171,6 +173,20 @@ def lake_bucket_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select(leaf.alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+def lake_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table landed and packed: events per slot, the sum of their ids, and whether the slot has
+    no more files than its landed bytes need."""
+    landing, path = _landed_lake(spark, sf_dir), scratch_path(spark, "packed_lake")
+    first, last = plain_events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
+    end = last.replace(hour=0, minute=0, second=0, microsecond=0) + dt.timedelta(days=1)
+    pack_slots(spark, landing, path, first.replace(hour=0, minute=0, second=0, microsecond=0), end, time_col="ts")
+    slot, lake = ["event_date", "event_hour"], read_lake(spark, path)
+    rows = lake.groupBy(*slot).agg(F.count(F.lit(1)).alias("n_events"), F.sum("event_id").alias("id_sum"))
+    landed = slot_files(read_lake(spark, landing)).select(*slot, F.ceil(F.col("bytes") / F.lit(TARGET_BYTES)).alias("most"))
+    files = slot_files(lake).join(landed, slot).select(*slot, (F.col("files") <= F.col("most")).alias("bounded"))
+    return rows.join(files, slot).select(*slot, "n_events", "id_sum", "bounded")
+
+
 def lake_backfill_2h(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals and per-type counts recomputed from the lake's slots."""
     lake = read_lake(spark, _landed_lake(spark, sf_dir))
@@ -468,6 +484,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_roundtrip": lake_roundtrip,
     "lake_layout": lake_layout,
     "lake_bucket_layout": lake_bucket_layout,
+    "lake_packed": lake_packed,
     "lake_point_lookup": lake_point_lookup,
     "lake_event_lookup": lake_event_lookup,
     "lake_backfill_2h": lake_backfill_2h,

@@ -95,6 +95,9 @@ LAKE_ROUNDTRIP = """select event_id, ts, user_id, event_type, value, props, cast
 LAKE_LAYOUT = """select cast(ts as date) event_date, cast((extract(hour from ts) // 2) * 2 as int) event_hour,
        cast(user_id % 128 as int) bucket, count(*) n_events from events group by all"""
 
+LAKE_PACKED = """select cast(ts as date) event_date, cast((extract(hour from ts) // 2) * 2 as int) event_hour,
+       count(*) n_events, cast(sum(event_id) as bigint) id_sum, true bounded from events group by all"""
+
 LAKE_LOOKUP = """select event_id, ts, event_type from events where user_id = 8
   and ts >= timestamp '2024-01-05 03:00:00' and ts < timestamp '2024-01-09 05:00:00'"""
 
@@ -168,6 +171,7 @@ ORACLE_SQL: dict[str, str] = {
     "partition_columns": PARTS,
     "lake_roundtrip": LAKE_ROUNDTRIP,
     "lake_layout": LAKE_LAYOUT,
+    "lake_packed": LAKE_PACKED,
     "lake_point_lookup": LAKE_LOOKUP,
     "lake_event_lookup": EVENT_LOOKUP,
     "lake_bucket_layout": BUCKET_LAYOUT,

@@ -23,6 +23,9 @@ def test_stream_then_curate_backfill_compact(spark, scratch):
     main(["curate", "--landing", f"{root}/lake", "--lake", f"{scratch}/lake",
           "--start", "2024-01-01", "--end", "2024-02-01"], spark)
     assert read_lake(spark, f"{scratch}/lake").count() == base.count()
+    assert main(["pack", "--landing", f"{root}/lake", "--lake", f"{scratch}/packed",
+                 "--start", "2024-01-01", "--end", "2024-02-01"], spark)["tasks"] == 1
+    assert read_lake(spark, f"{scratch}/packed").count() == base.count()
 
     out = main(["backfill", "--lake", f"{scratch}/lake", "--table", f"{root}/user_aggregations",
                 "--start", "2024-01-01", "--end", "2024-02-01"], spark)

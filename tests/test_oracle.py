@@ -14,7 +14,7 @@ from actiontally.plans.oracle import ORACLE_SQL
 
 # Spark type → DuckDB result type, for the types the queries produce.
 DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
-        "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+        "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
