@@ -183,8 +183,10 @@ def lake_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     slot, lake = ["event_date", "event_hour"], read_lake(spark, path)
     rows = lake.groupBy(*slot).agg(F.count(F.lit(1)).alias("n_events"), F.sum("event_id").alias("id_sum"))
     landed = slot_files(read_lake(spark, landing)).select(*slot, F.ceil(F.col("bytes") / F.lit(TARGET_BYTES)).alias("most"))
-    files = slot_files(lake).join(landed, slot).select(*slot, (F.col("files") <= F.col("most")).alias("bounded"))
-    return rows.join(files, slot).select(*slot, "n_events", "id_sum", "bounded")
+    files = slot_files(lake).select(*slot, "files")
+    each = rows.unionByName(files, True).unionByName(landed, True).groupBy(*slot).agg(*(F.max(c).alias(c) for c in ("n_events", "id_sum", "files", "most")))
+    return each.select(*slot, "n_events", "id_sum", (F.col("files") <= F.col("most")).alias("bounded")).filter(
+        "event_date is not null and event_hour is not null and n_events is not null and bounded is not null")
 
 
 def lake_backfill_2h(spark: SparkSession, sf_dir: str) -> DataFrame:

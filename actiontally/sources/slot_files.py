@@ -3,7 +3,8 @@
 A stream leaves a file per source partition and micro-batch in every slot. Here each closed slot is
 rewritten as ``ceil(bytes / target)`` files, sorted, with a range of users in each; the bytes are those of
 its landed files. Tasks are filled like bins: a large slot takes one task for each of its files, small
-neighbouring slots share one.
+neighbouring slots share one up to a smaller size, as a task sorts its rows unpacked, in several times
+the bytes they have in files.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from actiontally.sources.changelog import read_tag
 from actiontally.sources.lake import check_layout, check_slots, lake_scan
 
 TARGET_BYTES = 256 << 20
+#: Landed bytes that slots sharing a task may have together.
+SHARED_BYTES = 16 << 20
 
 
 def slot_files(lake: DataFrame) -> DataFrame:
@@ -27,10 +30,12 @@ def slot_files(lake: DataFrame) -> DataFrame:
     return files.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
 
 
-def fill_tasks(slots: list[tuple], target: int) -> list[tuple]:
+def fill_tasks(slots: list[tuple], target: int, shared: int | None = None) -> list[tuple]:
     """``(date, hour, pieces, first task)`` of ``(date, hour, bytes)``: a slot above the target has a task for
-    each piece, smaller ones go into the open task while they fit."""
+    each piece, smaller ones go into the open task while they fit in ``shared`` bytes (the target, if
+    None); one above that has a task by itself."""
     out, task, room = [], -1, 0
+    shared = target if shared is None else min(target, shared)
     for day, hour, size in sorted(slots):
         pieces = max(1, -(-size // target))
         if pieces > 1:
@@ -38,7 +43,7 @@ def fill_tasks(slots: list[tuple], target: int) -> list[tuple]:
             task, room = task + pieces, 0
         else:
             if size > room or task < 0:
-                task, room = task + 1, target
+                task, room = task + 1, shared
             out.append((day, hour, 1, task))
             room -= size
     return out
@@ -69,7 +74,7 @@ def pack_slots(spark: SparkSession, landing_path: str, lake_path: str, start, en
     if not slots:
         return 0
     check_layout(spark, lake_path, False, int(read_tag(spark, landing_path, "n_buckets") or N_BUCKETS))
-    dealt = fill_tasks(slots, target_bytes)
+    dealt = fill_tasks(slots, target_bytes, SHARED_BYTES)
     tasks = 1 + max(first + pieces - 1 for _, _, pieces, first in dealt)
     splits: list[int] = []
     if any(pieces > 1 for _, _, pieces, _ in dealt):

@@ -56,6 +56,32 @@ def test_tasks_are_filled_to_the_target(sizes, target):
     assert all(v <= target for v in held.values())
 
 
+@given(st.lists(st.integers(0, 1000), max_size=40), st.integers(1, 300), st.integers(1, 300))
+def test_slots_that_share_a_task_are_few(sizes, target, shared):
+    slots = [(dt.date(2024, 1, 1) + dt.timedelta(days=i // 12), i % 12 * 2, s) for i, s in enumerate(sizes)]
+    held: dict[int, list[int]] = {}
+    for (_, _, size), (_, _, pieces, first) in zip(slots, fill_tasks(slots, target, shared)):
+        assert pieces == max(1, math.ceil(size / target))
+        for task in range(first, first + pieces):
+            held.setdefault(task, []).append(size if pieces == 1 else target)
+    assert sorted(held) == list(range(len(held)))
+    assert all(len(v) == 1 or sum(v) <= min(shared, target) for v in held.values())
+
+
+def test_a_task_holds_few_bytes_however_large_the_files_may_be(spark, scratch, monkeypatch):
+    """Many slots far below a file's wanted size: one file each, from more than one task."""
+    landing, lake = f"{scratch}/landing", f"{scratch}/lake"
+    rows = [(i, i % 50, T(2024, 1, 1) + dt.timedelta(minutes=i * 7 % 2880), "n") for i in range(3000)]
+    _landing(spark, landing, rows)
+    before = _listing(lake_scan(spark, landing, start=DAYS[0], end=DAYS[1]))
+    monkeypatch.setitem(pack_slots.__globals__, "SHARED_BYTES", 3 * max(b for _, b in before.values()))
+    tasks = pack_slots(spark, landing, lake, *DAYS)
+    packed = lake_scan(spark, lake, start=DAYS[0], end=DAYS[1])
+    assert 8 <= tasks < len(before) == 24
+    assert {n for n, _ in _listing(packed).values()} == {1}
+    assert _rows(packed) == _rows(lake_scan(spark, landing, start=DAYS[0], end=DAYS[1]))
+
+
 @pytest.mark.parametrize("share", [2.0, 0.2])
 def test_files_of_a_slot_are_bounded_by_bytes(spark, scratch, share):
     landing, lake = f"{scratch}/landing", f"{scratch}/lake"
