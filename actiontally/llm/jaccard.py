@@ -11,7 +11,9 @@ compared with one of them, its pivot; links found join classes to components, an
 one shingle's holders, in different components. A pair within one component can't change the
 components, so nothing is lost, and a group costs its size, not its square. There the smaller set of
 a pair has only its shorter index prefix to offer, and components with many holders of a
-shingle meet the others by name, so that their own members never meet.
+shingle meet the others by name, so that their own members never meet. As one link joins two components,
+the later pivot rounds hold such members against several pivots, and what stays apart meets only
+what whole sketches allow.
 
 The suffix filter has two bounds of how much two sets differ, both from below: differences of the
 sizes of parts of the sets, and the bits in which their sketches differ (a bit tells whether
@@ -50,7 +52,8 @@ SKETCH = 8
 SKETCH_COLUMNS = [f"s{i}" for i in range(SKETCH)]
 #: The first words of it, which the last round's prefix rows carry; all of it is held against the pairs they leave.
 SCREEN_COLUMNS = SKETCH_COLUMNS[:3]
-#: Holders of a shingle in one component from which on they meet other components by name.
+#: Holders of a shingle in one component from which on they meet other components by name; of any, from which on pivot
+#: rounds after the first compare each with the pivots of all such shingles.
 MANY = 32
 #: Rounds of comparisons with pivots before the last, exhaustive one.
 PIVOT_ROUNDS = 2
@@ -316,12 +319,15 @@ def components(links: DataFrame) -> DataFrame:
 
 def met_by_pivot(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs ``a, b`` to verify among ``rows`` (prefix rows with ``comp``) in a pivot round: each holder of
-    shingles with one of its shingles' pivots, so no more pairs than holders; of different components."""
+    shingles with one of its shingles' pivots, and after the first round with all those of shingles that many
+    hold, so no more pairs than prefix rows; of different components."""
     by = F.col("class") if turn == 0 else F.xxhash64("class", "token", F.lit(turn))
     pivot = rows.groupBy("token").agg(F.min(F.struct(by.alias("by"), "class", "n", "pos", "low", "high", "comp")).alias("p"),
-                                      F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token", "p.*")
+                                      F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("holders")).filter(
+        "lo <> hi").select("token", "p.*", "holders")
     met = rows.alias("x").join(pivot.alias("y"), "token").filter("x.comp <> y.comp").filter(may_link(percent, False))
-    return met.groupBy(F.col("x.class").alias("a")).agg(F.min(F.struct("y.by", F.col("y.class").alias("b"))).alias("p")).select("a", "p.b")
+    each = F.when((F.col("y.holders") > MANY) & F.lit(turn > 0), F.col("y.class"))
+    return met.groupBy(F.col("x.class").alias("a"), each.alias("each")).agg(F.min(F.struct("y.by", F.col("y.class").alias("b"))).alias("p")).select("a", "p.b").distinct()
 
 
 def met_all(rows: DataFrame, known: DataFrame, percent: int, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
@@ -344,12 +350,16 @@ def met_all(rows: DataFrame, known: DataFrame, percent: int, keep: Callable[[Dat
     near = few.filter("short").withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     both = few.alias("x").join(near.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & smaller & rest)
     pairs = both.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-    named = live.filter("many").select("token", F.col("comp").alias("other")).distinct()
+    named = small_side(live.filter("many").select("token", F.col("comp").alias("other")).distinct())
+    # Here the rows carry the whole sketch: a group of near copies leaves pairs by the square of its size otherwise.
+    crowd = live.join(named.select("token").distinct(), "token", "left_semi")
+    whole = known.join(small_side(crowd.select("class").distinct()), "class", "left_semi").select("class", *SKETCH_COLUMNS[len(SCREEN_COLUMNS):])
+    crowd = keep(crowd.join(whole, "class"), "crowded-prefixes")
     # Of two components with many holders the one with the smaller name does the asking.
-    asking = live.join(small_side(named), "token").filter("comp < other or (comp <> other and not many)")
-    asked = asking.alias("x").join(live.filter("many").alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.other") == F.col("y.comp")) & F.when(
-        smaller, F.col("y.short")).otherwise(F.col("x.short")) & rest)
-    return near_by_sketch(pairs.union(asked.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))).distinct(), known, percent)
+    asking = crowd.join(named, "token").filter("comp < other or (comp <> other and not many)")
+    asked = asking.alias("x").join(crowd.filter("many").alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.other") == F.col("y.comp")) & F.when(
+        smaller, F.col("y.short")).otherwise(F.col("x.short")) & rest & sketches_near(percent))
+    return near_by_sketch(pairs.distinct(), known, percent).union(asked.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))).distinct()
 
 
 def near_by_sketch(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:

@@ -120,6 +120,17 @@ def test_unlinked_copies_of_one_passage_make_few_candidates(spark, monkeypatch):
     assert sum(seen) < 260 * 20  # all pairs would be 33,670
 
 
+def test_whole_sketches_are_held_against_members_of_large_components(spark, monkeypatch):
+    """A large group of near copies, many of them past the threshold: what the last round's joins leave is few."""
+    seen = []
+    real = jaccard.near_by_sketch
+    monkeypatch.setattr(jaccard, "near_by_sketch", lambda pairs, known, percent: (seen.append(pairs.count()), real(pairs, known, percent))[1])
+    rows = near_copies(11, 1, 300, 300, 20)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert sorted(got(docs, 3, 90)) == sorted(brute(rows, 3, 90))
+    assert seen[-1] < 300 * 4  # all pairs would be 44,850
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
