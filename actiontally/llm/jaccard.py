@@ -52,9 +52,10 @@ SKETCH = 8
 SKETCH_COLUMNS = [f"s{i}" for i in range(SKETCH)]
 #: The first words of it, which the last round's prefix rows carry; all of it is held against the pairs they leave.
 SCREEN_COLUMNS = SKETCH_COLUMNS[:3]
-#: Holders of a shingle in one component from which on they meet other components by name; of any, from which on pivot
-#: rounds after the first compare each with the pivots of all such shingles.
+#: Holders of a shingle in one component from which on they meet other components by name.
 MANY = 32
+#: Holders of a shingle from which on pivot rounds after the first compare each with the pivots of all such shingles.
+CROWD = 256
 #: Rounds of comparisons with pivots before the last, exhaustive one.
 PIVOT_ROUNDS = 2
 #: Words whose hashes a Python worker remembers.
@@ -326,8 +327,8 @@ def met_by_pivot(rows: DataFrame, turn: int, percent: int) -> DataFrame:
                                       F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("holders")).filter(
         "lo <> hi").select("token", "p.*", "holders")
     met = rows.alias("x").join(pivot.alias("y"), "token").filter("x.comp <> y.comp").filter(may_link(percent, False))
-    each = F.when((F.col("y.holders") > MANY) & F.lit(turn > 0), F.col("y.class"))
-    return met.groupBy(F.col("x.class").alias("a"), each.alias("each")).agg(F.min(F.struct("y.by", F.col("y.class").alias("b"))).alias("p")).select("a", "p.b").distinct()
+    each = [F.when(F.col("y.holders") > CROWD, F.col("y.class")).alias("each")] if turn else []
+    return met.groupBy(F.col("x.class").alias("a"), *each).agg(F.min(F.struct("y.by", F.col("y.class").alias("b"))).alias("p")).select("a", "p.b")
 
 
 def met_all(rows: DataFrame, known: DataFrame, percent: int, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
@@ -394,7 +395,7 @@ def link_classes(texts: DataFrame, classes: DataFrame, order: np.ndarray, shingl
     for turn in [*range(PIVOT_ROUNDS), -1]:
         with temporary(spark) as keep:
             now = rows.withColumn("comp", F.col("class")) if stars is None else rows.join(small_side(stars), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-            pairs = met_all(now, known, percent, keep) if turn < 0 else near_by_sketch(met_by_pivot(now, turn, percent), known, percent)
+            pairs = met_all(now, known, percent, keep) if turn < 0 else near_by_sketch(met_by_pivot(now, turn, percent), known, percent).distinct()
             if tried is not None:
                 pairs = pairs.join(tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
             pairs = stored(pairs, "candidates")
