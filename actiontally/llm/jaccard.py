@@ -353,7 +353,7 @@ def met_all(rows: DataFrame, known: DataFrame, percent: int, keep: Callable[[Dat
     pairs = both.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
     named = small_side(live.filter("many").select("token", F.col("comp").alias("other")).distinct())
     # Here the rows carry the whole sketch: a group of near copies leaves pairs by the square of its size otherwise.
-    crowd = live.join(named.select("token").distinct(), "token", "left_semi")
+    crowd = live.join(small_side(named.select("token").distinct()), "token", "left_semi")
     whole = known.join(small_side(crowd.select("class").distinct()), "class", "left_semi").select("class", *SKETCH_COLUMNS[len(SCREEN_COLUMNS):])
     crowd = keep(crowd.join(whole, "class"), "crowded-prefixes")
     # Of two components with many holders the one with the smaller name does the asking.
