@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from actiontally.session import scratch_path
+from actiontally.session import bound_arrow, scratch_path
 
 #: Ids up to this many may be broadcast; larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -151,6 +151,7 @@ def score_texts(docs: DataFrame, text_col: str, ddl: str, make: Callable[[], Cal
     """The columns ``keep`` (all, if None) and what ``make()``, called once per task, computes from
     each slice of texts: one array per field of ``ddl``. Results whose names the kept columns have
     are put together in a struct named ``found`` (or ``found_`` ...) instead."""
+    bound_arrow(docs.sparkSession)
     cols = docs.columns if keep is None else keep
     rows = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(cols)), F.col(text_col).cast("string").alias("text"))
     result = T._parse_datatype_string(ddl)

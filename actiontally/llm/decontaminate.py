@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from actiontally.llm.common import WORD_BYTES, fresh, slices, stored
+from actiontally.session import bound_arrow
 
 WINDOW = 10
 #: A shard's texts, in bytes (a longer text is a shard of its own).
@@ -282,6 +283,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     a task hold one block at a time. Kept columns may be named like the results: they
     win, and the results are in a struct, ``found`` (``found_`` if taken)."""
     spark, cols = docs.sparkSession, docs.columns if keep is None else keep
+    bound_arrow(spark)
     some = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(cols)), F.col(text_col).cast("string").alias("text"))
     out, own = some, cols.index(text_col) if clean else -1
     for b, (phrases, last) in enumerate(blocks(benchmark, item_col, item_text, window)):

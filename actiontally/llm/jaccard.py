@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from actiontally.llm.common import arrow_rows, slices, shuffles_freed, small_side, stored, temporary
+from actiontally.session import bound_arrow
 
 SHINGLE, PERCENT = 3, 90
 #: Bits of the rarity table (2^21 counters) and of the bitmap of shingles held more than once (2^26
@@ -58,7 +59,7 @@ MANY = 32
 CROWD = 256
 #: Rounds of comparisons with pivots before the last, exhaustive one.
 PIVOT_ROUNDS = 2
-#: Words whose hashes a Python worker remembers.
+#: Words whose hashes a task remembers.
 WORDS_KEPT = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -85,6 +86,12 @@ def word_hashes() -> WordHashes:
     return WordHashes()
 
 
+def forget() -> None:
+    """At a task's end: its worker stays through the joins that follow, and would hold all this meanwhile."""
+    word_hashes.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def shingle_sets(texts: list[bytes | None], k: int) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's k-word shingles; one shingle for a text of fewer words,
     none for a text without."""
@@ -145,6 +152,7 @@ def summarise(docs: DataFrame, k: int) -> DataFrame:
         if kind is not None:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int64())] * SKETCH,
                                               pa.array([TaskContext.get().partitionId()], type=pa.int64()), pa.array([table_bytes(counts)], type=pa.binary())], names=names)
+        forget()
 
     schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *T._parse_datatype_string(f"n bigint, set binary, {', '.join(f'{c} bigint' for c in SKETCH_COLUMNS)}, part bigint, counts binary").fields])
     return docs.mapInArrow(run, schema)
@@ -177,7 +185,7 @@ def add_tables(tables: DataFrame) -> np.ndarray:
             up = tables.withColumn("part", F.floor(F.col("part") / TABLES)).repartition(max(1, int(n[1]) // TABLES + 1), "part")
             tables = stored(up.sortWithinPartitions("part").mapInArrow(total, "part bigint, counts binary"), "rarity")
     got = tables.select("counts").collect()  # one row, of fixed size
-    return table_counts(got[0][0]).astype(np.int64) if got else np.zeros(1 << ORDER_BITS, dtype=np.int64)
+    return table_counts(got[0][0]) if got else np.zeros(1 << ORDER_BITS, dtype="<u4")
 
 
 def of_classes(texts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -221,6 +229,7 @@ def prefixes(owned: DataFrame, order: np.ndarray, k: int, percent: int) -> DataF
                 [pa.array(x) for x in (np.concatenate(tops).view(np.int64), np.array([c for c, _ in own])[row], np.array([len(s) for _, s in own])[row],
                                        (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32), halves[row, 0], halves[row, 1])],
                 names=["token", "class", "n", "pos", "low", "high"])
+        forget()
 
     return owned.mapInArrow(run, "token bigint, class bigint, n bigint, pos int, low bigint, high bigint")
 
@@ -251,6 +260,7 @@ def shingles_of(owned: DataFrame, k: int) -> DataFrame:
             own = [(c, s.tobytes()) for c, s in class_sets(batch, texts, k)]
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in own], type=pa.int64()), pa.array([s for _, s in own], type=pa.binary())],
                                              names=["class", "shingles"])
+        forget()
 
     return owned.mapInArrow(run, "class bigint, shingles binary")
 
@@ -423,6 +433,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = docs.schema[id_col].dataType.simpleString()  # a nested id with all its fields nullable
     texts = docs.select(F.col(id_col).cast(kind).alias("key"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
+    bound_arrow(spark)
     with shuffles_freed(spark):
         with temporary(spark) as keep, arrow_rows(spark, 2000):
             seen = keep(summarise(texts, shingle), "shingle-summary")

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from actiontally.llm.common import slices, stored
 from actiontally.llm.tokens import END_ID, encoder
+from actiontally.session import bound_arrow
 
 SEQUENCE = 4096
 
@@ -27,6 +28,7 @@ SEQUENCE = 4096
 def encode_documents(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, end_id: int | None = END_ID, keep_memo: bool = True) -> DataFrame:
     """``key, part, start, n_tokens, ids``: ids as little-endian unsigned 32-bit integers, start
     the ids before it in its partition. Null text counts as empty; ids may be null or repeat."""
+    bound_arrow(docs.sparkSession)
     end = b"" if end_id is None else np.uint32(end_id).astype("<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

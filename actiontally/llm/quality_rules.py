@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from actiontally.llm.common import joined_bytes, score_texts, segment_sums, slices, small_side
+from actiontally.session import bound_arrow
 
 GRAM = 3
 BUCKET_BITS = 16
@@ -87,6 +88,7 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     """Log ratio of each bucket, in units of 1 / 65536, from all documents; ``trusted`` has the ids
     of the trusted ones (repeated and null ids there are ignored). Without trusted documents every
     ratio is 0. Documents repeated are counted each time; null and empty texts count nothing."""
+    bound_arrow(docs.sparkSession)
     size = 1 << bits
     ids = small_side(trusted.select(F.col(trusted.columns[0]).alias("trusted")).filter("trusted is not null").distinct())
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).join(

@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from actiontally.llm.common import fresh, stored
 
@@ -73,7 +74,8 @@ class Ledger:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            # Of a list, executors would make it in Python, by a second daemon that stays (its environment differs).
+            return self.spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)))
 
     def scanned(self) -> DataFrame:
         return self._read("scanned", self.PAIRS).distinct()

@@ -46,6 +46,20 @@ def pin_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+#: Bytes of rows that a Python worker gets at once.
+ARROW_BYTES = 2 << 20
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_arrow(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of about ``ARROW_BYTES``, if the caller set no size. Spark's own
+    bound (64 MB or 10,000 rows) lets each task hold tens of MB of texts outside the heap and again in Python,
+    and the processes keep that memory for the steps that follow. Like the zone, the setting is left so, as
+    results are lazy and are evaluated under it."""
+    if _ARROW_LIMIT not in spark.conf.getAll:
+        spark.conf.set(_ARROW_LIMIT, str(ARROW_BYTES))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:

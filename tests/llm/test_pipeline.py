@@ -83,3 +83,30 @@ def test_odd_and_empty_tables_pass(spark, sf, odd_docs, no_docs):
             if name == "ngram_jaccard" and docs is odd_docs:
                 # The repeated row stays once, texts without words stay, and an id with two texts keeps both.
                 assert sorted(str(r["doc_id"]) for r in out.select("doc_id").collect()) == ["1", "2", "3", "4", "5", "6", "6", "7", "None", "None"]
+
+
+def test_texts_go_to_python_in_bounded_batches(spark, monkeypatch):
+    """A step's tasks hold little of the texts outside the heap, whatever the number of rows."""
+    from actiontally.llm import common, decontaminate, jaccard, packing, quality_rules
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id as doc_id", "concat(id, repeat(' word', 400)) as text")
+    bench = spark.createDataFrame(BENCH, "item_id bigint, text string")
+    plain = common.slices
+
+    def checked(batches, column):
+        def seen():
+            for b in batches:
+                assert b.nbytes < 3 << 20, b.nbytes
+                yield b
+        return plain(seen(), column)
+
+    for m in (common, decontaminate, jaccard, packing, quality_rules):
+        monkeypatch.setattr(m, "slices", checked)
+    run = lambda df: df.write.format("noop").mode("overwrite").save()
+    vocabulary = p.public_tokenizers.path("word_bpe_49k.json")
+    ratios = quality_rules.fit(docs, docs.select("doc_id"))
+    for step in (lambda: quality_rules.rate(docs, ratios), lambda: decontaminate.contamination(docs, bench, clean=True),
+                 lambda: packing.pack(docs, vocabulary), lambda: jaccard.near_duplicates(docs)):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        run(step())
